@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str], descending: bool = False) -> DataFrame:
     """Keep one row per ``key``: the smallest (or largest) by ``order``, then by the other columns."""
-    key, order = list(key), list(order)
+    key = list(key)
+    order = [c for c in order if c not in key]
     rest = [c for c in df.columns if c not in key and c not in order]
     packed = F.struct(*[F.col(c) for c in order + rest])
     agg = F.max(packed) if descending else F.min(packed)

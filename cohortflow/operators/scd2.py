@@ -81,6 +81,20 @@ def scd2_apply(dim: DataFrame, batch: DataFrame, key: str, attributes: Sequence[
     return history.unionByName(out)
 
 
+def scd2_initial(batch: DataFrame, key: str, attributes: Sequence[str], batch_ts: _dt.datetime | Column,
+                 sk_col: str = "patient_sk", order_col: str | None = "_ingest_ts") -> DataFrame:
+    """First load of an SCD2 table: every key opens its first version (no join needed).
+    Equal to ``scd2_apply`` on an empty table."""
+    ts = batch_ts if isinstance(batch_ts, Column) else ts_lit(batch_ts)
+    if order_col and order_col in batch.columns:
+        src = last_per_key(batch.select(key, *attributes, order_col), [key], [order_col]).drop(order_col)
+    else:
+        src = last_per_key(batch.select(key, *attributes), [key], list(attributes))
+    return src.select(
+        surrogate_key(key, ts).alias(sk_col), key, *attributes,
+        ts.alias("effective_from"), F.lit(None).cast("timestamp").alias("effective_to"), F.lit(True).alias("is_current"))
+
+
 def empty_like(spark, schema) -> DataFrame:
     """S-11: a typed empty table (what ``CREATE TABLE IF NOT EXISTS`` gives on first run)."""
     return spark.createDataFrame([], schema)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import watermark as WM
-from ..operators.scd2 import current_view, empty_like, scd2_apply
+from ..operators.scd2 import current_view, empty_like, scd2_apply, scd2_initial
 from ..operators.upsert import first_wins_upsert
 from ..sources import fixtures as FX
 from ..sources.bronze import stamp
@@ -54,10 +54,23 @@ class Run:
     tables: dict
     params: C.Params
     bronze: dict = field(default_factory=dict)
-    silver: dict = field(default_factory=dict)
-    states: list = field(default_factory=list)
+    loads: int = 2
+    _silver: dict | None = None
+    _states: list = field(default_factory=list)
     _star: dict | None = None
 
+    @property
+    def silver(self) -> dict:
+        """Silver after all loads (built on first use: each run reads its mark first)."""
+        if self._silver is None:
+            self.build_silver(self.loads)
+        return self._silver
+
+    @property
+    def states(self) -> list:
+        self.silver  # noqa: B018
+        return self._states
+
     # ---- Bronze ----
     def build_bronze(self) -> None:
         t = self.tables
@@ -100,7 +113,7 @@ class Run:
 
     def build_silver(self, loads: int = 2) -> None:
         state = self.empty_state()
-        self.states = [state]
+        self._states = [state]
         # Silver run after load 1 sees only load-1 rows; after load 2 the rest.
         full_bronze = self.bronze
         for i in range(loads):
@@ -108,10 +121,10 @@ class Run:
             self.bronze = {k: (v.filter(F.col("_ingest_ts") <= F.lit(cutoff)) if k in ("patients", "funnel_events") else v)
                            for k, v in full_bronze.items()}
             state = self.silver_increment(state)
-            self.states.append(state)
+            self._states.append(state)
         self.bronze = full_bronze
         b = self.bronze
-        self.silver = {
+        self._silver = {
             "study": SV.study(b["studies"]),
             "site": SV.site(b["sites"]),
             "patient": SV.patient(b["patients"]),
@@ -134,9 +147,8 @@ class Run:
 
 
 def run(spark: SparkSession, sf_dir: str, params: C.Params = C.DEFAULT, loads: int = 2) -> Run:
-    r = Run(spark, load_tables(spark, sf_dir), params)
+    r = Run(spark, load_tables(spark, sf_dir), params, loads=loads)
     r.build_bronze()
-    r.build_silver(loads)
     return r
 
 
@@ -156,6 +168,5 @@ def star(spark: SparkSession, sf_dir: str, params: C.Params = C.DEFAULT) -> dict
         "budget": SV.budget(FX.study_budgets(t)),
     }
     batch = stamp(FX.patients(t), LOAD1_TS, source_file("patients", 1))
-    dim = scd2_apply(empty_like(spark, DIM_PATIENT_SCHEMA), SV.patient(batch), PATIENT_KEY, C.SCD2_ATTRIBUTES,
-                     list(params.tracked), LOAD1_TS, order_col=None)
+    dim = scd2_initial(SV.patient(batch), PATIENT_KEY, C.SCD2_ATTRIBUTES, LOAD1_TS)
     return G.build_star(spark, silver, current_view(dim, DIM_PATIENT_COLS), params)

@@ -22,7 +22,7 @@ def build_session(master: str | None = None, app: str = "cohortflow", shuffle_pa
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in _RUNTIME_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:
