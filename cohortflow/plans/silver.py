@@ -11,9 +11,10 @@ from ..operators.dedup import first_per_key
 from ..sources.schemas import TYPED
 
 
-def typed_projection(bronze: DataFrame, source: str) -> DataFrame:
-    """F-01: every declared column through ``try_cast`` (a no-op when already typed)."""
-    return bronze.select(*[typed(n, t.simpleString()).alias(n) for n, t in TYPED[source]])
+def typed_projection(bronze: DataFrame, source: str, keep: list[str] | None = None) -> DataFrame:
+    """F-01: every declared column through ``try_cast`` (a no-op when already typed); ``keep``
+    passes further columns through unchanged."""
+    return bronze.select(*[typed(n, t.simpleString()).alias(n) for n, t in TYPED[source]], *(keep or []))
 
 
 def study(bronze: DataFrame) -> DataFrame:
