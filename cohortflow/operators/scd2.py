@@ -82,11 +82,14 @@ def scd2_apply(dim: DataFrame, batch: DataFrame, key: str, attributes: Sequence[
 
 
 def scd2_initial(batch: DataFrame, key: str, attributes: Sequence[str], batch_ts: _dt.datetime | Column,
-                 sk_col: str = "patient_sk", order_col: str | None = "_ingest_ts") -> DataFrame:
+                 sk_col: str = "patient_sk", order_col: str | None = "_ingest_ts", unique: bool = False) -> DataFrame:
     """First load of an SCD2 table: every key opens its first version (no join needed).
-    Equal to ``scd2_apply`` on an empty table."""
+    Equal to ``scd2_apply`` on an empty table. ``unique=True`` skips the per-key dedup for a
+    batch that is one row per key by construction."""
     ts = batch_ts if isinstance(batch_ts, Column) else ts_lit(batch_ts)
-    if order_col and order_col in batch.columns:
+    if unique:
+        src = batch.select(key, *attributes)
+    elif order_col and order_col in batch.columns:
         src = last_per_key(batch.select(key, *attributes, order_col), [key], [order_col]).drop(order_col)
     else:
         src = last_per_key(batch.select(key, *attributes), [key], list(attributes))

@@ -40,21 +40,47 @@ def fact_patient_enrollment(funnel: DataFrame, dim_patient: DataFrame) -> DataFr
     )
 
 
-def build_star(spark: SparkSession, silver: dict, dim_patient: DataFrame, params: C.Params) -> dict:
-    dim_study = silver["study"]
-    dim_site = silver["site"]
-    fact = fact_patient_enrollment(silver["funnel"], dim_patient)
-    return {
-        "dim_study": dim_study,                      # D-01
-        "dim_site": dim_site,                        # D-02
-        "dim_patient": dim_patient,                  # D-03
-        "dim_campaign": silver["campaign"],          # D-04
-        "dim_date": date_dim(spark, params.calendar_start, params.calendar_end),  # D-05
-        "fact_patient_enrollment": fact,             # D-06
-        "fact_marketing_daily": silver["marketing"],  # D-07
-        "fact_site_financials": silver["site_costs"],  # D-08
-        "study_budgets": silver["budget"],
-    }
+class Lazy(dict):
+    """A dict of DataFrames built on first access (a query only plans the tables it reads)."""
+
+    def __init__(self, builders: dict):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, name):
+        df = self._builders[name]()
+        self[name] = df
+        return df
+
+    def __contains__(self, name):
+        return name in self._builders
+
+    def keys(self):
+        return self._builders.keys()
+
+    def copy(self):
+        out = Lazy(self._builders)
+        out.update(dict(self.items()))
+        return out
+
+
+def build_star(spark: SparkSession, silver: dict, dim_patient, params: C.Params,
+               funnel_events: str = "funnel") -> Lazy:
+    """Gold tables (lazy). ``dim_patient`` may be a DataFrame or a zero-argument builder;
+    ``funnel_events`` names the Silver entry the fact pivots (``first_per_key`` leaves every
+    per-stage minimum unchanged, so raw Bronze events give the same fact)."""
+    dp = dim_patient if callable(dim_patient) else (lambda: dim_patient)
+    return Lazy({
+        "dim_study": lambda: silver["study"],                    # D-01
+        "dim_site": lambda: silver["site"],                      # D-02
+        "dim_patient": dp,                                       # D-03
+        "dim_campaign": lambda: silver["campaign"],              # D-04
+        "dim_date": lambda: date_dim(spark, params.calendar_start, params.calendar_end),  # D-05
+        "fact_patient_enrollment": lambda: fact_patient_enrollment(silver[funnel_events], dp()),  # D-06
+        "fact_marketing_daily": lambda: silver["marketing"],     # D-07
+        "fact_site_financials": lambda: silver["site_costs"],    # D-08
+        "study_budgets": lambda: silver["budget"],
+    })
 
 
 def bounded(dim: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ def _row(df: DataFrame, name: str, violations: Column) -> DataFrame:
 
 
 def _tables(star: dict, params: C.Params) -> dict:
-    t = dict(star)
+    t = {n: star[n] for n in CORE if n in star}
     t["kpi_overview"] = K.overview(star, params)
     t["kpi_predictability_forecast"] = K.forecast(star, params)
     return t
