@@ -43,4 +43,4 @@ def first_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 def removed_duplicates(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows that ``first_per_key`` drops (the duplicates), for lineage traces."""
     kept = first_per_key(df, key, order)
-    return df.join(kept, on=list(df.columns), how="left_anti")
+    return df.exceptAll(kept)  # multiset difference; NULLs compare equal in set operations
