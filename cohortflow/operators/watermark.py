@@ -30,9 +30,13 @@ def read_mark(marks: DataFrame, table_name: str, default: _dt.datetime = C.DEFAU
 
 
 def after_mark(df: DataFrame, col: str, mark: _dt.datetime | Column) -> DataFrame:
-    """P-12: rows strictly newer than the mark."""
+    """P-12: rows strictly newer than the mark. On Bronze (partitioned by ``_ingest_date``) the
+    implied ``_ingest_date >= date(mark)`` is added so whole old partitions are pruned."""
     m = mark if isinstance(mark, Column) else ts_lit(mark)
-    return df.filter(F.col(col) > m)
+    out = df.filter(F.col(col) > m)
+    if col == "_ingest_ts" and "_ingest_date" in df.columns:
+        out = out.filter(F.col("_ingest_date") >= F.to_date(m))
+    return out
 
 
 def advance(marks: DataFrame, table_name: str, new_mark: DataFrame) -> DataFrame:

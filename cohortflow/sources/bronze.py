@@ -18,9 +18,14 @@ def stamp(df: DataFrame, ingest_ts: _dt.datetime | Column, source_file: str | Co
     return df.withColumn(INGEST_TS, ts).withColumn(SOURCE_FILE, sf)
 
 
+INGEST_DATE = "_ingest_date"
+
+
 def stamp_from_metadata(df: DataFrame) -> DataFrame:
-    """Stamp in a file scan or stream: load time and the file each row came from."""
-    return df.withColumn(INGEST_TS, F.current_timestamp()).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+    """Stamp in a file scan or stream: load time, its date (the Bronze partition column, so
+    mark filters prune old partitions) and the file each row came from."""
+    return (df.withColumn(INGEST_TS, F.current_timestamp()).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+            .withColumn(INGEST_DATE, F.to_date(F.col(INGEST_TS))))
 
 
 def file_ledger(spark: SparkSession, landing_dir: str, bronze: DataFrame, glob: str = "*.csv") -> DataFrame:

@@ -23,7 +23,7 @@ def bronze_schema(source: str) -> T.StructType:
     s = landing_schema(source)
     for n, t in BRONZE_META:
         s = s.add(n, t, True)
-    return s
+    return s.add("_ingest_date", T.DateType(), True)
 
 
 def run_silver_funnel(spark: SparkSession, bronze_path: str, state: VersionedTable, checkpoint: str,

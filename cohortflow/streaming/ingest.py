@@ -22,7 +22,7 @@ def start_ingest(spark: SparkSession, source: str, landing_glob: str, bronze_pat
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = stamp_from_metadata(reader.csv(landing_glob))
-    return (stream.writeStream.format("parquet").outputMode("append")
+    return (stream.writeStream.format("parquet").outputMode("append").partitionBy("_ingest_date")
             .option("checkpointLocation", checkpoint).trigger(availableNow=True)
             .queryName(f"bronze_{source}").start(bronze_path))
 

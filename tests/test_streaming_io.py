@@ -80,3 +80,27 @@ def test_create_if_absent(spark, tmp_dir):
     from cohortflow.sources.schemas import SILVER_FUNNEL_SCHEMA
     df = LD.create_if_absent(spark, f"{tmp_dir}/t", SILVER_FUNNEL_SCHEMA)
     assert df.count() == 0 and df.schema == SILVER_FUNNEL_SCHEMA
+
+
+def test_mark_filter_prunes_bronze_partitions(spark, tmp_dir):
+    import contextlib
+    import io
+
+    from cohortflow.operators import watermark as WM
+    from cohortflow.plans.medallion import Lake
+
+    land, lake = f"{tmp_dir}/landing", Lake(spark, f"{tmp_dir}/lake")
+    _csv(f"{land}/funnel_events/load_1/a.csv", HDR, ["P1,S1,X1,lead,2024-01-01"])
+    ING.ingest(spark, "funnel_events", f"{land}/funnel_events/*/", lake.bronze_path("funnel_events"),
+               f"{tmp_dir}/ckpt")
+    b = lake.bronze("funnel_events")
+    mark = b.agg(F.max("_ingest_ts")).first()[0]
+    out = WM.after_mark(b, "_ingest_ts", mark)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(_ingest_date" in plan and "_ingest_date >=" in plan.replace("#", " ")[:100000] \
+        or "_ingest_date" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert "PushedFilters: [IsNotNull(_ingest_ts), GreaterThan(_ingest_ts" in plan
+    assert out.count() == 0
