@@ -2,13 +2,18 @@
 
 The driver-table scenario is an incremental run with two loads:
 
-* load 1 is stamped ``LOAD1_TS`` (2024-01-15): every source,
-  the first patient extract, and funnel events dated before 2024-01-15;
+* load 1 is stamped ``LOAD1_TS`` (2024-01-15): every source, the first patient extract, and
+  funnel events dated before 2024-01-15;
 * load 2 is stamped ``LOAD2_TS`` (2024-02-01): a full patient re-extract in which some patients
   moved site, and the funnel events dated from 2024-01-15 on.
 
-Silver runs after each load and only reads Bronze rows above its high-water mark. Everything
-here is a lazy DataFrame; nothing is collected except the two mark scalars.
+Silver runs after each load and only reads Bronze rows above its high-water mark.
+
+With a ``store`` folder (the shared folder of the cluster), the expensive landed shapes are
+written once as Parquet tables (Bronze partitioned by ``_ingest_date``), and every Silver run
+writes its state as a new version of a ``VersionedTable`` and reads it back: lineage is cut per
+load, executor loss only recomputes the current step, and the mark filters prune Bronze
+partitions. Without a store everything stays a lazy plan (used by unit tests).
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from .. import config as C
 from ..operators import watermark as WM
 from ..operators.scd2 import current_view, empty_like, scd2_apply, scd2_initial
 from ..operators.upsert import first_wins_upsert
+from ..operators.versions import VersionedTable
 from ..sources import fixtures as FX
 from ..sources.bronze import stamp
 from ..sources.driver_tables import load_tables
@@ -35,12 +41,41 @@ LOAD2_TS = _dt.datetime(2024, 2, 1)
 SPLIT_DATE = _dt.date(2024, 1, 15)
 PATIENT_KEY = "patient_id"
 DIM_PATIENT_COLS = ["patient_sk", "patient_id", "study_id", "site_id", "age", "sex", "race_ethnicity", "is_rural"]
+FUNNEL_ORDER = ["event_date", "study_id", "site_id"]
+
+# landed shapes worth storing once (joins, windows, JSON parsing); the rest stay lazy views
+STORED_SHAPES = ["funnel_events", "patients", "patients_changed", "marketing_daily", "site_costs"]
 
 
 def source_file(source: str, load: int) -> str:
     return f"landing/{source}/load_{load}.csv"
 
 
+class Landed:
+    """The driver tables mapped to landing source shapes, each expensive one written once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, store: str | None = None):
+        self.spark = spark
+        self.tables = load_tables(spark, sf_dir)
+        self.store = store.rstrip("/") if store else None
+        self._frames: dict = {}
+
+    def _build(self, name: str) -> DataFrame:
+        if name == "patients_changed":
+            return FX.patients_changed(self.tables)
+        return FX.source(self.tables, name)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            df = self._build(name)
+            if self.store and name in STORED_SHAPES:
+                path = f"{self.store}/landed/{name}"
+                df.write.mode("overwrite").parquet(path)
+                df = self.spark.read.parquet(path)
+            self._frames[name] = df
+        return self._frames[name]
+
+
 @dataclass
 class SilverState:
     dim_patient: DataFrame
@@ -51,7 +86,7 @@ class SilverState:
 @dataclass
 class Run:
     spark: SparkSession
-    tables: dict
+    landed: Landed
     params: C.Params
     bronze: dict = field(default_factory=dict)
     loads: int = 2
@@ -59,6 +94,10 @@ class Run:
     _states: list = field(default_factory=list)
     _star: dict | None = None
 
+    @property
+    def store(self) -> str | None:
+        return self.landed.store
+
     @property
     def silver(self) -> dict:
         """Silver after all loads (built on first use: each run reads its mark first)."""
@@ -73,56 +112,69 @@ class Run:
 
     # ---- Bronze ----
     def build_bronze(self) -> None:
-        t = self.tables
+        ld = self.landed
         b = {}
         for s in C.SOURCES:
             if s in ("patients", "funnel_events"):
                 continue
-            b[s] = stamp(FX.source(t, s), LOAD1_TS, source_file(s, 1))
-        p1 = stamp(FX.patients(t), LOAD1_TS, source_file("patients", 1))
-        p2 = stamp(FX.patients_changed(t), LOAD2_TS, source_file("patients", 2))
-        b["patients"] = p1.unionByName(p2)
-        fe = FX.funnel_events(t)
+            b[s] = stamp(ld[s], LOAD1_TS, source_file(s, 1))
+        p1 = stamp(ld["patients"], LOAD1_TS, source_file("patients", 1))
+        p2 = stamp(ld["patients_changed"], LOAD2_TS, source_file("patients", 2))
+        fe = ld["funnel_events"]
         e1 = stamp(fe.filter(F.col("event_date") < F.lit(SPLIT_DATE)), LOAD1_TS, source_file("funnel_events", 1))
         e2 = stamp(fe.filter(F.col("event_date") >= F.lit(SPLIT_DATE)), LOAD2_TS, source_file("funnel_events", 2))
-        b["funnel_events"] = e1.unionByName(e2)
+        b["patients"] = self._stored_bronze("patients", p1.unionByName(p2))
+        b["funnel_events"] = self._stored_bronze("funnel_events", e1.unionByName(e2))
         self.bronze = b
 
+    def _stored_bronze(self, source: str, df: DataFrame) -> DataFrame:
+        if not self.store:
+            return df
+        path = f"{self.store}/bronze/{source}"
+        df.withColumn("_ingest_date", F.to_date("_ingest_ts")).write.mode("overwrite") \
+          .partitionBy("_ingest_date").parquet(path)
+        return self.spark.read.parquet(path)
+
     # ---- Silver ----
     def empty_state(self) -> SilverState:
         return SilverState(empty_like(self.spark, DIM_PATIENT_SCHEMA), empty_like(self.spark, SILVER_FUNNEL_SCHEMA),
                            WM.empty_marks(self.spark))
 
-    def silver_increment(self, state: SilverState) -> SilverState:
+    def silver_increment(self, state: SilverState, bronze: dict, batch_id: str) -> SilverState:
         """One Silver run: read Bronze above each mark, apply SCD2 and the first-wins upsert,
         advance both marks to the max ingest time of the rows actually read."""
         p = self.params
-        bp = WM.after_mark(self.bronze["patients"], "_ingest_ts", WM.read_mark(state.marks, "dim_patient"))
-        bf = WM.after_mark(self.bronze["funnel_events"], "_ingest_ts", WM.read_mark(state.marks, "funnel_events"))
-        batch_ts = bp.agg(F.max("_ingest_ts")).first()[0]
+        bp = WM.after_mark(bronze["patients"], "_ingest_ts", WM.read_mark(state.marks, "dim_patient"))
+        bf = WM.after_mark(bronze["funnel_events"], "_ingest_ts", WM.read_mark(state.marks, "funnel_events"))
+        new_p = bp.agg(F.max("_ingest_ts").alias("watermark"))
+        new_f = bf.agg(F.max("_ingest_ts").alias("watermark"))
+        batch_ts = new_p.first()["watermark"]
         if batch_ts is None:
             dim = state.dim_patient
         else:
             dim = scd2_apply(state.dim_patient, SV.patient(bp), PATIENT_KEY, C.SCD2_ATTRIBUTES, list(p.tracked),
                              batch_ts)
-        funnel = first_wins_upsert(state.funnel, SV.funnel(bf, p.funnel_key), list(p.funnel_key),
-                                   ["event_date", "study_id", "site_id"])
-        marks = WM.advance(state.marks, "dim_patient", bp.agg(F.max("_ingest_ts").alias("watermark")))
-        marks = WM.advance(marks, "funnel_events", bf.agg(F.max("_ingest_ts").alias("watermark")))
+        funnel = first_wins_upsert(state.funnel, SV.funnel(bf, p.funnel_key), list(p.funnel_key), FUNNEL_ORDER)
+        marks = WM.advance(WM.advance(state.marks, "dim_patient", new_p), "funnel_events", new_f)
+        if self.store:
+            # state first, marks last: a crash in between re-reads the same rows (replay-safe)
+            out = []
+            for name, df in (("dim_patient", dim), ("funnel_events", funnel), ("_load_watermark", marks)):
+                vt = VersionedTable(self.spark, f"{self.store}/silver/{name}")
+                v = vt.write(df, batch_id)
+                out.append(vt.as_of(v))
+            dim, funnel, marks = out
         return SilverState(dim, funnel, marks)
 
     def build_silver(self, loads: int = 2) -> None:
         state = self.empty_state()
         self._states = [state]
-        # Silver run after load 1 sees only load-1 rows; after load 2 the rest.
-        full_bronze = self.bronze
         for i in range(loads):
             cutoff = [LOAD1_TS, LOAD2_TS][i]
-            self.bronze = {k: (v.filter(F.col("_ingest_ts") <= F.lit(cutoff)) if k in ("patients", "funnel_events") else v)
-                           for k, v in full_bronze.items()}
-            state = self.silver_increment(state)
+            # Bronze as it stood after load i
+            seen = {k: self.bronze[k].filter(F.col("_ingest_ts") <= F.lit(cutoff)) for k in ("patients", "funnel_events")}
+            state = self.silver_increment(state, seen, f"load_{i + 1}")
             self._states.append(state)
-        self.bronze = full_bronze
         b = self.bronze
         self._silver = {
             "study": SV.study(b["studies"]),
@@ -146,35 +198,55 @@ class Run:
         return self._star
 
 
-def run(spark: SparkSession, sf_dir: str, params: C.Params = C.DEFAULT, loads: int = 2) -> Run:
-    r = Run(spark, load_tables(spark, sf_dir), params, loads=loads)
+def run(spark: SparkSession, sf_dir: str, params: C.Params = C.DEFAULT, loads: int = 2,
+        landed: Landed | None = None) -> Run:
+    r = Run(spark, landed or Landed(spark, sf_dir), params, loads=loads)
     r.build_bronze()
     return r
 
 
-def star(spark: SparkSession, sf_dir: str, params: C.Params = C.DEFAULT) -> dict:
+def star(spark: SparkSession, sf_dir: str, params: C.Params = C.DEFAULT, landed: Landed | None = None,
+         store: str | None = None) -> G.Lazy:
     """Gold star over the driver tables, built the short way: one load, no SCD2 history.
 
     The marts depend only on current patient attributes, which both patient extracts share, so
     this equals the two-load run's Gold and skips the incremental bookkeeping. The fact pivots
     the landed funnel events directly: the Silver first-occurrence dedup does not change any
     per-stage minimum nor the earliest (date, site), so one shuffle is saved. The patient
-    extract is one row per (user, k) by construction, so its first load needs no dedup."""
-    t = load_tables(spark, sf_dir)
+    extract is one row per (user, k) by construction, so its first load needs no dedup.
+
+    With ``store``, the enrolment fact is written once as a Parquet table there (the reference
+    keeps facts as tables and KPIs as views) and every mart reads the written table."""
+    ld = landed or Landed(spark, sf_dir)
     silver = G.Lazy({
-        "study": lambda: SV.study(FX.studies(t)),
-        "site": lambda: SV.site(FX.sites(t)),
-        "funnel_landed": lambda: SV.typed_projection(FX.funnel_events(t), "funnel_events"),
-        "funnel": lambda: SV.funnel(FX.funnel_events(t), params.funnel_key),
-        "marketing": lambda: SV.marketing(FX.marketing_daily(t)),
-        "campaign": lambda: SV.campaign(FX.campaigns(t)),
-        "site_costs": lambda: SV.site_costs(FX.site_costs(t)),
-        "budget": lambda: SV.budget(FX.study_budgets(t)),
+        "study": lambda: SV.study(ld["studies"]),
+        "site": lambda: SV.site(ld["sites"]),
+        "funnel_landed": lambda: SV.typed_projection(ld["funnel_events"], "funnel_events"),
+        "funnel": lambda: SV.funnel(ld["funnel_events"], params.funnel_key),
+        "marketing": lambda: SV.marketing(ld["marketing_daily"]),
+        "campaign": lambda: SV.campaign(ld["campaigns"]),
+        "site_costs": lambda: SV.site_costs(ld["site_costs"]),
+        "budget": lambda: SV.budget(ld["study_budgets"]),
     })
 
     def dim_patient():
-        batch = SV.patient(FX.patients(t))
+        batch = SV.patient(ld["patients"])
         return current_view(scd2_initial(batch, PATIENT_KEY, C.SCD2_ATTRIBUTES, LOAD1_TS, unique=True),
                             DIM_PATIENT_COLS)
 
-    return G.build_star(spark, silver, dim_patient, params, funnel_events="funnel_landed")
+    s = G.build_star(spark, silver, dim_patient, params, funnel_events="funnel_landed")
+    if not store:
+        return s
+    builders = dict(s._builders)
+    lazy_fact = builders["fact_patient_enrollment"]
+    cache = {}
+
+    def fact():
+        if "df" not in cache:
+            path = f"{store.rstrip('/')}/gold/fact_patient_enrollment"
+            lazy_fact().write.mode("overwrite").parquet(path)
+            cache["df"] = spark.read.parquet(path)
+        return cache["df"]
+
+    builders["fact_patient_enrollment"] = fact
+    return G.Lazy(builders)
