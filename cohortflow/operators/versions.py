@@ -5,12 +5,16 @@ Parquet has no transaction log, so every load writes a complete new snapshot und
 (partition pruning reads only that directory); ``as_of(n)`` reads an older one. A writer never
 overwrites a directory that readers use, so a crash mid-write leaves the previous version
 intact; a retried load with the same ``batch_id`` is skipped (replay guard).
+
+The load log (latest version, committed batch ids) is read in one small job and kept by the
+writer object; ``refresh()`` re-reads it when another process may have written.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import table_exists
 
@@ -22,13 +26,30 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._log: tuple[int | None, set] | None = None
+        self._schema: T.StructType | None = None
 
     def exists(self) -> bool:
-        return table_exists(self.spark, self.path)
+        return self.latest_version() is not None
 
     def _all(self) -> DataFrame:
+        if self._schema is not None:
+            full = T.StructType(list(self._schema.fields) + [T.StructField(BATCH_COL, T.StringType()),
+                                                             T.StructField(VERSION_COL, T.IntegerType())])
+            return self.spark.read.schema(full).parquet(self.path)
         return self.spark.read.parquet(self.path)
 
+    def refresh(self) -> tuple[int | None, set]:
+        if not table_exists(self.spark, self.path):
+            self._log = (None, set())
+        else:
+            r = self._all().agg(F.max(VERSION_COL).alias("v"), F.collect_set(BATCH_COL).alias("b")).first()
+            self._log = (r["v"], set(r["b"] or []))
+        return self._log
+
+    def _state(self) -> tuple[int | None, set]:
+        return self._log if self._log is not None else self.refresh()
+
     def versions(self) -> DataFrame:
         """Load log: one row per version with its batch id and row count."""
         return (self._all().groupBy(VERSION_COL)
@@ -36,15 +57,10 @@ class VersionedTable:
                 .orderBy(VERSION_COL))
 
     def latest_version(self) -> int | None:
-        if not self.exists():
-            return None
-        r = self._all().agg(F.max(VERSION_COL).alias("v")).first()
-        return None if r is None else r["v"]
+        return self._state()[0]
 
     def has_batch(self, batch_id: str) -> bool:
-        if not self.exists():
-            return False
-        return self._all().filter(F.col(BATCH_COL) == batch_id).limit(1).count() > 0
+        return batch_id in self._state()[1]
 
     def as_of(self, version: int) -> DataFrame:
         return self._all().filter(F.col(VERSION_COL) == version).drop(VERSION_COL, BATCH_COL)
@@ -55,9 +71,12 @@ class VersionedTable:
 
     def write(self, df: DataFrame, batch_id: str) -> int:
         """Write ``df`` as the next version unless ``batch_id`` was already committed."""
-        if self.has_batch(batch_id):
-            return self.latest_version()
-        v = (self.latest_version() or 0) + 1
+        latest, batches = self._state()
+        if batch_id in batches:
+            return latest
+        v = (latest or 0) + 1
         (df.withColumn(BATCH_COL, F.lit(batch_id)).withColumn(VERSION_COL, F.lit(v))
            .write.mode("append").partitionBy(VERSION_COL).parquet(self.path))
+        self._schema = df.schema
+        self._log = (v, batches | {batch_id})
         return v

@@ -29,6 +29,13 @@ def read_mark(marks: DataFrame, table_name: str, default: _dt.datetime = C.DEFAU
     return mark_frame(marks, table_name, default).first()["watermark"]
 
 
+def read_marks(marks: DataFrame, tables: list[str], default: _dt.datetime = C.DEFAULT_MARK) -> dict:
+    """M-04 for several tables in one small job."""
+    got = {r["table_name"]: r["m"] for r in
+           marks.filter(F.col("table_name").isin(tables)).groupBy("table_name").agg(F.max("watermark").alias("m")).collect()}
+    return {t: (got.get(t) or default) for t in tables}
+
+
 def after_mark(df: DataFrame, col: str, mark: _dt.datetime | Column) -> DataFrame:
     """P-12: rows strictly newer than the mark. On Bronze (partitioned by ``_ingest_date``) the
     implied ``_ingest_date >= date(mark)`` is added so whole old partitions are pruned."""

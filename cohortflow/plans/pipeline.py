@@ -93,6 +93,8 @@ class Run:
     _silver: dict | None = None
     _states: list = field(default_factory=list)
     _star: dict | None = None
+    _bronze_cache: dict = field(default_factory=dict)
+    _tables: dict = field(default_factory=dict)
 
     @property
     def store(self) -> str | None:
@@ -113,18 +115,18 @@ class Run:
     # ---- Bronze ----
     def build_bronze(self) -> None:
         ld = self.landed
-        b = {}
-        for s in C.SOURCES:
-            if s in ("patients", "funnel_events"):
-                continue
-            b[s] = stamp(ld[s], LOAD1_TS, source_file(s, 1))
+        # reference sources stay lazy: a query that never reads them never lands them
+        b = G.Lazy({s: (lambda s=s: stamp(ld[s], LOAD1_TS, source_file(s, 1)))
+                    for s in C.SOURCES if s not in ("patients", "funnel_events")}
+                   | {"patients": lambda: self._bronze_cache["patients"],
+                      "funnel_events": lambda: self._bronze_cache["funnel_events"]})
         p1 = stamp(ld["patients"], LOAD1_TS, source_file("patients", 1))
         p2 = stamp(ld["patients_changed"], LOAD2_TS, source_file("patients", 2))
         fe = ld["funnel_events"]
         e1 = stamp(fe.filter(F.col("event_date") < F.lit(SPLIT_DATE)), LOAD1_TS, source_file("funnel_events", 1))
         e2 = stamp(fe.filter(F.col("event_date") >= F.lit(SPLIT_DATE)), LOAD2_TS, source_file("funnel_events", 2))
-        b["patients"] = self._stored_bronze("patients", p1.unionByName(p2))
-        b["funnel_events"] = self._stored_bronze("funnel_events", e1.unionByName(e2))
+        self._bronze_cache = {"patients": self._stored_bronze("patients", p1.unionByName(p2)),
+                              "funnel_events": self._stored_bronze("funnel_events", e1.unionByName(e2))}
         self.bronze = b
 
     def _stored_bronze(self, source: str, df: DataFrame) -> DataFrame:
@@ -144,8 +146,9 @@ class Run:
         """One Silver run: read Bronze above each mark, apply SCD2 and the first-wins upsert,
         advance both marks to the max ingest time of the rows actually read."""
         p = self.params
-        bp = WM.after_mark(bronze["patients"], "_ingest_ts", WM.read_mark(state.marks, "dim_patient"))
-        bf = WM.after_mark(bronze["funnel_events"], "_ingest_ts", WM.read_mark(state.marks, "funnel_events"))
+        m = WM.read_marks(state.marks, ["dim_patient", "funnel_events"])
+        bp = WM.after_mark(bronze["patients"], "_ingest_ts", m["dim_patient"])
+        bf = WM.after_mark(bronze["funnel_events"], "_ingest_ts", m["funnel_events"])
         new_p = bp.agg(F.max("_ingest_ts").alias("watermark"))
         new_f = bf.agg(F.max("_ingest_ts").alias("watermark"))
         batch_ts = new_p.first()["watermark"]
@@ -160,7 +163,7 @@ class Run:
             # state first, marks last: a crash in between re-reads the same rows (replay-safe)
             out = []
             for name, df in (("dim_patient", dim), ("funnel_events", funnel), ("_load_watermark", marks)):
-                vt = VersionedTable(self.spark, f"{self.store}/silver/{name}")
+                vt = self._tables.setdefault(name, VersionedTable(self.spark, f"{self.store}/silver/{name}"))
                 v = vt.write(df, batch_id)
                 out.append(vt.as_of(v))
             dim, funnel, marks = out
