@@ -58,7 +58,7 @@ def version_history(run: Run) -> DataFrame:
     """L-04: every version of the traced key."""
     d = run.silver["dim_patient"].join(traced_patient(run), "patient_id", "left_semi")
     return d.select("patient_id", "patient_sk", "site_id", "age", "sex", "race_ethnicity", "is_rural",
-                    "effective_from", "effective_to", "is_current")
+                    "effective_from", "effective_to", "is_current").orderBy("effective_from")
 
 
 TRACE_COLS = ["step", "layer", "patient_id", "study_id", "site_id", "stage", "event_date", "effective_from",
@@ -105,7 +105,7 @@ def trace_patient(run: Run) -> DataFrame:
 def funnel_arithmetic(star: dict) -> DataFrame:
     """L-07: the conversion arithmetic behind the screen-fail rate, plus lead-to-enrolled."""
     return K.conversion(star).select("study_id", "leads", "screened", "randomized", "enrolled",
-                                     "screen_fail_rate_pct", "lead_to_enrolled_pct")
+                                     "screen_fail_rate_pct", "lead_to_enrolled_pct").orderBy("study_id")
 
 
 def forecast_slack(star: dict, params: C.Params = C.DEFAULT) -> DataFrame:
@@ -113,7 +113,8 @@ def forecast_slack(star: dict, params: C.Params = C.DEFAULT) -> DataFrame:
     fc = K.forecast(star, params)
     return fc.select("study_id", "target_enrollment", "enrolled_to_date", "weekly_velocity", "planned_end_date",
                      "projected_completion_date", "on_track",
-                     F.datediff("planned_end_date", "projected_completion_date").cast("bigint").alias("days_of_slack"))
+                     F.datediff("planned_end_date", "projected_completion_date").cast("bigint").alias("days_of_slack")
+                     ).orderBy("on_track", "days_of_slack")  # O-01: NULLs first on ascending
 
 
 def duplicates_removed(run: Run) -> DataFrame:
