@@ -78,12 +78,17 @@ def sites(t) -> DataFrame:
     )
 
 
-def _customer_attrs(t) -> DataFrame:
+def _customer_attrs(t, moved: bool = False) -> DataFrame:
+    """Patient attributes from a customer; ``moved``: customers whose key ends in 0 sit at the
+    next nation's site (the second extract of the SCD2 scenario)."""
     c = t["customer"]
     ck = F.col("c_custkey")
+    nation = F.col("c_nationkey")
+    if moved:
+        nation = F.when(ck % 10 == 0, (nation + 1) % 25).otherwise(nation)
     return c.select(
         ck.alias("user_id"),
-        site_id_of(F.col("c_nationkey")).alias("site_id"),
+        site_id_of(nation).alias("site_id"),
         (F.lit(18) + ck % 72).cast("int").alias("age"),
         pick(C.SEXES, ck % 2).alias("sex"),
         _race(F.col("c_mktsegment")).alias("race_ethnicity"),
@@ -257,12 +262,7 @@ def patients_changed(t) -> DataFrame:
     unchanged and must not open versions."""
     e = t["events"]
     uk = e.select("user_id", _k(e).alias("k")).distinct()
-    c = t["customer"]
-    moved = (c["c_custkey"] % 10 == 0)
-    nation = F.when(moved, (F.col("c_nationkey") + 1) % 25).otherwise(F.col("c_nationkey"))
-    attrs = _customer_attrs(t).drop("site_id").join(
-        c.select(F.col("c_custkey").alias("user_id"), site_id_of(nation).alias("site_id")), "user_id")
-    j = uk.join(attrs, "user_id")
+    j = uk.join(_customer_attrs(t, moved=True), "user_id")
     return j.select(
         patient_id_of(F.col("user_id"), F.col("k")).alias("patient_id"),
         study_id_of(F.col("k")).alias("study_id"),
