@@ -1,69 +1,80 @@
 """M-07 versioned table on Parquet: read a table as of an earlier load, list the loads.
 
-Parquet has no transaction log, so every load writes a complete new snapshot under
-``<path>/load_version=<n>``. Readers of the current state take the highest committed version
-(partition pruning reads only that directory); ``as_of(n)`` reads an older one. A writer never
-overwrites a directory that readers use, so a crash mid-write leaves the previous version
-intact; a retried load with the same ``batch_id`` is skipped (replay guard).
-
-The load log (latest version, committed batch ids) is read in one small job and kept by the
-writer object; ``refresh()`` re-reads it when another process may have written.
+Parquet has no transaction log, so every load writes a complete snapshot into a fresh folder
+``<path>/v<n>-<uuid>`` and only then appends one row ``(load_version, batch_id, dir, rows)`` to
+the small commit log ``<path>/_log``. Readers trust the log only:
+
+* a crash while the data is written leaves an orphaned folder that no reader sees, and the
+  retry writes a new folder (no mixing of attempts);
+* the current version is found from the log (one row per load), never by scanning the data;
+* a retried load whose ``batch_id`` is already in the log is skipped (replay guard, needed for
+  at-least-once ``foreachBatch``).
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import table_exists
 
-VERSION_COL = "load_version"
-BATCH_COL = "_batch_id"
+LOG_SCHEMA = T.StructType([
+    T.StructField("load_version", T.IntegerType(), False),
+    T.StructField("batch_id", T.StringType(), False),
+    T.StructField("dir", T.StringType(), False),
+    T.StructField("rows", T.LongType(), False),
+    T.StructField("committed_at", T.TimestampType(), False),
+])
 
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self._log: tuple[int | None, set] | None = None
-        self._schema: T.StructType | None = None
-
-    def exists(self) -> bool:
-        return self.latest_version() is not None
-
-    def _all(self) -> DataFrame:
-        if self._schema is not None:
-            full = T.StructType(list(self._schema.fields) + [T.StructField(BATCH_COL, T.StringType()),
-                                                             T.StructField(VERSION_COL, T.IntegerType())])
-            return self.spark.read.schema(full).parquet(self.path)
-        return self.spark.read.parquet(self.path)
-
-    def refresh(self) -> tuple[int | None, set]:
-        if not table_exists(self.spark, self.path):
-            self._log = (None, set())
+        self.log_path = f"{self.path}/_log"
+        self._log: list | None = None
+        self._schemas: dict = {}
+
+    # ---- log ----
+    def refresh(self) -> list:
+        """Re-read the commit log (one small row per load)."""
+        if not table_exists(self.spark, self.log_path):
+            self._log = []
         else:
-            r = self._all().agg(F.max(VERSION_COL).alias("v"), F.collect_set(BATCH_COL).alias("b")).first()
-            self._log = (r["v"], set(r["b"] or []))
+            rows = self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path).collect()
+            self._log = sorted((r["load_version"], r["batch_id"], r["dir"], r["rows"]) for r in rows)
         return self._log
 
-    def _state(self) -> tuple[int | None, set]:
+    def _entries(self) -> list:
         return self._log if self._log is not None else self.refresh()
 
-    def versions(self) -> DataFrame:
-        """Load log: one row per version with its batch id and row count."""
-        return (self._all().groupBy(VERSION_COL)
-                .agg(F.max(BATCH_COL).alias("batch_id"), F.count(F.lit(1)).alias("rows"))
-                .orderBy(VERSION_COL))
+    def exists(self) -> bool:
+        return bool(self._entries())
 
     def latest_version(self) -> int | None:
-        return self._state()[0]
+        e = self._entries()
+        return e[-1][0] if e else None
 
     def has_batch(self, batch_id: str) -> bool:
-        return batch_id in self._state()[1]
+        return any(b == batch_id for _, b, _, _ in self._entries())
+
+    def versions(self) -> DataFrame:
+        """Load log: one row per version with its batch id and row count."""
+        rows = [(v, b, n) for v, b, _, n in self._entries()]
+        return self.spark.createDataFrame(rows, "load_version int, batch_id string, rows bigint").orderBy("load_version")
 
+    # ---- data ----
     def as_of(self, version: int) -> DataFrame:
-        return self._all().filter(F.col(VERSION_COL) == version).drop(VERSION_COL, BATCH_COL)
+        for v, _, d, _ in self._entries():
+            if v == version:
+                schema = self._schemas.get(v)
+                reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
+                return reader.parquet(d)
+        raise KeyError(f"{self.path}: no version {version}")
 
     def current(self) -> DataFrame | None:
         v = self.latest_version()
@@ -71,12 +82,14 @@ class VersionedTable:
 
     def write(self, df: DataFrame, batch_id: str) -> int:
         """Write ``df`` as the next version unless ``batch_id`` was already committed."""
-        latest, batches = self._state()
-        if batch_id in batches:
-            return latest
-        v = (latest or 0) + 1
-        (df.withColumn(BATCH_COL, F.lit(batch_id)).withColumn(VERSION_COL, F.lit(v))
-           .write.mode("append").partitionBy(VERSION_COL).parquet(self.path))
-        self._schema = df.schema
-        self._log = (v, batches | {batch_id})
+        if self.has_batch(batch_id):
+            return self.latest_version()
+        v = (self.latest_version() or 0) + 1
+        d = f"{self.path}/v{v:06d}-{uuid.uuid4().hex[:12]}"
+        df.write.mode("overwrite").parquet(d)
+        n = self.spark.read.parquet(d).count()  # answered from Parquet footers
+        entry = [(v, batch_id, d, n, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))]
+        self.spark.createDataFrame(entry, LOG_SCHEMA).write.mode("append").parquet(self.log_path)
+        self._schemas[v] = df.schema
+        self._log = sorted(self._entries() + [(v, batch_id, d, n)])
         return v

@@ -7,6 +7,8 @@ join is left to AQE, which broadcasts at runtime only when the measured side is
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,11 +48,15 @@ class Lazy(dict):
     def __init__(self, builders: dict):
         super().__init__()
         self._builders = builders
+        self._lock = threading.RLock()
 
     def __missing__(self, name):
-        df = self._builders[name]()
-        self[name] = df
-        return df
+        with self._lock:
+            if dict.__contains__(self, name):
+                return dict.__getitem__(self, name)
+            df = self._builders[name]()
+            self[name] = df
+            return df
 
     def __contains__(self, name):
         return name in self._builders

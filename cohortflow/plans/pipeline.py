@@ -19,6 +19,7 @@ partitions. Without a store everything stays a lazy plan (used by unit tests).
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +60,7 @@ class Landed:
         self.tables = load_tables(spark, sf_dir)
         self.store = store.rstrip("/") if store else None
         self._frames: dict = {}
+        self._lock = threading.RLock()
 
     def _build(self, name: str) -> DataFrame:
         if name == "patients_changed":
@@ -66,14 +68,15 @@ class Landed:
         return FX.source(self.tables, name)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._frames:
-            df = self._build(name)
-            if self.store and name in STORED_SHAPES:
-                path = f"{self.store}/landed/{name}"
-                df.write.mode("overwrite").parquet(path)
-                df = self.spark.read.parquet(path)
-            self._frames[name] = df
-        return self._frames[name]
+        with self._lock:
+            if name not in self._frames:
+                df = self._build(name)
+                if self.store and name in STORED_SHAPES:
+                    path = f"{self.store}/landed/{name}"
+                    df.write.mode("overwrite").parquet(path)
+                    df = self.spark.read.parquet(path)
+                self._frames[name] = df
+            return self._frames[name]
 
 
 @dataclass
@@ -243,13 +246,15 @@ def star(spark: SparkSession, sf_dir: str, params: C.Params = C.DEFAULT, landed:
     builders = dict(s._builders)
     lazy_fact = builders["fact_patient_enrollment"]
     cache = {}
+    lock = threading.Lock()
 
     def fact():
-        if "df" not in cache:
-            path = f"{store.rstrip('/')}/gold/fact_patient_enrollment"
-            lazy_fact().write.mode("overwrite").parquet(path)
-            cache["df"] = spark.read.parquet(path)
-        return cache["df"]
+        with lock:
+            if "df" not in cache:
+                path = f"{store.rstrip('/')}/gold/fact_patient_enrollment"
+                lazy_fact().write.mode("overwrite").parquet(path)
+                cache["df"] = spark.read.parquet(path)
+            return cache["df"]
 
     builders["fact_patient_enrollment"] = fact
     return G.Lazy(builders)
