@@ -15,8 +15,13 @@ from ..sources.bronze import stamp_from_metadata
 from ..sources.schemas import landing_schema
 
 
+# A large backlog is split into micro-batches of at most this many files (availableNow honours
+# it), so a first run over years of landed files does not become one giant batch.
+MAX_FILES_PER_TRIGGER = 2000
+
+
 def start_ingest(spark: SparkSession, source: str, landing_glob: str, bronze_path: str, checkpoint: str,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
     reader = (spark.readStream.schema(landing_schema(source)).option("header", True)
               .option("enforceSchema", False))
     if max_files_per_trigger:
