@@ -159,3 +159,22 @@ def test_padded_id_keeps_long_numbers(spark):
 def test_groups_with_more_than(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
     assert rows(groups_with_more_than(df, ["k"], 1, "versions")) == [("a", 2)]
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    """One key with a third of all rows: dedup, pivot and SCD2 stay exact (no caps, no sampling)."""
+    n = 3000
+    hot = [("HOT", ["lead", "consented", "enrolled"][i % 3], D(2024, 1, 1 + i % 28), f"S{i % 7}") for i in range(n // 3)]
+    cold = [(f"P{i}", "lead", D(2024, 1, 1 + i % 28), f"S{i % 5}") for i in range(2 * n // 3)]
+    df = spark.createDataFrame(hot + cold, "patient_id string, stage string, event_date date, site_id string").repartition(8)
+    first = first_per_key(df, ["patient_id", "stage"], ["event_date", "site_id"])
+    got = {(r["patient_id"], r["stage"]): (r["event_date"], r["site_id"]) for r in first.collect()}
+    assert got[("HOT", "lead")] == (D(2024, 1, 1), "S0")
+    assert got[("HOT", "enrolled")] == min((d, s) for p, st, d, s in hot if st == "enrolled")
+    assert len(got) == 3 + 2 * n // 3
+    piv = milestone_pivot(df, ["patient_id"], "stage", ["lead", "consented", "enrolled"], "event_date",
+                          carry={"site_id": representative("site_id", ["event_date"])})
+    h = piv.filter("patient_id = 'HOT'").first()
+    assert h["lead_date"] == D(2024, 1, 1) and h["site_id"] == "S0"
+    ranked = first_k_per_group(df.withColumn("g", F.lit(1)), ["patient_id"], ["event_date", "site_id", "stage"], 7, "n")
+    assert ranked.filter("patient_id = 'HOT'").count() == 7
