@@ -63,8 +63,9 @@ class VersionedTable:
         return any(b == batch_id for _, b, _, _ in self._entries())
 
     def versions(self) -> DataFrame:
-        """Load log: one row per version with its batch id and row count."""
-        rows = [(v, b, n) for v, b, _, n in self._entries()]
+        """Load log: one row per version with its batch id and row count (counted from the
+        version's Parquet footers when asked, not at write time)."""
+        rows = [(v, b, self.spark.read.parquet(d).count()) for v, b, d, _ in self._entries()]
         return self.spark.createDataFrame(rows, "load_version int, batch_id string, rows bigint").orderBy("load_version")
 
     # ---- data ----
@@ -87,7 +88,7 @@ class VersionedTable:
         v = (self.latest_version() or 0) + 1
         d = f"{self.path}/v{v:06d}-{uuid.uuid4().hex[:12]}"
         df.write.mode("overwrite").parquet(d)
-        n = self.spark.read.parquet(d).count()  # answered from Parquet footers
+        n = -1  # counted on demand by versions()
         entry = [(v, batch_id, d, n, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))]
         self.spark.createDataFrame(entry, LOG_SCHEMA).write.mode("append").parquet(self.log_path)
         self._schemas[v] = df.schema

@@ -182,18 +182,18 @@ class Run:
             state = self.silver_increment(state, seen, f"load_{i + 1}")
             self._states.append(state)
         b = self.bronze
-        self._silver = {
-            "study": SV.study(b["studies"]),
-            "site": SV.site(b["sites"]),
-            "patient": SV.patient(b["patients"]),
-            "funnel": state.funnel,
-            "dim_patient": state.dim_patient,
-            "marks": state.marks,
-            "marketing": SV.marketing(b["marketing_daily"]),
-            "campaign": SV.campaign(b["campaigns"]),
-            "site_costs": SV.site_costs(b["site_costs"]),
-            "budget": SV.budget(b["study_budgets"]),
-        }
+        self._silver = G.Lazy({
+            "study": lambda: SV.study(b["studies"]),
+            "site": lambda: SV.site(b["sites"]),
+            "patient": lambda: SV.patient(b["patients"]),
+            "funnel": lambda: state.funnel,
+            "dim_patient": lambda: state.dim_patient,
+            "marks": lambda: state.marks,
+            "marketing": lambda: SV.marketing(b["marketing_daily"]),
+            "campaign": lambda: SV.campaign(b["campaigns"]),
+            "site_costs": lambda: SV.site_costs(b["site_costs"]),
+            "budget": lambda: SV.budget(b["study_budgets"]),
+        })
 
     # ---- Gold ----
     def star(self) -> dict:
