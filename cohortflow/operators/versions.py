@@ -17,7 +17,6 @@ import datetime as _dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import table_exists

@@ -145,3 +145,14 @@ def run(spark: SparkSession, landing: str, lake_root: str, batch_id: str, params
     ingest_bronze(spark, landing, lake)
     silver_run(spark, lake, batch_id, params)
     return publish_gold(spark, lake, params)
+
+
+GOLD_TABLES = ["dim_study", "dim_site", "dim_patient", "dim_campaign", "dim_date", "fact_patient_enrollment",
+               "fact_marketing_daily", "fact_site_financials", *GOLD_MARTS, "kpi_predictability_forecast",
+               "kpi_overview"]
+
+
+def published(spark: SparkSession, lake_root: str) -> G.Lazy:
+    """Serving read: the published Gold tables of a lake (dashboards and measures read these)."""
+    root = lake_root.rstrip("/")
+    return G.Lazy({n: (lambda n=n: spark.read.parquet(f"{root}/gold/{n}")) for n in GOLD_TABLES})

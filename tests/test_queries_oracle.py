@@ -6,7 +6,6 @@ import datetime as dt
 import decimal
 import io
 import math
-import os
 
 import duckdb
 import pytest
