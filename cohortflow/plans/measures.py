@@ -3,7 +3,7 @@
 A measure is a value under a filter context: ``filters`` (column -> allowed values) restrict
 every fact that has the column; ``group_by`` is the visual's grouping (columns of the
 enrolment fact, optionally its site and study attributes). Division gives NULL on zero, like
-DAX ``DIVIDE``; fractions are 0–1. Measures over different facts (spend, site cost, enrolment)
+a BI ``DIVIDE``; fractions are 0–1. Measures over different facts (spend, site cost, enrolment)
 are aggregated apart and joined on the grouping, never joined row by row.
 """
 
