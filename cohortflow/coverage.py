@@ -146,3 +146,8 @@ COVERAGE = {
     "Q-07": ("plans.quality.forecast_fields", ["q07_forecast_fields"]),
     "Q-08": ("plans.quality.decentralized_range", ["q08_decentralized_range"]),
 }
+
+# measures evaluated under other filter contexts (non-study groupings, attribute filters)
+COVERAGE["X-05"][1].append("xctx_enrolled_by_site_type_phase2")
+COVERAGE["X-06"][1].append("xctx_pct_to_target_by_region")
+COVERAGE["X-07"][1].append("xctx_screen_fail_by_area")
