@@ -51,14 +51,17 @@ def shared_dir(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir``; only when the session has none (local tests) a fresh
     scratch folder is created and registered.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext: the conf is all there is
+        sc = None
+    if not d and sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="cohortflow-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 
