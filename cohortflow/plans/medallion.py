@@ -14,6 +14,8 @@ is lost or doubled. Reference dimensions that are re-delivered keep the latest r
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,12 +82,17 @@ def silver_run(spark: SparkSession, lake: Lake, batch_id: str, params: C.Params
     new_p = bp.agg(F.max("_ingest_ts").alias("watermark"))
     new_f = bf.agg(F.max("_ingest_ts").alias("watermark"))
     batch_ts = new_p.first()["watermark"]
+    jobs = []
     if batch_ts is not None:
-        dim_t.write(scd2_apply(dim, SV.patient(bp), PATIENT_KEY, C.SCD2_ATTRIBUTES, list(params.tracked), batch_ts),
-                    batch_id)
+        jobs.append((dim_t, scd2_apply(dim, SV.patient(bp), PATIENT_KEY, C.SCD2_ATTRIBUTES, list(params.tracked),
+                                       batch_ts)))
     if new_f.first()["watermark"] is not None:
-        fun_t.write(first_wins_upsert(fun, SV.funnel(bf, params.funnel_key), list(params.funnel_key),
-                                      ["event_date", "study_id", "site_id"]), batch_id)
+        jobs.append((fun_t, first_wins_upsert(fun, SV.funnel(bf, params.funnel_key), list(params.funnel_key),
+                                              ["event_date", "study_id", "site_id"])))
+    # the two state tables are independent: written concurrently; the marks only afterwards
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        for f in [pool.submit(t.write, df, batch_id) for t, df in jobs]:
+            f.result()
     marks = WM.advance(WM.advance(marks, "dim_patient", new_p), "funnel_events", new_f)
     marks_t.write(marks, batch_id)
     return {"dim_patient": dim_t.current(), "funnel": fun_t.current(), "marks": marks_t.current()}
@@ -125,17 +132,23 @@ def publish_gold(spark: SparkSession, lake: Lake, params: C.Params = C.DEFAULT)
     """Write the Gold star and marts (fact first; marts read the written fact, cutting lineage)."""
     star = gold_star(spark, lake, params)
     out = {}
-    for name in ["dim_study", "dim_site", "dim_patient", "dim_campaign", "dim_date", "fact_patient_enrollment",
-                 "fact_marketing_daily", "fact_site_financials"]:
-        write_parquet(star[name], f"{lake.root}/gold/{name}")
-        out[name] = spark.read.parquet(f"{lake.root}/gold/{name}")
+
+    def publish(name, df):
+        write_parquet(df, f"{lake.root}/gold/{name}")
+        return name, spark.read.parquet(f"{lake.root}/gold/{name}")
+
+    tables = ["dim_study", "dim_site", "dim_patient", "dim_campaign", "dim_date", "fact_patient_enrollment",
+              "fact_marketing_daily", "fact_site_financials"]
+    frames = {n: star[n] for n in tables}  # plans are built on this thread; the writes run concurrently
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        out.update(dict(pool.map(lambda n: publish(n, frames[n]), tables)))
     written = G.Lazy({k: (lambda k=k: out[k]) for k in out} | {"study_budgets": lambda: star["study_budgets"]})
     marts = dict(GOLD_MARTS)
     marts["kpi_predictability_forecast"] = lambda s: K.forecast(s, params)
     marts["kpi_overview"] = lambda s: K.overview(s, params)
-    for name, fn in marts.items():
-        write_parquet(fn(written), f"{lake.root}/gold/{name}")
-        out[name] = spark.read.parquet(f"{lake.root}/gold/{name}")
+    mart_frames = {n: fn(written) for n, fn in marts.items()}
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        out.update(dict(pool.map(lambda n: publish(n, mart_frames[n]), list(mart_frames))))
     return out
 
 
