@@ -103,3 +103,60 @@ def test_mark_filter_prunes_bronze_partitions(spark, tmp_dir):
     assert "_ingest_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "PushedFilters: [IsNotNull(_ingest_ts), GreaterThan(_ingest_ts" in plan
     assert out.count() == 0
+
+
+PHDR = "patient_id,study_id,site_id,age,sex,race_ethnicity,is_rural"
+
+
+def _lake_after_two_loads(spark, base, crash_after_state=False, retry_batch="b2"):
+    from cohortflow.operators import versions as V
+    from cohortflow.plans import medallion as MD
+
+    land, lake = f"{base}/landing", MD.Lake(spark, f"{base}/lake")
+    _csv(f"{land}/patients/load_1/a.csv", PHDR, ["P1,S1,X1,30,Female,White,false", "P2,S1,X1,40,Male,Asian,true"])
+    _csv(f"{land}/funnel_events/load_1/a.csv", HDR, ["P1,S1,X1,lead,2024-01-05", "P2,S1,X1,lead,2024-01-06"])
+    MD.ingest_bronze(spark, land, lake, ["patients", "funnel_events"])
+    MD.silver_run(spark, lake, "b1")
+    _csv(f"{land}/patients/load_2/b.csv", PHDR, ["P1,S1,X2,30,Female,White,false", "P2,S1,X1,40,Male,Asian,true"])
+    _csv(f"{land}/funnel_events/load_2/b.csv", HDR, ["P1,S1,X1,lead,2024-01-02", "P1,S1,X2,consented,2024-01-09"])
+    MD.ingest_bronze(spark, land, lake, ["patients", "funnel_events"])
+    if crash_after_state:
+        orig = V.VersionedTable.write
+
+        def failing(self, df, batch_id):
+            if self.path.endswith("_load_watermark"):
+                raise RuntimeError("lost the driver before the marks were written")
+            return orig(self, df, batch_id)
+
+        V.VersionedTable.write = failing
+        try:
+            MD.silver_run(spark, lake, "b2")
+        except RuntimeError:
+            pass
+        finally:
+            V.VersionedTable.write = orig
+        MD.silver_run(spark, lake, retry_batch)
+    else:
+        MD.silver_run(spark, lake, "b2")
+    return lake
+
+
+def _same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_silver_run_survives_a_crash_between_state_and_marks(spark, tmp_dir):
+    clean = _lake_after_two_loads(spark, f"{tmp_dir}/clean")
+    for retry in ("b2", "b2-retry"):
+        crashed = _lake_after_two_loads(spark, f"{tmp_dir}/crash-{retry}", crash_after_state=True, retry_batch=retry)
+        for t in ("funnel_events", "dim_patient"):
+            a = clean.silver(t).current()
+            b = crashed.silver(t).current()
+            cols = [c for c in a.columns if c not in ("effective_from", "effective_to", "patient_sk")]
+            assert _same(a.select(cols), b.select(cols)), (retry, t)
+        # the late, earlier lead event replaced the stored one; P1 moved site: two versions
+        f = {(r["patient_id"], r["stage"]): str(r["event_date"]) for r in crashed.silver("funnel_events").current().collect()}
+        assert f[("P1", "lead")] == "2024-01-02"
+        d = crashed.silver("dim_patient").current()
+        assert d.filter("patient_id = 'P1'").count() == 2 and d.filter("patient_id = 'P2'").count() == 1
+        assert d.filter("is_current").count() == 2
