@@ -2,7 +2,7 @@
 
 Parquet has no transaction log, so every load writes a complete snapshot into a fresh folder
 ``<path>/v<n>-<uuid>`` and only then appends one row ``(load_version, batch_id, dir, rows)`` to
-the small commit log ``<path>/_log``. Readers trust the log only:
+the small commit log ``<path>/commit_log``. Readers trust the log only:
 
 * a crash while the data is written leaves an orphaned folder that no reader sees, and the
   retry writes a new folder (no mixing of attempts);
@@ -34,7 +34,7 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.log_path = f"{self.path}/_log"
+        self.log_path = f"{self.path}/commit_log"
         self._log: list | None = None
         self._schemas: dict = {}
 

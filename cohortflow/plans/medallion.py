@@ -4,7 +4,7 @@
       bronze/<source>/_ingest_date=…/       append-only, stamped (streaming sink)
       _checkpoints/<source>/                 stream progress (exactly-once file discovery)
       silver/dim_patient, silver/funnel_events, silver/_load_watermark
-                                             versioned snapshots (``v<n>-<id>/`` + ``_log``)
+                                             versioned snapshots (``v<n>-<id>/`` + ``commit_log``)
       gold/<table>/                          overwritten Gold tables
 
 Silver order of writes: state tables first, then the marks. A crash in between re-reads the

@@ -74,6 +74,12 @@ def test_versioned_table_replay_guard(spark, tmp_dir):
     assert vt.write(b, "b2") == 2  # replay: skipped
     assert vt.as_of(1).count() == 1 and vt.current().count() == 2
     assert [(r["load_version"], r["rows"]) for r in vt.versions().collect()] == [(1, 1), (2, 2)]
+    # another reader (a new object, as in another process) sees the same committed versions
+    other = VersionedTable(spark, f"{tmp_dir}/vt")
+    assert other.latest_version() == 2 and other.has_batch("b1") and other.current().count() == 2
+    # an orphaned folder from a crashed attempt is invisible
+    spark.createDataFrame([(9,)], "x int").write.parquet(f"{tmp_dir}/vt/v000003-crashed")
+    assert VersionedTable(spark, f"{tmp_dir}/vt").latest_version() == 2
 
 
 def test_create_if_absent(spark, tmp_dir):
