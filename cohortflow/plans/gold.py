@@ -1,8 +1,8 @@
 """Gold star schema: D-01 … D-08.
 
-Dimensions studies/sites are bounded (one row per study / site; from region/nation in the
-driver scenario, 5 and 25 rows) and are the only sides given a broadcast hint. Every other
-join is left to AQE, which broadcasts at runtime only when the measured side is small.
+Only the study, site and campaign dimensions get a broadcast hint, and only after a bounded
+size probe proves them small (``bounded``). Every other join is left to AQE, which broadcasts
+at runtime only when the measured side is small.
 """
 
 from __future__ import annotations
@@ -89,6 +89,27 @@ def build_star(spark: SparkSession, silver: dict, dim_patient, params: C.Params,
     })
 
 
-def bounded(dim: DataFrame) -> DataFrame:
-    """Broadcast hint for a dimension with one row per study or site (bounded by design)."""
-    return F.broadcast(dim)
+BROADCAST_MAX_ROWS = 200_000
+_checked: dict = {}
+_checked_lock = threading.Lock()
+
+
+def bounded(dim: DataFrame, *cols: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Checked broadcast for a dimension (one row per study, site or campaign).
+
+    The size is proven, not assumed: a bounded probe (``limit(max_rows + 1).count()``, which
+    stops reading after ``max_rows + 1`` rows) runs once per DataFrame; within the bound the
+    side gets a broadcast hint, beyond it no hint is given and AQE chooses a shuffle join (and
+    still broadcasts at runtime if the measured side turns out small). ``cols`` projects the
+    dimension after the (cached) check, so every caller of one dimension shares one probe."""
+    key = id(dim)
+    with _checked_lock:
+        hit = _checked.get(key)
+    if hit is None or hit[0] is not dim:
+        small = dim.limit(max_rows + 1).count() <= max_rows
+        with _checked_lock:
+            _checked[key] = (dim, small)
+    else:
+        small = hit[1]
+    out = dim.select(*cols) if cols else dim
+    return F.broadcast(out) if small else out

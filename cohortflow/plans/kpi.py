@@ -57,7 +57,7 @@ def reach(star: dict) -> DataFrame:
     The fact is reduced to one row per site before the (bounded) site join, so the distinct
     site count is a plain count of those rows."""
     per_site = star["fact_patient_enrollment"].groupBy("site_id").agg(count_if(F.col("is_enrolled")).alias("enrolled"))
-    st = bounded(star["dim_site"].select("site_id", "site_type", "region"))
+    st = bounded(star["dim_site"], "site_id", "site_type", "region")
     j = per_site.join(st, "site_id")
     return j.groupBy("site_type", "region").agg(
         F.sum("enrolled").cast("bigint").alias("enrolled"), F.count(F.lit(1)).alias("sites"))
@@ -125,7 +125,7 @@ def decentralized_share(star: dict) -> DataFrame:
     """K-08: percent of a study's enrolments at community or mobile sites."""
     per = (star["fact_patient_enrollment"].groupBy("study_id", "site_id")
            .agg(count_if(F.col("is_enrolled")).alias("enrolled")))
-    st = bounded(star["dim_site"].select("site_id", "is_decentralized"))
+    st = bounded(star["dim_site"], "site_id", "is_decentralized")
     j = per.join(st, "site_id")
     g = j.groupBy("study_id").agg(
         F.sum(F.when(F.col("is_decentralized"), F.col("enrolled")).otherwise(0)).alias("_dec"),

@@ -35,9 +35,9 @@ def _fact(star: dict, group_by: Sequence[str], filters: dict | None, need_site:
     f = star["fact_patient_enrollment"]
     cols = set(group_by) | set(filters or {})
     if need_site or cols & set(SITE_ATTRS):
-        f = f.join(bounded(star["dim_site"].select("site_id", *SITE_ATTRS)), "site_id", "left")
+        f = f.join(bounded(star["dim_site"], "site_id", *SITE_ATTRS), "site_id", "left")
     if cols & set(STUDY_ATTRS):
-        f = f.join(bounded(star["dim_study"].select("study_id", *STUDY_ATTRS)), "study_id", "left")
+        f = f.join(bounded(star["dim_study"], "study_id", *STUDY_ATTRS), "study_id", "left")
     return _filter(f, filters)
 
 
@@ -56,7 +56,7 @@ def avg_days_to_first_patient(star, group_by=("study_id",), filters=None, params
     per = g + ([] if "study_id" in g else ["study_id"])
     f = _fact(star, group_by, filters)
     first = f.groupBy(*per).agg(F.min("enrolled_date").alias("_first"))
-    s = bounded(star["dim_study"].select("study_id", "start_date"))
+    s = bounded(star["dim_study"], "study_id", "start_date")
     d = first.join(s, "study_id").withColumn("_days", days_between("start_date", "_first"))
     return _agg(d, g, F.avg("_days").alias("avg_days_to_first_patient"))
 
@@ -145,7 +145,7 @@ def _money(star, table, col, out, group_by, filters):
         raise ValueError(f"{table} has no relationship to {bad}")
     df = star[table]
     if set(g) & set(STUDY_ATTRS) or set(filters or {}) & set(STUDY_ATTRS):
-        df = df.join(bounded(star["dim_study"].select("study_id", *STUDY_ATTRS)), "study_id", "left")
+        df = df.join(bounded(star["dim_study"], "study_id", *STUDY_ATTRS), "study_id", "left")
     df = _filter(df, filters)
     return _agg(df, g, F.sum(F.col(col).cast("decimal(18,2)")).cast("double").alias(out))
 

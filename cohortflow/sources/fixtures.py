@@ -65,8 +65,8 @@ def studies(t) -> DataFrame:
 def sites(t) -> DataFrame:
     n, r = t["nation"], t["region"]
     nk = F.col("n_nationkey")
-    # region has 5 rows by definition: broadcast is bounded
-    j = n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"])
+    # region: a handful of rows; a runtime broadcast by AQE when measured small
+    j = n.join(r, n["n_regionkey"] == r["r_regionkey"])
     return j.select(
         site_id_of(nk).alias("site_id"),
         F.concat(F.col("n_name"), F.lit(" Research Center")).alias("site_name"),

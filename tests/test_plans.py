@@ -53,3 +53,16 @@ def test_marts_scan_only_needed_columns(spark):
     p = plan(FX.marketing_daily(t))
     assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double,l_extendedprice:double,l_shipdate:timestamp_ntz>" in p
     assert "partial_sum" in p
+
+
+def test_broadcast_hint_only_after_size_check(spark):
+    from cohortflow.plans.gold import bounded
+
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(50).withColumnRenamed("id", "k")
+    fact = spark.range(100).withColumnRenamed("id", "k")
+    p_small = plan(fact.join(bounded(small, "k"), "k"), mode="extended")
+    p_big = plan(fact.join(bounded(big, "k", max_rows=20), "k"), mode="extended")
+    assert "broadcast" in p_small.split("== Physical Plan ==")[0].lower()
+    assert "strategy=broadcast" not in p_big.split("== Physical Plan ==")[0]
+    assert fact.join(bounded(big, "k", max_rows=20), "k").count() == 50
