@@ -4,9 +4,11 @@ One batch timestamp closes and reopens a changed key in the same pass (the refer
 statements read two different clock values and lose the reopened row). Change detection is
 null-safe (``<=>``) and the batch is made unique per key first (last row by ingest time).
 
-Plan shape: closed history rows are passed through untouched (no shuffle); only current rows
-meet the batch in one full outer join on the key; each joined row emits one or two output
-rows through ``explode`` of a filtered array, so there is no second join and no self-join.
+Plan shape: closed history rows are passed through untouched (no shuffle); when a bounded
+probe shows the batch has few keys, current rows of untouched keys pass through too (map-side
+anti join against the broadcast keys); the remaining current rows meet the batch in one full
+outer join on the key; each joined row emits one or two output rows through ``explode`` of a
+filtered array, so there is no second join and no self-join.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import ts_lit
 from .dedup import last_per_key
+from .upsert import BROADCAST_KEYS_MAX, few_keys
 
 
 def surrogate_key(key: str | Sequence[str], effective_from: Column) -> Column:
@@ -36,8 +39,8 @@ def changed(tracked: Sequence[str], left: str = "c", right: str = "s") -> Column
 
 
 def scd2_apply(dim: DataFrame, batch: DataFrame, key: str, attributes: Sequence[str], tracked: Sequence[str],
-               batch_ts: _dt.datetime | Column, sk_col: str = "patient_sk", order_col: str | None = "_ingest_ts"
-               ) -> DataFrame:
+               batch_ts: _dt.datetime | Column, sk_col: str = "patient_sk", order_col: str | None = "_ingest_ts",
+               broadcast_keys_max: int = BROADCAST_KEYS_MAX) -> DataFrame:
     """Apply one batch to an SCD2 table with columns
     ``sk, key, *attributes, effective_from, effective_to, is_current``.
 
@@ -56,6 +59,14 @@ def scd2_apply(dim: DataFrame, batch: DataFrame, key: str, attributes: Sequence[
 
     history = dim.filter(~F.col("is_current")).select(*cols)
     current = dim.filter(F.col("is_current")).select(*cols)
+    untouched = None
+    keys = src.select(F.col(key).alias("_k")).filter(F.col("_k").isNotNull()).distinct()
+    if few_keys(keys, broadcast_keys_max):
+        # checked small batch: current rows of keys not in the batch pass through a map-side
+        # anti join against the broadcast keys; only touched keys meet the batch
+        kb = F.broadcast(keys)
+        untouched = current.join(kb, current[key] == kb["_k"], "left_anti")
+        current = current.join(kb, current[key] == kb["_k"], "left_semi")
     j = current.alias("c").join(src.alias("s"), F.col(f"c.{key}") == F.col(f"s.{key}"), "full_outer")
 
     c_present = F.col(f"c.{key}").isNotNull()
@@ -78,7 +89,8 @@ def scd2_apply(dim: DataFrame, batch: DataFrame, key: str, attributes: Sequence[
     )
     rows = F.array(F.when(c_present, kept), F.when(s_present & (~c_present | chg), opened))
     out = j.select(F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r")).select("r.*")
-    return history.unionByName(out)
+    parts = history.unionByName(out)
+    return parts if untouched is None else parts.unionByName(untouched)
 
 
 def scd2_initial(batch: DataFrame, key: str, attributes: Sequence[str], batch_ts: _dt.datetime | Column,

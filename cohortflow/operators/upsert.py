@@ -3,17 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .dedup import first_per_key
 
+# a batch with at most this many distinct keys is broadcast, so untouched state is not shuffled
+BROADCAST_KEYS_MAX = 2_000_000
 
-def first_wins_upsert(stored: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+
+def few_keys(keys: DataFrame, max_rows: int = BROADCAST_KEYS_MAX) -> bool:
+    """Bounded probe: True when ``keys`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
+    return keys.limit(max_rows + 1).count() <= max_rows
+
+
+def first_wins_upsert(stored: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[str],
+                      broadcast_keys_max: int = BROADCAST_KEYS_MAX) -> DataFrame:
     """New state = first row per key over stored ∪ batch.
 
     An insert-only merge keeps the stored row even when a late batch brings an earlier event;
     taking the minimum over both keeps "first occurrence" true. Re-applying a batch changes
-    nothing (the minimum is idempotent)."""
+    nothing (the minimum is idempotent).
+
+    Plan: when a bounded probe shows the batch touches at most ``broadcast_keys_max`` keys, the
+    batch keys are broadcast; untouched stored rows pass through a map-side anti join (no
+    shuffle of the bulk of the state) and only touched rows are re-aggregated. Otherwise one
+    partial-aggregated shuffle of stored ∪ batch."""
+    key = list(key)
     cols = stored.columns
-    return first_per_key(stored.unionByName(batch.select(*cols)), key, order)
+    b = batch.select(*cols)
+    keys = b.select(*key).distinct()
+    if not few_keys(keys, broadcast_keys_max):
+        return first_per_key(stored.unionByName(b), key, order)
+    kb = F.broadcast(keys.select(*[F.col(k).alias(f"_k_{k}") for k in key]))
+    renamed = [F.col(f"_k_{k}") for k in key]
+    cond = reduce(lambda x, y: x & y, [stored[k].eqNullSafe(c) for k, c in zip(key, renamed)])
+    untouched = stored.join(kb, cond, "left_anti")
+    touched = stored.join(kb, cond, "left_semi")
+    merged = first_per_key(touched.unionByName(b), key, order)
+    return untouched.unionByName(merged.select(*cols))

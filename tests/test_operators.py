@@ -178,3 +178,25 @@ def test_hot_key_holding_a_third_of_rows(spark):
     assert h["lead_date"] == D(2024, 1, 1) and h["site_id"] == "S0"
     ranked = first_k_per_group(df.withColumn("g", F.lit(1)), ["patient_id"], ["event_date", "site_id", "stage"], 7, "n")
     assert ranked.filter("patient_id = 'HOT'").count() == 7
+
+
+def test_small_batch_fast_path_equals_full_rewrite(spark):
+    """The broadcast-keys plans (few touched keys) and the full rewrite give the same state."""
+    schema = "patient_id string, study_id string, site_id string, stage string, event_date date"
+    stored = spark.createDataFrame([(f"p{i}", "S", "X1", "lead", D(2024, 1, 10)) for i in range(20)]
+                                   + [(None, "S", "X1", "lead", D(2024, 1, 9))], schema)
+    batch = spark.createDataFrame([("p1", "S", "X2", "lead", D(2024, 1, 3)), ("p1", "S", "X1", "enrolled", D(2024, 1, 12)),
+                                   ("new", "S", "X1", "lead", D(2024, 1, 4)), (None, "S", "X1", "lead", D(2024, 1, 8))], schema)
+    key, order = ["patient_id", "study_id", "stage"], ["event_date", "study_id", "site_id"]
+    fast = first_wins_upsert(stored, batch, key, order)
+    full = first_wins_upsert(stored, batch, key, order, broadcast_keys_max=0)
+    assert fast.exceptAll(full).count() == 0 and full.exceptAll(fast).count() == 0 and fast.count() == 23
+
+    t1, t2 = T(2024, 1, 1), T(2024, 1, 15)
+    b1 = _batch(spark, [(f"A{i}", "S1", "X1", 30, "Female", "White", False) for i in range(20)], t1)
+    dim = scd2_apply(spark.createDataFrame([], DIM_PATIENT_SCHEMA), b1, "patient_id", ATTRS, TRACKED, t1)
+    b2 = _batch(spark, [("A1", "S1", "X9", 30, "Female", "White", False), ("B", "S1", "X1", 30, "Male", "Asian", True)], t2)
+    fast = scd2_apply(dim, b2, "patient_id", ATTRS, TRACKED, t2)
+    full = scd2_apply(dim, b2, "patient_id", ATTRS, TRACKED, t2, broadcast_keys_max=0)
+    assert fast.exceptAll(full).count() == 0 and full.exceptAll(fast).count() == 0
+    assert fast.count() == 22 and fast.filter("is_current").count() == 21
