@@ -34,7 +34,8 @@ NOTES = {
     "D-07 marketing (lineitem x part)": "Only 4 lineitem columns are read; partial sums before the exchange. The part "
     "side is broadcast by AQE only because it measured small; at scale this is a sort-merge join with skew split.",
     "M-01 SCD2 apply on a stored dimension": "History rows are a filtered scan (pushed `NOT is_current`) that goes "
-    "straight to the union; only current rows and the (deduplicated) batch meet in one full outer join.",
+    "straight to the union; the batch has few keys (checked), so current rows of untouched keys stream through a "
+    "broadcast anti join, and only touched current rows meet the (deduplicated) batch in one full outer join.",
 }
 
 
