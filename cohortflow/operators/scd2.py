@@ -61,7 +61,7 @@ def scd2_apply(dim: DataFrame, batch: DataFrame, key: str, attributes: Sequence[
     current = dim.filter(F.col("is_current")).select(*cols)
     untouched = None
     keys = src.select(F.col(key).alias("_k")).filter(F.col("_k").isNotNull()).distinct()
-    if few_keys(keys, broadcast_keys_max):
+    if few_keys(keys, current, broadcast_keys_max):
         # checked small batch: current rows of keys not in the batch pass through a map-side
         # anti join against the broadcast keys; only touched keys meet the batch
         kb = F.broadcast(keys)

@@ -14,9 +14,19 @@ from .dedup import first_per_key
 BROADCAST_KEYS_MAX = 2_000_000
 
 
-def few_keys(keys: DataFrame, max_rows: int = BROADCAST_KEYS_MAX) -> bool:
-    """Bounded probe: True when ``keys`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return keys.limit(max_rows + 1).count() <= max_rows
+# ... and the state holds more than this many rows per touched key
+STATE_TO_BATCH_RATIO = 4
+
+
+def few_keys(keys: DataFrame, state: DataFrame, max_rows: int = BROADCAST_KEYS_MAX,
+             ratio: int = STATE_TO_BATCH_RATIO) -> bool:
+    """Bounded probes: the batch has n <= ``max_rows`` keys (reads at most max_rows + 1 rows) and
+    the state has more than ``ratio`` × n rows (reads at most ratio × n + 1 rows). Only then do
+    broadcast keys pay off; a full re-extract takes the single-shuffle plan."""
+    n = keys.limit(max_rows + 1).count()
+    if n > max_rows:
+        return False
+    return state.limit(ratio * n + 1).count() > ratio * n
 
 
 def first_wins_upsert(stored: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[str],
@@ -27,15 +37,15 @@ def first_wins_upsert(stored: DataFrame, batch: DataFrame, key: Sequence[str], o
     taking the minimum over both keeps "first occurrence" true. Re-applying a batch changes
     nothing (the minimum is idempotent).
 
-    Plan: when a bounded probe shows the batch touches at most ``broadcast_keys_max`` keys, the
-    batch keys are broadcast; untouched stored rows pass through a map-side anti join (no
+    Plan: when bounded probes show the batch touches at most ``broadcast_keys_max`` keys and the
+    state is several times larger, the batch keys are broadcast; untouched stored rows pass through a map-side anti join (no
     shuffle of the bulk of the state) and only touched rows are re-aggregated. Otherwise one
     partial-aggregated shuffle of stored ∪ batch."""
     key = list(key)
     cols = stored.columns
     b = batch.select(*cols)
     keys = b.select(*key).distinct()
-    if not few_keys(keys, broadcast_keys_max):
+    if not few_keys(keys, stored, broadcast_keys_max):
         return first_per_key(stored.unionByName(b), key, order)
     kb = F.broadcast(keys.select(*[F.col(k).alias(f"_k_{k}") for k in key]))
     renamed = [F.col(f"_k_{k}") for k in key]
