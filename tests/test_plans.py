@@ -72,3 +72,14 @@ def test_broadcast_hint_only_after_size_check(spark):
     assert "broadcast" in p_small.split("== Physical Plan ==")[0].lower()
     assert "strategy=broadcast" not in p_big.split("== Physical Plan ==")[0]
     assert fact.join(bounded(big, "k", max_rows=20), "k").count() == 50
+
+
+def test_cluster_conf_sizes_partitions_for_large_shuffles():
+    from cohortflow.session import cluster_conf
+
+    conf = cluster_conf(30 * 1024 ** 4)  # 30 TB of shuffle
+    parts = int(conf["spark.sql.shuffle.partitions"])
+    assert parts >= 8000 and 30 * 1024 ** 4 / parts <= 256 * 1024 ** 2 + 1
+    small = cluster_conf(1024 ** 3, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 40  # never below the task slots
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
