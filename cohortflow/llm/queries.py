@@ -1,4 +1,4 @@
 """The queries and SQL that ``__spark_entry__`` adds: importing the operators registers them."""
 
-from cohortflow.llm import decontamination, packing, quality, secrets_scan, token_files  # noqa: F401
+from cohortflow.llm import decontamination, packing, personal_data, quality, secrets_scan, token_files  # noqa: F401
 from cohortflow.llm.common import QUERIES, SQL  # noqa: F401
