@@ -15,9 +15,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
+from cohortflow.llm.word_hashes import SpanHasher
+
 DEFAULT_VOCAB = "word_bpe_49k.json"
-_MUL = 0x9E3779B97F4A7C15 | 1
-_INV = pow(_MUL, -1, 1 << 64)
 _ALNUM = np.zeros(256, bool)
 _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 
@@ -28,17 +28,6 @@ def vocab_path(name: str = DEFAULT_VOCAB) -> str:
     return str(public_tokenizers.path(name))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    p = np.empty(n, np.uint64)
-    p[0] = 1
-    have = 1
-    while have < n:  # doubling: p[have + i] = p[i] * base**have
-        more = min(have, n - have)
-        p[have : have + more] = p[:more] * np.uint64(pow(base, have, 1 << 64))
-        have += more
-    return p
-
-
 class PieceEncoder:
     """Ids of whole texts. At most ``capacity`` pieces are kept (about 50 bytes each)."""
 
@@ -49,7 +38,7 @@ class PieceEncoder:
         self.tok = Tokenizer.from_file(path)
         self.size = self.tok.get_vocab_size()
         self.capacity = capacity
-        self.up, self.down = _powers(_MUL, 1 << 16), _powers(_INV, 1 << 16)
+        self.hasher = SpanHasher()
         self._forget()
 
     def _forget(self) -> None:
@@ -77,19 +66,13 @@ class PieceEncoder:
     def _encode(self, docs: list[bytes]) -> list[np.ndarray]:
         raw = b"\n".join(docs) + b"\n"
         buf = np.frombuffer(raw, np.uint8)
-        if len(buf) >= len(self.up):
-            self.up, self.down = _powers(_MUL, 2 * len(buf)), _powers(_INV, 2 * len(buf))
         gap = (buf == 32) | (buf == 10)
         begin = ~gap
         begin[1:] &= gap[:-1] | (((buf[1:] == 46) | (buf[1:] == 44)) & _ALNUM[buf[:-1]])
         edge = np.flatnonzero(gap | begin)
         k = np.flatnonzero(begin[edge])
         s, e = edge[k], edge[np.minimum(k + 1, len(edge) - 1)]
-        # polynomial hash of every piece from one running sum; modulo 2**64, so subtraction is exact
-        total = np.zeros(len(buf) + 1, np.uint64)
-        np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * self.up[: len(buf)], out=total[1:])
-        h = (total[e] - total[s]) * self.down[s]
-        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + (e - s).astype(np.uint64)
+        h = self.hasher.hashes(buf, s, e)
         keys, first, which = np.unique(h, return_index=True, return_inverse=True)
         for _ in range(2):
             j = np.searchsorted(self.keys, keys)
