@@ -1,4 +1,4 @@
 """The queries and SQL that ``__spark_entry__`` adds: importing the operators registers them."""
 
-from cohortflow.llm import decontamination, minhash_docs, packing, personal_data, quality, secrets_scan, substrings, token_files  # noqa: F401
+from cohortflow.llm import decontamination, lines, minhash_docs, packing, personal_data, quality, secrets_scan, substrings, token_files  # noqa: F401
 from cohortflow.llm.common import QUERIES, SQL  # noqa: F401
