@@ -4,11 +4,13 @@ One batch timestamp closes and reopens a changed key in the same pass (the refer
 statements read two different clock values and lose the reopened row). Change detection is
 null-safe (``<=>``) and the batch is made unique per key first (last row by ingest time).
 
-Plan shape: closed history rows are passed through untouched (no shuffle); when a bounded
-probe shows the batch has few keys, current rows of untouched keys pass through too (map-side
-anti join against the broadcast keys); the remaining current rows meet the batch in one full
-outer join on the key; each joined row emits one or two output rows through ``explode`` of a
-filtered array, so there is no second join and no self-join.
+Plan shape, one at every size: closed history rows are passed through untouched (no shuffle); the
+current rows meet the batch in one full outer join on the key, where a marker column on each
+side says which of them is present; each joined row emits one or two output rows through
+``explode`` of a filtered array, so there is no second join and no self-join.
+
+Rows without a key have no identity to version: they take no part (``without_key`` gives them, for
+the reject count).
 """
 
 from __future__ import annotations
@@ -21,13 +23,11 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import ts_lit
 from .dedup import last_per_key
-from .upsert import BROADCAST_KEYS_MAX, few_keys
-
 
 def surrogate_key(key: str | Sequence[str], effective_from: Column) -> Column:
-    """M-02: ``sha2(key ~ effective_from)``: stable across replays (unlike ``uuid()``)."""
+    """M-02: ``sha2(key ~ effective_from)``, to the microsecond: stable across replays (unlike ``uuid()``)."""
     keys = [key] if isinstance(key, str) else list(key)
-    parts = [F.col(k).cast("string") for k in keys] + [F.date_format(effective_from, "yyyy-MM-dd HH:mm:ss")]
+    parts = [F.col(k).cast("string") for k in keys] + [F.date_format(effective_from, "yyyy-MM-dd HH:mm:ss.SSSSSS")]
     return F.sha2(F.concat_ws("~", *parts), 256)
 
 
@@ -39,8 +39,7 @@ def changed(tracked: Sequence[str], left: str = "c", right: str = "s") -> Column
 
 
 def scd2_apply(dim: DataFrame, batch: DataFrame, key: str, attributes: Sequence[str], tracked: Sequence[str],
-               batch_ts: _dt.datetime | Column, sk_col: str = "patient_sk", order_col: str | None = "_ingest_ts",
-               broadcast_keys_max: int = BROADCAST_KEYS_MAX) -> DataFrame:
+               batch_ts: _dt.datetime | Column, sk_col: str = "patient_sk", order_col: str | None = "_ingest_ts") -> DataFrame:
     """Apply one batch to an SCD2 table with columns
     ``sk, key, *attributes, effective_from, effective_to, is_current``.
 
@@ -51,26 +50,19 @@ def scd2_apply(dim: DataFrame, batch: DataFrame, key: str, attributes: Sequence[
     ts = batch_ts if isinstance(batch_ts, Column) else ts_lit(batch_ts)
     cols = [sk_col, key, *attributes, "effective_from", "effective_to", "is_current"]
     src_cols = [key, *attributes] + ([order_col] if order_col and order_col in batch.columns else [])
-    src = batch.select(*src_cols)
+    src = batch.select(*src_cols).filter(F.col(key).isNotNull())
     if order_col and order_col in src.columns:
         src = last_per_key(src, [key], [order_col]).drop(order_col)
     else:
         src = last_per_key(src, [key], list(attributes))
 
     history = dim.filter(~F.col("is_current")).select(*cols)
-    current = dim.filter(F.col("is_current")).select(*cols)
-    untouched = None
-    keys = src.select(F.col(key).alias("_k")).filter(F.col("_k").isNotNull()).distinct()
-    if few_keys(keys, current, broadcast_keys_max):
-        # checked small batch: current rows of keys not in the batch pass through a map-side
-        # anti join against the broadcast keys; only touched keys meet the batch
-        kb = F.broadcast(keys)
-        untouched = current.join(kb, current[key] == kb["_k"], "left_anti")
-        current = current.join(kb, current[key] == kb["_k"], "left_semi")
+    current = dim.filter(F.col("is_current")).select(*cols).withColumn("_in_table", F.lit(True))
+    src = src.withColumn("_in_batch", F.lit(True))
     j = current.alias("c").join(src.alias("s"), F.col(f"c.{key}") == F.col(f"s.{key}"), "full_outer")
 
-    c_present = F.col(f"c.{key}").isNotNull()
-    s_present = F.col(f"s.{key}").isNotNull()
+    c_present = F.coalesce("c._in_table", F.lit(False))
+    s_present = F.coalesce("s._in_batch", F.lit(False))
     chg = c_present & s_present & changed(tracked)
 
     kept = F.struct(
@@ -89,8 +81,12 @@ def scd2_apply(dim: DataFrame, batch: DataFrame, key: str, attributes: Sequence[
     )
     rows = F.array(F.when(c_present, kept), F.when(s_present & (~c_present | chg), opened))
     out = j.select(F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r")).select("r.*")
-    parts = history.unionByName(out)
-    return parts if untouched is None else parts.unionByName(untouched)
+    return history.unionByName(out)
+
+
+def without_key(batch: DataFrame, key: str) -> DataFrame:
+    """Rows of a batch that ``scd2_apply`` leaves out."""
+    return batch.filter(F.col(key).isNull())
 
 
 def scd2_initial(batch: DataFrame, key: str, attributes: Sequence[str], batch_ts: _dt.datetime | Column,
@@ -99,6 +95,7 @@ def scd2_initial(batch: DataFrame, key: str, attributes: Sequence[str], batch_ts
     Equal to ``scd2_apply`` on an empty table. ``unique=True`` skips the per-key dedup for a
     batch that is one row per key by construction."""
     ts = batch_ts if isinstance(batch_ts, Column) else ts_lit(batch_ts)
+    batch = batch.filter(F.col(key).isNotNull())
     if unique:
         src = batch.select(key, *attributes)
     elif order_col and order_col in batch.columns:

@@ -3,54 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .dedup import first_per_key
 
-# a batch with at most this many distinct keys is broadcast, so untouched state is not shuffled
-BROADCAST_KEYS_MAX = 2_000_000
 
-
-# ... and the state holds more than this many rows per touched key
-STATE_TO_BATCH_RATIO = 4
-
-
-def few_keys(keys: DataFrame, state: DataFrame, max_rows: int = BROADCAST_KEYS_MAX,
-             ratio: int = STATE_TO_BATCH_RATIO) -> bool:
-    """Bounded probes: the batch has n <= ``max_rows`` keys (reads at most max_rows + 1 rows) and
-    the state has more than ``ratio`` × n rows (reads at most ratio × n + 1 rows). Only then do
-    broadcast keys pay off; a full re-extract takes the single-shuffle plan."""
-    n = keys.limit(max_rows + 1).count()
-    if n > max_rows:
-        return False
-    return state.limit(ratio * n + 1).count() > ratio * n
-
-
-def first_wins_upsert(stored: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[str],
-                      broadcast_keys_max: int = BROADCAST_KEYS_MAX) -> DataFrame:
+def first_wins_upsert(stored: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """New state = first row per key over stored ∪ batch.
 
     An insert-only merge keeps the stored row even when a late batch brings an earlier event;
     taking the minimum over both keeps "first occurrence" true. Re-applying a batch changes
-    nothing (the minimum is idempotent).
-
-    Plan: when bounded probes show the batch touches at most ``broadcast_keys_max`` keys and the
-    state is several times larger, the batch keys are broadcast; untouched stored rows pass through a map-side anti join (no
-    shuffle of the bulk of the state) and only touched rows are re-aggregated. Otherwise one
-    partial-aggregated shuffle of stored ∪ batch."""
+    nothing (the minimum is idempotent). One plan at every size: one shuffle of stored ∪ batch,
+    pre-aggregated map-side."""
     key = list(key)
-    cols = stored.columns
-    b = batch.select(*cols)
-    keys = b.select(*key).distinct()
-    if not few_keys(keys, stored, broadcast_keys_max):
-        return first_per_key(stored.unionByName(b), key, order)
-    kb = F.broadcast(keys.select(*[F.col(k).alias(f"_k_{k}") for k in key]))
-    renamed = [F.col(f"_k_{k}") for k in key]
-    cond = reduce(lambda x, y: x & y, [stored[k].eqNullSafe(c) for k, c in zip(key, renamed)])
-    untouched = stored.join(kb, cond, "left_anti")
-    touched = stored.join(kb, cond, "left_semi")
-    merged = first_per_key(touched.unionByName(b), key, order)
-    return untouched.unionByName(merged.select(*cols))
+    return first_per_key(stored.unionByName(batch.select(*stored.columns)), key, order)

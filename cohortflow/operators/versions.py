@@ -7,6 +7,8 @@ the small commit log ``<path>/commit_log``. Readers trust the log only:
 * a crash while the data is written leaves an orphaned folder that no reader sees, and the
   retry writes a new folder (no mixing of attempts);
 * the current version is found from the log (one row per load), never by scanning the data;
+* a version number belongs to the writer that creates its claim file (the file system's create
+  without overwrite, so only one of several writers can); another writer takes the next number;
 * a retried load whose ``batch_id`` is already in the log is skipped (replay guard, needed for
   at-least-once ``foreachBatch``).
 """
@@ -17,8 +19,10 @@ import datetime as _dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalar import ts_lit
 from ..session import table_exists
 
 LOG_SCHEMA = T.StructType([
@@ -80,11 +84,38 @@ class VersionedTable:
         v = self.latest_version()
         return None if v is None else self.as_of(v)
 
+    def version_of(self, batch_id: str) -> int | None:
+        """The version that a batch committed."""
+        return next((v for v, b, _, _ in self._entries() if b == batch_id), None)
+
+    def version_at(self, when: _dt.datetime) -> int | None:
+        """The latest version committed at or before ``when`` (UTC)."""
+        if not table_exists(self.spark, self.log_path):
+            return None
+        log = self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
+        return log.filter(F.col("committed_at") <= ts_lit(when)).agg(F.max("load_version")).first()[0]
+
+    def _claim(self, version: int) -> bool:
+        """Create the version's claim file; false if another writer has it."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/claims/v{version:06d}")
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        try:
+            fs.create(path, False).close()
+            return True
+        except Exception:
+            if fs.exists(path):
+                return False
+            raise
+
     def write(self, df: DataFrame, batch_id: str) -> int:
-        """Write ``df`` as the next version unless ``batch_id`` was already committed."""
+        """Write ``df`` as the next version unless ``batch_id`` was already committed; the version
+        that holds the batch."""
         if self.has_batch(batch_id):
-            return self.latest_version()
+            return self.version_of(batch_id)
         v = (self.latest_version() or 0) + 1
+        while not self._claim(v):
+            v += 1
         d = f"{self.path}/v{v:06d}-{uuid.uuid4().hex[:12]}"
         df.write.mode("overwrite").parquet(d)
         n = -1  # counted on demand by versions()

@@ -101,7 +101,8 @@ def forecast(star: dict, params: C.Params = C.DEFAULT) -> DataFrame:
     velocity = round_half_even(F.coalesce(F.col("_recent"), F.lit(0)).cast("double") / F.lit(float(weeks)), 2)
     j = j.withColumn("enrolled_to_date", enrolled).withColumn("weekly_velocity", velocity)
     weeks_remaining = F.greatest(F.lit(0.0), F.datediff("planned_end_date", as_of).cast("double") / F.lit(7.0))
-    remaining = zero_floor(F.col("target_enrollment") - F.col("enrolled_to_date")).cast("int")
+    # an unknown target leaves what remains, and so the projection, unknown
+    remaining = F.when(F.col("target_enrollment").isNotNull(), zero_floor(F.col("target_enrollment") - F.col("enrolled_to_date"))).cast("int")
     j = j.withColumn("remaining", remaining)
     weeks_to_target = F.when(F.col("weekly_velocity") > 0, F.col("remaining").cast("double") / F.col("weekly_velocity"))
     j = j.withColumn("weeks_to_target", weeks_to_target)
@@ -112,7 +113,7 @@ def forecast(star: dict, params: C.Params = C.DEFAULT) -> DataFrame:
     return j.select(
         *s.columns,
         "enrolled_to_date",
-        round_half_even(F.lit(100.0) * F.col("enrolled_to_date") / F.col("target_enrollment"), 1).alias("pct_to_target"),
+        round_half_even(safe_div(F.lit(100.0) * F.col("enrolled_to_date"), F.col("target_enrollment")), 1).alias("pct_to_target"),
         "weekly_velocity", "remaining", "weeks_to_target",
         trunc_int(F.col("enrolled_to_date") + F.col("weekly_velocity") * weeks_remaining).alias("projected_at_plan_end"),
         "projected_completion_date",

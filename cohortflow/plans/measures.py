@@ -24,7 +24,18 @@ SITE_ATTRS = ["site_type", "region", "is_decentralized"]
 STUDY_ATTRS = ["therapeutic_area", "phase"]
 
 
-def _filter(df: DataFrame, filters: dict | None) -> DataFrame:
+def _model(star: dict) -> set[str]:
+    """Every column that a filter may name."""
+    tables = ("fact_patient_enrollment", "dim_study", "dim_site", "fact_marketing_daily", "fact_site_financials")
+    return {c for t in tables for c in star[t].columns}
+
+
+def _filter(star: dict, df: DataFrame, filters: dict | None) -> DataFrame:
+    """A filter on a column that this table isn't related to leaves it as it is (as in the semantic
+    model); one on a column that no table has is an error."""
+    unknown = sorted(set(filters or {}) - _model(star))
+    if unknown:
+        raise ValueError(f"no table has {unknown}")
     for c, vals in (filters or {}).items():
         if c in df.columns:
             df = df.filter(F.col(c).isin(list(vals)))
@@ -38,7 +49,7 @@ def _fact(star: dict, group_by: Sequence[str], filters: dict | None, need_site:
         f = f.join(bounded(star["dim_site"], "site_id", *SITE_ATTRS), "site_id", "left")
     if cols & set(STUDY_ATTRS):
         f = f.join(bounded(star["dim_study"], "study_id", *STUDY_ATTRS), "study_id", "left")
-    return _filter(f, filters)
+    return _filter(star, f, filters)
 
 
 def _agg(df: DataFrame, group_by: Sequence[str], *cols: Column) -> DataFrame:
@@ -87,7 +98,7 @@ def pct_to_target(star, group_by=("study_id",), filters=None, params=C.DEFAULT)
     """X-06: enrolled / sum of targets of the studies in context (aggregated apart, then joined)."""
     g = list(group_by)
     enr = enrolled_to_date(star, g, filters, params)
-    studies = _filter(star["dim_study"], filters)
+    studies = _filter(star, star["dim_study"], filters)
     if g and set(g) <= {"study_id", *STUDY_ATTRS}:
         tgt = studies.groupBy(*g).agg(F.sum("target_enrollment").alias("_target"))
         j = enr.join(tgt, g, "left")
@@ -95,8 +106,8 @@ def pct_to_target(star, group_by=("study_id",), filters=None, params=C.DEFAULT)
         j = _joined([enr, studies.agg(F.sum("target_enrollment").alias("_target"))], g)
     else:
         # the study targets are not filtered by a non-study grouping: one total for every group
-        total = studies.agg(F.sum("target_enrollment")).first()[0]
-        j = enr.withColumn("_target", F.lit(total))
+        total = studies.agg(F.sum("target_enrollment").alias("_target")).withColumn("_one", F.lit(1))
+        j = enr.withColumn("_one", F.lit(1)).join(total, "_one")
     return j.select(*g, safe_div(F.col("enrolled_to_date"), F.col("_target")).alias("pct_to_target"))
 
 
@@ -109,7 +120,10 @@ def screen_fail_rate(star, group_by=("study_id",), filters=None, params=C.DEFAUL
 
 def _forecast_ctx(star, group_by, filters, params):
     fc = forecast(star, params)
-    return _filter(fc, filters)
+    bad = [c for c in group_by if c not in fc.columns]
+    if bad:
+        raise ValueError(f"the forecast has no relationship to {bad}")
+    return _filter(star, fc, filters)
 
 
 def studies_on_track(star, group_by=("study_id",), filters=None, params=C.DEFAULT) -> DataFrame:
@@ -140,13 +154,16 @@ def pct_underrepresented(star, group_by=("study_id",), filters=None, params=C.DE
 
 def _money(star, table, col, out, group_by, filters):
     g = [c for c in group_by]
-    bad = [c for c in g if c not in star[table].columns and c not in STUDY_ATTRS]
+    at_sites = "site_id" in star[table].columns
+    bad = [c for c in g if c not in star[table].columns and c not in STUDY_ATTRS and not (at_sites and c in SITE_ATTRS)]
     if bad:
         raise ValueError(f"{table} has no relationship to {bad}")
     df = star[table]
+    if at_sites and (set(g) | set(filters or {})) & set(SITE_ATTRS):
+        df = df.join(bounded(star["dim_site"], "site_id", *SITE_ATTRS), "site_id", "left")
     if set(g) & set(STUDY_ATTRS) or set(filters or {}) & set(STUDY_ATTRS):
         df = df.join(bounded(star["dim_study"], "study_id", *STUDY_ATTRS), "study_id", "left")
-    df = _filter(df, filters)
+    df = _filter(star, df, filters)
     return _agg(df, g, F.sum(F.col(col).cast("decimal(18,2)")).cast("double").alias(out))
 
 

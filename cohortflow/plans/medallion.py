@@ -7,9 +7,9 @@
                                              versioned snapshots (``v<n>-<id>/`` + ``commit_log``)
       gold/<table>/                          overwritten Gold tables
 
-Silver order of writes: state tables first, then the marks. A crash in between re-reads the
-same Bronze rows next time, and both SCD2 and the first-wins upsert are replay-safe, so nothing
-is lost or doubled. Reference dimensions that are re-delivered keep the latest row per key.
+Silver order of writes: the batch's upper marks, then the state tables, then the marks. A crash
+in between makes the retry read the same Bronze rows again, up to the upper marks, and both SCD2 and the
+first-wins upsert are replay-safe, so nothing is lost or doubled, also if new rows landed meanwhile. Reference dimensions that are re-delivered keep the latest row per key.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from .. import config as C
 from ..operators import watermark as WM
 from ..operators.dedup import last_per_key
 from ..operators.scd2 import current_view, scd2_apply
+from ..functions.scalar import ts_lit
 from ..operators.upsert import first_wins_upsert
 from ..operators.versions import VersionedTable
 from ..session import table_exists
@@ -79,14 +80,18 @@ def silver_run(spark: SparkSession, lake: Lake, batch_id: str, params: C.Params
 
     bp = WM.after_mark(lake.bronze("patients"), "_ingest_ts", WM.read_mark(marks, "dim_patient"))
     bf = WM.after_mark(lake.bronze("funnel_events"), "_ingest_ts", WM.read_mark(marks, "funnel_events"))
-    new_p = bp.agg(F.max("_ingest_ts").alias("watermark"))
-    new_f = bf.agg(F.max("_ingest_ts").alias("watermark"))
-    batch_ts = new_p.first()["watermark"]
+    upper = _upper_marks(spark, lake, batch_id, bp, bf)
+    new_p, new_f = (upper.filter(F.col("table_name") == n).select("watermark") for n in ("dim_patient", "funnel_events"))
+    batch_ts, until = (r["watermark"] if (r := f.first()) else None for f in (new_p, new_f))
+    if batch_ts is not None:
+        bp = bp.filter(F.col("_ingest_ts") <= ts_lit(batch_ts))
+    if until is not None:
+        bf = bf.filter(F.col("_ingest_ts") <= ts_lit(until))
     jobs = []
     if batch_ts is not None:
         jobs.append((dim_t, scd2_apply(dim, SV.patient(bp), PATIENT_KEY, C.SCD2_ATTRIBUTES, list(params.tracked),
                                        batch_ts)))
-    if new_f.first()["watermark"] is not None:
+    if until is not None:
         jobs.append((fun_t, first_wins_upsert(fun, SV.funnel(bf, params.funnel_key), list(params.funnel_key),
                                               ["event_date", "study_id", "site_id"])))
     # the two state tables are independent: written concurrently; the marks only afterwards
@@ -98,6 +103,23 @@ def silver_run(spark: SparkSession, lake: Lake, batch_id: str, params: C.Params
     return {"dim_patient": dim_t.current(), "funnel": fun_t.current(), "marks": marks_t.current()}
 
 
+def _upper_marks(spark: SparkSession, lake: Lake, batch_id: str, bp: DataFrame, bf: DataFrame) -> DataFrame:
+    """How far each source goes in this batch (table_name, watermark), committed under the batch's id
+    before any state is written. A retry finds them and reads the same rows as the attempt before,
+    so the marks never pass rows that landed in between."""
+    t = lake.silver("_batch_upper_marks")
+    if not t.has_batch(batch_id):
+        found = [df.agg(F.max("_ingest_ts").alias("watermark")).select(F.lit(n).alias("table_name"), "watermark")
+                 for n, df in (("dim_patient", bp), ("funnel_events", bf))]
+        t.write(found[0].unionByName(found[1]).filter(F.col("watermark").isNotNull()), batch_id)
+    return t.as_of(t.version_of(batch_id))
+
+
+def reject_counts(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
+    """(column, rejected): Bronze values of ``source`` that fail their cast in Silver, by column."""
+    return SV.rejects(lake.bronze(source), source)
+
+
 def _reference(lake: Lake, source: str) -> DataFrame:
     b = lake.bronze(source)
     key = REFERENCE_KEYS[source]

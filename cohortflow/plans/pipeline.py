@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import watermark as WM
-from ..operators.scd2 import current_view, empty_like, scd2_apply, scd2_initial
+from ..operators.scd2 import current_view, empty_like, scd2_apply
 from ..operators.upsert import first_wins_upsert
 from ..operators.versions import VersionedTable
 from ..sources import fixtures as FX
@@ -116,7 +116,8 @@ class Run:
     loads: int = 2
     _silver: dict | None = None
     _states: list = field(default_factory=list)
-    _star: dict | None = None
+    _star: G.Lazy | None = None
+    _lock: threading.RLock = field(default_factory=threading.RLock)
     _bronze_cache: dict = field(default_factory=dict)
     _tables: dict = field(default_factory=dict)
 
@@ -127,9 +128,10 @@ class Run:
     @property
     def silver(self) -> dict:
         """Silver after all loads (built on first use: each run reads its mark first)."""
-        if self._silver is None:
-            self.build_silver(self.loads)
-        return self._silver
+        with self._lock:
+            if self._silver is None:
+                self.build_silver(self.loads)
+            return self._silver
 
     @property
     def states(self) -> list:
@@ -222,13 +224,17 @@ class Run:
             "budget": lambda: SV.budget(b["study_budgets"]),
         })
 
+    def version(self, table: str, batch_id: str) -> DataFrame:
+        """A stored Silver table as the batch left it."""
+        t = self._tables[table]
+        return t.as_of(t.version_of(batch_id))
+
     # ---- Gold ----
-    def star(self) -> dict:
-        if self._star is None:
-            s = self.silver
-            self._star = G.build_star(self.spark, s, lambda: current_view(s["dim_patient"], DIM_PATIENT_COLS),
-                                      self.params)
-        return self._star
+    def star(self) -> G.Lazy:
+        with self._lock:
+            if self._star is None:
+                self._star = star(self)
+            return self._star
 
 
 def run(spark: SparkSession, sf_dir: str, params: C.Params = C.DEFAULT, loads: int = 2,
@@ -238,50 +244,23 @@ def run(spark: SparkSession, sf_dir: str, params: C.Params = C.DEFAULT, loads: i
     return r
 
 
-def star(spark: SparkSession, sf_dir: str, params: C.Params = C.DEFAULT, landed: Landed | None = None,
-         store: str | None = None) -> G.Lazy:
-    """Gold star over the driver tables, built the short way: one load, no SCD2 history.
-
-    The marts depend only on current patient attributes, which both patient extracts share, so
-    this equals the two-load run's Gold and skips the incremental bookkeeping. The fact pivots
-    the landed funnel events directly: the Silver first-occurrence dedup does not change any
-    per-stage minimum nor the earliest (date, site), so one shuffle is saved. The patient
-    extract is one row per (user, k) by construction, so its first load needs no dedup.
-
-    With ``store``, the enrolment fact is written once as a Parquet table there (the reference
-    keeps facts as tables and KPIs as views) and every mart reads the written table."""
-    ld = landed or Landed(spark, sf_dir)
-    silver = G.Lazy({
-        "study": lambda: SV.study(ld["studies"]),
-        "site": lambda: SV.site(ld["sites"]),
-        "funnel_landed": lambda: SV.typed_projection(ld["funnel_events"], "funnel_events"),
-        "funnel": lambda: SV.funnel(ld["funnel_events"], params.funnel_key),
-        "marketing": lambda: SV.marketing(ld["marketing_daily"]),
-        "campaign": lambda: SV.campaign(ld["campaigns"]),
-        "site_costs": lambda: SV.site_costs(ld["site_costs"]),
-        "budget": lambda: SV.budget(ld["study_budgets"]),
-    })
-
-    def dim_patient():
-        batch = SV.patient(ld["patients"])
-        return current_view(scd2_initial(batch, PATIENT_KEY, C.SCD2_ATTRIBUTES, LOAD1_TS, unique=True),
-                            DIM_PATIENT_COLS)
-
-    s = G.build_star(spark, silver, dim_patient, params, funnel_events="funnel_landed")
-    if not store:
+def star(r: Run) -> G.Lazy:
+    """Gold star over Silver as all loads left it: ``dim_patient`` is the current projection of the
+    SCD2 table, the fact pivots the deduplicated funnel. Nothing is computed before a table is
+    asked for. With a store, the enrolment fact is written once as a Parquet table there (facts are
+    tables, KPIs are views) and every mart reads the written table."""
+    names = ["study", "site", "funnel", "dim_patient", "marketing", "campaign", "site_costs", "budget"]
+    silver = G.Lazy({n: (lambda n=n: r.silver[n]) for n in names})
+    s = G.build_star(r.spark, silver, lambda: current_view(silver["dim_patient"], DIM_PATIENT_COLS), r.params)
+    if not r.store:
         return s
     builders = dict(s._builders)
     lazy_fact = builders["fact_patient_enrollment"]
-    cache = {}
-    lock = threading.Lock()
 
     def fact():
-        with lock:
-            if "df" not in cache:
-                path = f"{store.rstrip('/')}/gold/fact_patient_enrollment"
-                lazy_fact().write.mode("overwrite").parquet(path)
-                cache["df"] = spark.read.parquet(path)
-            return cache["df"]
+        path = f"{r.store}/gold/fact_patient_enrollment"
+        lazy_fact().write.mode("overwrite").parquet(path)
+        return r.spark.read.parquet(path)
 
     builders["fact_patient_enrollment"] = fact
     return G.Lazy(builders)

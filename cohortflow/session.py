@@ -73,8 +73,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and written state.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local tests) a fresh
-    scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``; only where a session on the local master has none (tests)
+    a fresh scratch folder is created and registered. On a cluster that is an error: each
+    executor would write to its own disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -84,6 +85,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="cohortflow-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and sc.getCheckpointDir() is None:

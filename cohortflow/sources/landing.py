@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +13,10 @@ from ..session import table_exists
 from .schemas import TYPED, landing_schema
 
 
-def write_landing(df: DataFrame, path: str, files: int = 2) -> None:
-    """Land an extract as header CSV (what a source system delivers). Strings as written."""
-    (df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]).repartition(files)
+def write_landing(df: DataFrame, path: str) -> None:
+    """Land an extract as header CSV (what a source system delivers), a file for each of its
+    partitions. Strings as written."""
+    (df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
        .write.mode("overwrite").option("header", True).csv(path))
 
 
@@ -27,27 +29,43 @@ def read_landing(spark: SparkSession, path: str, source: str) -> DataFrame:
             .option("mode", "PERMISSIVE").csv(path))
 
 
-def headers(spark: SparkSession, path: str, first_column: str) -> DataFrame:
-    """(file, header line) of every CSV file below ``path``: the line that starts with the first
-    declared column name. Metadata-sized: one row per file."""
+def headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header) of every CSV file below ``path``: the file's first line. The lines of a file's
+    first block are numbered in reading order, and an aggregate keeps the first; one row per file."""
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    return (lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("header"))
-            .filter(F.col("header").startswith(first_column + ","))
-            .groupBy("file").agg(F.min("header").alias("header")))
+    first = lines.filter(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("file"), F.col("value"), F.monotonically_increasing_id().alias("n"))
+    return first.groupBy("file").agg(F.min_by("value", "n").alias("header"))
 
 
-def read_evolving(spark: SparkSession, path: str, source: str) -> DataFrame:
+def header_names(header: str) -> list[str]:
+    """Column names of a header line: quotes and a byte order mark taken off."""
+    return [c.strip() for c in next(csv.reader([header.lstrip("\ufeff")]))]
+
+
+def read_evolving(spark: SparkSession, path: str, source: str, key: str | None = None) -> DataFrame:
     """S-05: additive schema evolution. Files are grouped by their header; each group is read
     with its own header-named text schema, and the groups are unioned by name (missing
-    columns become NULL). Declared columns come first, new columns after them."""
-    first = TYPED[source][0][0]
-    groups = headers(spark, path, first).groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+    columns become NULL). Declared columns come first, new columns after them. Names match
+    whatever their case, order or quoting; a file whose header lacks the key column raises.
+
+    Only the distinct headers reach the driver; a group's files are those whose header it is, read
+    by a join of the file name with the header table."""
     declared = [n for n, _ in TYPED[source]]
+    key = key or declared[0]
+    by_lower = {n.lower(): n for n in declared}
+    found = headers(spark, path)
+    kinds = [r["header"] for r in found.select("header").distinct().collect()]  # one row a schema version
     parts = []
-    for g in groups:
-        names = [c.strip() for c in g["header"].split(",")]
+    for header in sorted(kinds):
+        names = [by_lower.get(n.lower(), n) for n in header_names(header)]
+        if key not in names:
+            raise ValueError(f"{path}: a file's header lacks {key}: {header}")
         schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-        parts.append(spark.read.schema(schema).option("header", True).csv(g["files"]))
+        rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option(
+            "recursiveFileLookup", "true").csv(path).withColumn("_file", F.col("_metadata.file_path"))
+        own = found.filter(F.col("header") == header).select(F.col("file").alias("_file"))
+        parts.append(rows.join(own, "_file", "left_semi").drop("_file"))
     if not parts:
         return spark.createDataFrame([], landing_schema(source))
     out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

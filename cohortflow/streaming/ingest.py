@@ -3,7 +3,7 @@
 Each source is one streaming query: CSV files under ``landing/<source>`` -> Bronze Parquet,
 stamped with load time and source file. The checkpoint's file log makes discovery
 exactly-once: a re-run reads only files it has not committed. ``availableNow`` processes what
-is there (in several micro-batches if large) and stops, like a scheduled batch job.
+is there and stops, like a scheduled batch job.
 """
 
 from __future__ import annotations
@@ -15,13 +15,10 @@ from ..sources.bronze import stamp_from_metadata
 from ..sources.schemas import landing_schema
 
 
-# A large backlog is split into micro-batches of at most this many files (availableNow honours
-# it), so a first run over years of landed files does not become one giant batch.
-MAX_FILES_PER_TRIGGER = 2000
-
-
 def start_ingest(spark: SparkSession, source: str, landing_glob: str, bronze_path: str, checkpoint: str,
-                 max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """One run is one batch with one ingest time, so that a load isn't split over several; a caller who
+    would rather have several may bound the files of each."""
     reader = (spark.readStream.schema(landing_schema(source)).option("header", True)
               .option("enforceSchema", False))
     if max_files_per_trigger:

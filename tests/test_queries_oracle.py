@@ -11,6 +11,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from cohortflow import registry
 from conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -50,7 +51,7 @@ def test_entry_smoke(spark):
     assert df.count() >= 0 and "screen_fail_rate_pct" in df.columns
 
 
-@pytest.mark.parametrize("qid", sorted(E.queries()))
+@pytest.mark.parametrize("qid", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, con, qid):
     df = E.queries()[qid](spark, SF_SMALL)
     rows = df.collect()
