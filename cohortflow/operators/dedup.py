@@ -1,8 +1,9 @@
 """W-01 first row per key, and the bounded first-k per group.
 
 ``first_per_key`` is an aggregate (min of a struct that leads with the ordering columns), not a
-window: Spark plans it as a partial hash aggregate before the shuffle and a final one after, so
-a key holding a third of all rows is reduced map-side to one row per task before any exchange.
+window: Spark plans it as a partial aggregate before the shuffle and a final one after, so a key
+holding a third of all rows is reduced map-side to one row per task before any exchange. With
+strings in the struct both are sort aggregates (docs/PLANS.md).
 Ties on the ordering columns are broken by the remaining columns, so the result is
 deterministic.
 """

@@ -23,7 +23,7 @@ FACT_KEY = ["patient_id", "study_id"]
 def fact_patient_enrollment(funnel: DataFrame, dim_patient: DataFrame) -> DataFrame:
     """D-06: one row per patient × study with the first date of each stage, flags, cycle times.
 
-    A single hash aggregate (partial + final) pivots the long events; the site is the site of
+    A single aggregate (partial + final) pivots the long events; the site is the site of
     the earliest event (then the smallest id) instead of an arbitrary ``any_value``."""
     ev = milestone_pivot(funnel, FACT_KEY, "stage", C.FUNNEL_STAGES, "event_date",
                          carry={"site_id": representative("site_id", ["event_date"])})

@@ -118,6 +118,27 @@ def test_governance_filter_then_mask(spark):
     assert GV.secured(df, admin, ["patient_id"]).filter(F.col("patient_id") == "PT-1").count() == 1
 
 
+def test_forecast_without_or_with_zero_target(spark):
+    as_of = D(2026, 6, 30)
+    star = make_star(spark, [fact_row("p1", "S1", "X1", enrolled=D(2026, 6, 20)), fact_row("p2", "S2", "X1", enrolled=D(2026, 6, 20))],
+                     [study("S1", None), study("S2", 0)])
+    r = {x["study_id"]: x for x in K.forecast(star, C.Params(as_of=as_of)).collect()}
+    assert r["S1"]["remaining"] is None and r["S1"]["projected_completion_date"] is None and r["S1"]["on_track"] is False
+    assert r["S2"]["pct_to_target"] is None and r["S2"]["remaining"] == 0
+
+
+def test_filters_must_name_a_column_and_reach_site_cost(spark):
+    star = make_star(spark, [fact_row("p1", "S1", "X1", enrolled=D(2026, 6, 20))], [study("S1", 4)])
+    with pytest.raises(ValueError, match="no table has"):
+        X.enrolled_to_date(star, ["study_id"], {"regoin": ["West"]}).collect()
+    star["fact_site_financials"] = spark.createDataFrame([("S1", "X1", 1000.0)], "study_id string, site_id string, operating_cost_usd double")
+    by_region = X.total_site_cost(star, ["region"]).collect()
+    assert len(by_region) == 1 and by_region[0]["total_site_cost"] is not None
+    assert X.total_site_cost(star, [], {"region": ["nowhere"]}).first()["total_site_cost"] is None
+    with pytest.raises(ValueError, match="no relationship"):
+        X.studies_on_track(star, ["site_type"])
+
+
 def test_calendar(spark):
     d = date_dim(spark, C.CALENDAR_START, C.CALENDAR_END)
     assert d.count() == 1096

@@ -188,15 +188,28 @@ def test_small_batch_fast_path_equals_full_rewrite(spark):
     batch = spark.createDataFrame([("p1", "S", "X2", "lead", D(2024, 1, 3)), ("p1", "S", "X1", "enrolled", D(2024, 1, 12)),
                                    ("new", "S", "X1", "lead", D(2024, 1, 4)), (None, "S", "X1", "lead", D(2024, 1, 8))], schema)
     key, order = ["patient_id", "study_id", "stage"], ["event_date", "study_id", "site_id"]
-    fast = first_wins_upsert(stored, batch, key, order)
-    full = first_wins_upsert(stored, batch, key, order, broadcast_keys_max=0)
-    assert fast.exceptAll(full).count() == 0 and full.exceptAll(fast).count() == 0 and fast.count() == 23
+    state = first_wins_upsert(stored, batch, key, order)
+    assert state.count() == 23
+    got = {(r["patient_id"], r["stage"]): (r["event_date"], r["site_id"]) for r in state.collect()}
+    assert got[("p1", "lead")] == (D(2024, 1, 3), "X2") and got[(None, "lead")][0] == D(2024, 1, 8)
+
+
+def test_scd2_one_plan_at_every_size_and_rows_without_key(spark):
+    from cohortflow.operators.scd2 import without_key
 
     t1, t2 = T(2024, 1, 1), T(2024, 1, 15)
-    b1 = _batch(spark, [(f"A{i}", "S1", "X1", 30, "Female", "White", False) for i in range(20)], t1)
-    dim = scd2_apply(spark.createDataFrame([], DIM_PATIENT_SCHEMA), b1, "patient_id", ATTRS, TRACKED, t1)
-    b2 = _batch(spark, [("A1", "S1", "X9", 30, "Female", "White", False), ("B", "S1", "X1", 30, "Male", "Asian", True)], t2)
-    fast = scd2_apply(dim, b2, "patient_id", ATTRS, TRACKED, t2)
-    full = scd2_apply(dim, b2, "patient_id", ATTRS, TRACKED, t2, broadcast_keys_max=0)
-    assert fast.exceptAll(full).count() == 0 and full.exceptAll(fast).count() == 0
-    assert fast.count() == 22 and fast.filter("is_current").count() == 21
+    b1 = _batch(spark, [(f"A{i}", "S1", "X1", 30, "Female", "White", False) for i in range(20)] + [(None, "S1", "X1", 1, "Male", "Asian", True)], t1)
+    empty = spark.createDataFrame([], DIM_PATIENT_SCHEMA)
+    dim = scd2_apply(empty, b1, "patient_id", ATTRS, TRACKED, t1)
+    first = scd2_initial(b1, "patient_id", ATTRS, t1)
+    assert dim.count() == first.count() == 20 and dim.exceptAll(first).count() == 0
+    assert without_key(b1, "patient_id").count() == 1
+    b2 = _batch(spark, [("A1", "S1", "X9", 30, "Female", "White", False), ("B", "S1", "X1", 30, "Male", "Asian", True),
+                        ("A2", "S1", "X1", 30, "Female", "Asian", False), ("A3", "S1", "X1", 30, "Female", "White", True),
+                        (None, "S1", "X1", 1, "Male", "Asian", True)], t2)
+    both = scd2_apply(dim, b2, "patient_id", ATTRS, TRACKED, t2)
+    assert both.count() == 24 and both.filter("is_current").count() == 21
+    assert both.filter("patient_id is null").count() == 0
+    # loads less than a second apart have keys of their own
+    near = scd2_apply(dim, b2, "patient_id", ATTRS, TRACKED, t1 + dt.timedelta(microseconds=800))
+    assert near.select("patient_sk").distinct().count() == near.count()

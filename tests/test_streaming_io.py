@@ -56,6 +56,38 @@ def test_schema_evolution_by_header(spark, tmp_dir):
     assert r["S1"]["target_enrollment"] == "10" and r["S1"]["recruitment_status"] is None
 
 
+def test_schema_evolution_new_first_column_and_quoted_header(spark, tmp_dir):
+    import pytest
+
+    base = f"{tmp_dir}/studies"
+    cols = "study_id,protocol_number,sponsor,therapeutic_area,phase,target_enrollment,planned_duration_days,start_date"
+    row = "P1,Sp,Onc,Phase I,10,100,2024-01-01"
+    _csv(f"{base}/a.csv", cols, [f"S1,{row}"])
+    _csv(f"{base}/b.csv", "recruitment_status," + cols, [f"open,S2,{row}"])
+    _csv(f"{base}/c.csv", ",".join(f'"{c.upper()}"' for c in cols.split(",")), [f"S3,{row}"])
+    _csv(f"{base}/d.csv", "\ufeff" + cols, [f"S4,{row}", f"study_id,{row}"])
+    out = {x["study_id"]: x for x in LD.read_evolving(spark, base, "studies").collect()}
+    assert sorted(out) == ["S1", "S2", "S3", "S4", "study_id"]
+    assert out["S2"]["recruitment_status"] == "open" and out["S1"]["recruitment_status"] is None
+    assert all(x["target_enrollment"] == "10" and x["sponsor"] == "Sp" for x in out.values())
+    _csv(f"{base}/e.csv", "protocol_number,sponsor", ["P9,Sp"])
+    with pytest.raises(ValueError, match="lacks study_id"):
+        LD.read_evolving(spark, base, "studies")
+
+
+def test_two_writers_get_two_versions(spark, tmp_dir):
+    a, b = (VersionedTable(spark, f"{tmp_dir}/vt") for _ in range(2))
+    one, two = spark.createDataFrame([(1,)], "x int"), spark.createDataFrame([(2,)], "x int")
+    assert a.latest_version() is None and b.latest_version() is None  # both have read the empty log
+    assert a.write(one, "a") == 1 and b.write(two, "b") == 2
+    later = VersionedTable(spark, f"{tmp_dir}/vt")
+    assert later.as_of(1).first()[0] == 1 and later.as_of(2).first()[0] == 2
+    assert later.write(one, "a") == 1  # a replay names its own version
+    import datetime as dt
+    assert later.version_at(dt.datetime(2000, 1, 1)) is None
+    assert later.version_at(dt.datetime(2100, 1, 1)) == 2
+
+
 def test_landing_scan_rejects_moved_columns(spark, tmp_dir):
     base = f"{tmp_dir}/moved"
     _csv(f"{base}/a.csv", "study_id,sponsor,protocol_number", ["S1,Sp,P1"])
@@ -166,3 +198,62 @@ def test_silver_run_survives_a_crash_between_state_and_marks(spark, tmp_dir):
         d = crashed.silver("dim_patient").current()
         assert d.filter("patient_id = 'P1'").count() == 2 and d.filter("patient_id = 'P2'").count() == 1
         assert d.filter("is_current").count() == 2
+
+
+def test_retry_does_not_pass_rows_that_landed_after_the_crash(spark, tmp_dir):
+    from cohortflow.operators import versions as V
+    from cohortflow.plans import medallion as MD
+
+    land, lake = f"{tmp_dir}/landing", MD.Lake(spark, f"{tmp_dir}/lake")
+    sources = ["patients", "funnel_events"]
+
+    def load(n, patient, site):
+        _csv(f"{land}/patients/load_{n}/a.csv", PHDR, [f"{patient},S1,{site},30,Female,White,false"])
+        _csv(f"{land}/funnel_events/load_{n}/a.csv", HDR, [f"{patient},S1,{site},lead,2024-01-0{n}"])
+        MD.ingest_bronze(spark, land, lake, sources)
+
+    load(1, "P1", "X1")
+    orig = V.VersionedTable.write
+
+    def failing(self, df, batch_id):
+        if self.path.endswith("_load_watermark"):
+            raise RuntimeError("lost the driver")
+        return orig(self, df, batch_id)
+
+    V.VersionedTable.write = failing
+    try:
+        MD.silver_run(spark, lake, "b1")
+    except RuntimeError:
+        pass
+    finally:
+        V.VersionedTable.write = orig
+    load(2, "P2", "X1")  # lands between the crash and the retry
+    MD.silver_run(spark, lake, "b1")
+    MD.silver_run(spark, lake, "b2")
+    for t in ("funnel_events", "dim_patient"):
+        assert sorted(r[0] for r in lake.silver(t).current().select("patient_id").collect()) == ["P1", "P2"], t
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
+    import pytest
+
+    from cohortflow import session
+
+    class Context:
+        master = "spark://elsewhere:7077"
+
+        def getConf(self):
+            return self
+
+        def get(self, *_):
+            return None
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = Context()
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
