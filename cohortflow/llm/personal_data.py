@@ -102,41 +102,39 @@ LABELERS = ("form", "gazetteer", "context", "edges")
 
 def candidates(docs: DataFrame) -> DataFrame:
     """One row per match: doc_id, h (the text's hash), kind, begin, end, ok (the strict form), the four
-    votes, and size (a class of length)."""
-    t = F.col("text")
-
-    def matches(k: Kind) -> Column:
-        between, found = F.split(t, k.pattern, -1), F.regexp_extract_all(t, F.lit(k.pattern), F.lit(0))
-        rows = F.arrays_zip(between.alias("p"), found.alias("m"), F.slice(between, 2, 1 << 30).alias("q"))
-        short = F.transform(rows, lambda x: F.struct(F.length(x["p"]).alias("gap"), F.right(x["p"], F.lit(AROUND)).alias("left"),
-                                                     x["m"].alias("m"), F.left(x["q"], F.lit(AROUND)).alias("right")))
-        return F.struct(F.lit(k.name).alias("kind"), F.when(k.gate(t), F.filter(short, lambda x: x["m"].isNotNull())).alias("found"))
+    votes, and size (a class of length).
 
+    Texts that pass a gate are written first; then each kind reads them with an expression of its
+    own, which keeps the generated code small."""
+    t = F.col("text")
     gates = KINDS[0].gate(t)
     for k in KINDS[1:]:
         gates = gates | k.gate(t)
-    each = docs.where("text is not null").where(gates).select("doc_id", F.xxhash64("text").alias("h"), F.explode(F.array(*[matches(k) for k in KINDS])).alias("x"))
-    each = each.where(F.size("x.found") > 0).select("doc_id", "h", F.col("x.kind").alias("kind"), F.posexplode("x.found").alias("k", "f"))
-    each = written(each.select("doc_id", "h", "kind", "k", "f.gap", "f.left", "f.m", "f.right").distinct(), "candidates")
-    before = Window.partitionBy("doc_id", "h", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.col("gap") + F.length("m")).over(before)
+    gated = written(docs.where("text is not null").where(gates).select("doc_id", F.xxhash64("text").alias("h"), "text"), "gated")
 
-    def by_kind(value: Callable[[Kind], Column]) -> Column:
-        out = F.when(F.col("kind") == KINDS[0].name, value(KINDS[0]))
-        for k in KINDS[1:]:
-            out = out.when(F.col("kind") == k.name, value(k))
-        return out
-
-    m, around = F.col("m"), F.lower(F.concat_ws(" ", "left", "right"))
-    touches = F.right("left", F.lit(1)).rlike("[A-Za-z0-9]") | F.left("right", F.lit(1)).rlike("[A-Za-z0-9]")
+    def matches(k: Kind) -> DataFrame:
+        between, found = F.split(t, k.pattern, -1), F.regexp_extract_all(t, F.lit(k.pattern), F.lit(0))
+        cut = gated.where(k.gate(t)).select("doc_id", "h", between.alias("p"), found.alias("m")).where(F.size("m") > 0)
+        rows = cut.select("doc_id", "h", F.posexplode(F.arrays_zip("p", "m", F.slice("p", 2, F.size("p")).alias("q"))).alias("k", "x")).where("x.m is not null")
+        m, left, right = F.col("x.m"), F.right("x.p", F.lit(AROUND)), F.left("x.q", F.lit(AROUND))
+        rows = rows.select("doc_id", "h", "k", F.length("x.p").alias("gap"), m.alias("m"), F.lower(F.concat_ws(" ", left, right)).alias("around"),
+                           (F.right("x.p", F.lit(1)).rlike("[A-Za-z0-9]") | F.left("x.q", F.lit(1)).rlike("[A-Za-z0-9]")).alias("touches"))
+        m, around = F.col("m"), F.col("around")
+        return rows.select("doc_id", "h", F.lit(k.name).alias("kind"), "k", "gap", F.length("m").alias("long"), k.check(m).alias("ok"),
+                           F.when(k.gazetteer(m), 1).otherwise(0).alias("gazetteer"),
+                           F.when(around.rlike(AGAINST), -1).when(around.rlike(k.near), 1).otherwise(0).alias("context"),
+                           F.when(F.col("touches"), -1).otherwise(1).alias("edges"))
+
+    each = matches(KINDS[0])
+    for k in KINDS[1:]:
+        each = each.union(matches(k))
+    each = written(each.distinct(), "candidates")  # equal rows are one here
+    before = Window.partitionBy("doc_id", "h", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("gap") + F.col("long")).over(before)
     return each.withColumn("end", end).select(
-        "doc_id", "h", "kind", (F.col("end") - F.length("m")).alias("begin"), "end",
-        by_kind(lambda k: k.check(m)).alias("ok"),
-        F.when(by_kind(lambda k: k.check(m)), 1).otherwise(-1).alias("form"),
-        F.when(by_kind(lambda k: k.gazetteer(m)), 1).otherwise(0).alias("gazetteer"),
-        F.when(around.rlike(AGAINST), -1).when(by_kind(lambda k: around.rlike(k.near)), 1).otherwise(0).alias("context"),
-        F.when(touches, -1).otherwise(1).alias("edges"),
-        F.when(F.length("m") < 10, 0).when(F.length("m") < 18, 1).otherwise(2).alias("size"))
+        "doc_id", "h", "kind", (F.col("end") - F.col("long")).alias("begin"), "end", "ok",
+        F.when(F.col("ok"), 1).otherwise(-1).alias("form"), "gazetteer", "context", "edges",
+        F.when(F.col("long") < 10, 0).when(F.col("long") < 18, 1).otherwise(2).alias("size"))
 
 
 def reliabilities(patterns: list[tuple[str, tuple[int, ...], float]], rounds: int = 100) -> dict[tuple[str, tuple[int, ...]], float]:
