@@ -242,7 +242,8 @@ def pack(docs: DataFrame, vocab: str | None = None, capacity: int = CAPACITY, en
                 sequence[own], offset[own] = r[:, 4] + q // r[:, 3], r[:, 5] + q % r[:, 3] * v
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), pa.array(sequence), pa.array(offset)], [*carried, "sequence_id", "offset"])
 
-    ranked = made.join(before.select("length", "part", "before"), ["length", "part"]).select(
+    # the counts grow with the partitions, so they aren't to be broadcast
+    ranked = made.join(before.select("length", "part", "before").hint("merge"), ["length", "part"]).select(
         "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), *["ids"] * with_ids, "ids_crc32", (F.col("before") + F.col("place")).alias("rank"))
     schema = f"doc_id long, piece int, start long, length long, {'ids binary, ' * with_ids}ids_crc32 long, sequence_id long, offset long"
     return ranked.mapInArrow(place, schema)
