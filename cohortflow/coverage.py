@@ -21,7 +21,7 @@ COVERAGE = {
     "M-04": ("operators.watermark.read_mark / read_marks / mark_frame", ["m04_marks_after_run1", "l03_backlog"]),
     "M-05": ("operators.watermark.advance", ["m05_marks_after_run2"]),
     "M-06": ("replay-safety of M-01/M-03/M-05", ["m06_replay_is_noop"]),
-    "M-07": ("operators.versions.VersionedTable", ["m07_versions"]),
+    "M-07": ("operators.versions.VersionedTable", ["m07_versions", "m07_read_as_of"]),
     # 2.3 projections, filters
     "P-01": ("plans.silver.study", ["d01_dim_study"]),
     "P-02": ("plans.silver.site", ["d02_dim_site"]),
@@ -151,3 +151,9 @@ COVERAGE = {
 COVERAGE["X-05"][1].append("xctx_enrolled_by_site_type_phase2")
 COVERAGE["X-06"][1].append("xctx_pct_to_target_by_region")
 COVERAGE["X-07"][1].append("xctx_screen_fail_by_area")
+COVERAGE["X-13"][1].append("x13_site_cost_by_region")
+COVERAGE["L-04"][1].append("l04_history_of_chosen")
+COVERAGE["L-06"][1].append("l06_trace_chosen")
+for _id, _key in (("B-01", "b01_header_cards_picked"), ("B-02", "b02_weekly_trend_picked"), ("B-03", "b03_enrolled_by_race_picked"),
+                  ("P-11", "b01_header_cards_picked")):
+    COVERAGE[_id][1].append(_key)

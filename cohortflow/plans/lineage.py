@@ -54,9 +54,18 @@ def traced_patient(run: Run) -> DataFrame:
     return multi_version_keys(run).agg(F.min("patient_id").alias("patient_id"))
 
 
-def version_history(run: Run) -> DataFrame:
-    """L-04: every version of the traced key."""
-    d = run.silver["dim_patient"].join(traced_patient(run), "patient_id", "left_semi")
+def _of_patient(run: Run, patient_id: str | None):
+    """A function that keeps a patient's rows: a literal filter, which reaches every scan, or without
+    an id a semi join with the traced key."""
+    if patient_id is not None:
+        return lambda df: df.filter(F.col("patient_id") == patient_id)
+    key = traced_patient(run)
+    return lambda df: df.join(key, "patient_id", "left_semi")
+
+
+def version_history(run: Run, patient_id: str | None = None) -> DataFrame:
+    """L-04: every version of the chosen key (the traced one if none is)."""
+    d = _of_patient(run, patient_id)(run.silver["dim_patient"])
     return d.select("patient_id", "patient_sk", "site_id", "age", "sex", "race_ethnicity", "is_rural",
                     "effective_from", "effective_to", "is_current").orderBy("effective_from")
 
@@ -82,14 +91,12 @@ def _long(df: DataFrame, step: int, layer: str) -> DataFrame:
     return df.select(*cols)
 
 
-def trace_patient(run: Run) -> DataFrame:
-    """L-06: the traced patient through fact, Gold dim, SCD2 versions, Silver events, Bronze
-    events (duplicates included) and the Bronze patient rows, as one labelled long table."""
+def trace_patient(run: Run, patient_id: str | None = None) -> DataFrame:
+    """L-06: the chosen patient (the traced one if none is) through fact, Gold dim, SCD2 versions,
+    Silver events, Bronze events (duplicates included) and the Bronze patient rows, as one labelled
+    long table."""
     star = run.star()
-    key = traced_patient(run)
-
-    def sel(df):
-        return df.join(key, "patient_id", "left_semi")
+    sel = _of_patient(run, patient_id)
 
     parts = [
         _long(sel(star["fact_patient_enrollment"]), 1, "gold.fact_patient_enrollment"),

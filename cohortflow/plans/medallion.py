@@ -115,8 +115,8 @@ def _upper_marks(spark: SparkSession, lake: Lake, batch_id: str, bp: DataFrame,
     return t.as_of(t.version_of(batch_id))
 
 
-def reject_counts(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
-    """(column, rejected): Bronze values of ``source`` that fail their cast in Silver, by column."""
+def reject_rows(lake: Lake, source: str) -> DataFrame:
+    """Bronze rows of ``source`` in which some text fails its cast in Silver (it becomes NULL there)."""
     return SV.rejects(lake.bronze(source), source)
 
 
