@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import query, table, written
+from cohortflow.llm.common import SQL, query, table, written
 
 WINDOW = 13
 BROADCAST_BYTES = 32 << 20
@@ -123,3 +123,23 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = measure(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+_SQL_WORDS = rf"list_filter(string_split_regex(translate(text, '{UPPER}', '{LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+SQL["op3_decontamination"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_SQL_WORDS} AS w FROM documents),
+item_windows AS (
+  SELECT DISTINCT item_id, list_slice(w, b, b + {WINDOW - 1}) AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - {WINDOW - 1}, 1) + 1)) AS b
+        FROM (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark WHERE text IS NOT NULL) WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(win) AS n FROM item_windows),
+doc_windows AS (
+  SELECT rid, n, b, list_slice(w, b, b + n - 1) AS win
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS b FROM d JOIN sizes ON len(w) >= n)),
+found AS (SELECT DISTINCT rid, n, b, win FROM doc_windows WHERE win IN (SELECT win FROM item_windows)),
+hit AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(b, b + n)) AS p FROM found) GROUP BY rid),
+named AS (SELECT rid, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM found JOIN item_windows USING (win) GROUP BY rid)
+SELECT doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= coalesce(len(w), 0) AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)"""
