@@ -6,7 +6,7 @@ COVERAGE = {
     "S-02": ("streaming.ingest.ingest / ingest_all", ["s02_stream_ingest", "t01_runs_per_load", "e2e_medallion_overview"]),
     "S-03": ("sources.bronze.stamp / stamp_from_metadata", ["s03_ingest_stamp", "s02_stream_ingest"]),
     "S-04": ("operators.watermark.extract_since", ["s04_extract_since", "s04_marks"]),
-    "S-05": ("sources.landing.read_evolving", ["s05_schema_evolution"]),
+    "S-05": ("sources.landing.read_evolving, streaming.ingest.ingest_evolving", ["s05_schema_evolution", "s05_stream_evolution"]),
     "S-06": ("sources.driver_tables.load_tables", ["s06_scan_invoices"]),
     "S-07": ("sources.landing.write_parquet", ["s07_parquet_sink"]),
     "S-08": ("streaming.ingest.start_ingest (parquet append sink)", ["s02_stream_ingest", "t01_runs_per_load"]),

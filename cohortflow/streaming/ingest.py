@@ -8,11 +8,17 @@ is there and stops, like a scheduled batch job.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import datetime as _dt
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.bronze import stamp_from_metadata
-from ..sources.schemas import landing_schema
+from ..sources.landing import header_names
+from ..sources.schemas import INGEST_TS, SOURCE_FILE, TYPED, landing_schema
 
 
 def start_ingest(spark: SparkSession, source: str, landing_glob: str, bronze_path: str, checkpoint: str,
@@ -47,3 +53,49 @@ def ingest_all(spark: SparkSession, specs: list[tuple[str, str, str, str]]) -> N
             errors.append(q.exception())
     if errors:
         raise errors[0]
+
+
+def ingest_evolving(spark: SparkSession, source: str, landing_glob: str, bronze_path: str, checkpoint: str,
+                    key: str | None = None) -> None:
+    """S-05 in the ingest: as ``ingest``, but a file may bring further columns, anywhere in its header.
+
+    The stream hands over lines with their file; each file's first line is its header, and the lines
+    of files with one header are parsed by a schema named after it. Bronze gets the columns that a
+    batch has (read it with ``read_evolved``). A file without the key column stops the run before
+    anything of its batch is written. Each batch is one folder, overwritten if the batch is replayed."""
+    declared = [n for n, _ in TYPED[source]]
+    key = key or declared[0]
+    by_lower = {n.lower(): n for n in declared}
+
+    def parse(batch: DataFrame, batch_id: int) -> None:
+        lines = batch.withColumn("n", F.monotonically_increasing_id())
+        first = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"), F.min("n").alias("at"))
+        lines = lines.join(first, "file").filter("n != at")
+        parts = []
+        for header in sorted(r["header"] for r in first.select("header").distinct().collect()):  # one a schema version
+            names = [by_lower.get(n.lower(), n) for n in header_names(header)]
+            if key not in names:
+                raise ValueError(f"{source}: a file's header lacks {key}: {header}")
+            schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+            parts.append(lines.filter(F.col("header") == header).select(
+                F.from_csv("value", schema.simpleString()[len("struct<"):-1].replace(":", " ")).alias("r"), "file").select("r.*", "file"))
+        if not parts:
+            return
+        out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        missing = [F.lit(None).cast("string").alias(c) for c in declared if c not in out.columns]
+        stamp = F.lit(_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp")
+        (out.select("*", *missing).withColumn(INGEST_TS, stamp).withColumnRenamed("file", SOURCE_FILE)
+            .write.mode("overwrite").parquet(f"{bronze_path}/_ingest_batch={batch_id}"))
+
+    stream = spark.readStream.text(landing_glob).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    q = (stream.writeStream.foreachBatch(parse).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+         .queryName(f"bronze_evolving_{source}").start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
+def read_evolved(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """Bronze as ``ingest_evolving`` left it; columns that a batch lacks are NULL there."""
+    return spark.read.option("mergeSchema", True).parquet(bronze_path).drop("_ingest_batch")
