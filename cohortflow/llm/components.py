@@ -1,21 +1,25 @@
-"""Distributed union-find: connected components of an edge table by alternating large-star and
-small-star steps. Every step is joins and map-side-combined aggregates over the edges, written to
-the shared folder, so nothing but the count of changed rows reaches the driver."""
+"""Distributed union-find: components of an edge table by alternating large-star and small-star
+steps, and the comparison of bucket members that leads to the edges. Every step is joins and
+map-side-combined aggregates over the edges, written to the shared folder; nothing but the answer
+to "are they stars yet" reaches the driver."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortflow.llm.common import written
 
 
+DRAWN = 6
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -25,62 +29,64 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("a", F.col("m").alias("b"))).where("a != b").distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Every node points at one root, and no root points on."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    sums = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return sums.where("up > 1 or (up > 0 and down > 0)").isEmpty()
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """(node, root) for every node with an edge, from edges (a, b) of longs: root is the least node of
-    the node's component. Loops and repeated edges don't matter; no edges give no row."""
+    """(node, root) for every node that isn't the least of its component, from edges (a, b) of longs;
+    root is the least one. Loops and repeated edges don't matter; no edges give no row."""
     edges = written(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    before = None
-    while True:
+    while not _are_stars(edges):
         edges = written(_small_star(_large_star(edges)), name)
-        # stars: every node points at a root and no root points on; then a further step changes nothing
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if now == before or not edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").limit(1).count() and _settled(edges):
-            break
-        before = now
-    roots = edges.select(F.col("b").alias("node")).distinct()
-    return written(edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots.select("node", F.col("node").alias("root"))), name)
-
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
-def _settled(edges: DataFrame) -> bool:
-    """Every node has one root only."""
-    return not edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
 
-
-def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str, hub_rounds: int) -> DataFrame:
+def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str, hub_rounds: int = 2) -> DataFrame:
     """Components of the links among members of the same bucket, from ``buckets`` (bucket, uid) and
-    ``verify``, which takes pairs (a, b) to those that are links; (node, root) as ``components`` gives.
-
-    Each round compares one member of every bucket, its hub, with all others of other components, so
-    the pairs are no more than the rows of the buckets. After ``hub_rounds`` of these, members
-    that aren't of their bucket's largest component are compared with all members of other
-    components there: then each pair of a bucket has been compared or is in one component."""
-    links = tested = roots = None
-    for turn in range(hub_rounds + 1):
-        if roots is None:
-            state = buckets.select("bucket", "uid", F.col("uid").alias("root"))
-        else:
-            state = buckets.join(roots.select(F.col("node").alias("uid"), "root"), "uid", "left").select("bucket", "uid", F.coalesce("root", "uid").alias("root"))
-            apart = state.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("bucket")
-            state = written(state.join(apart, "bucket"), f"{name}-apart")
-            if state.isEmpty():
-                break
-        if turn < hub_rounds:
-            # the least hash of the round, then the member that has it
-            order = F.xxhash64("uid", F.lit(turn))
-            hubs = state.groupBy("bucket").agg(F.min(order).alias("o"))
-            hubs = state.withColumn("o", order).join(hubs, ["bucket", "o"]).select("bucket", F.col("uid").alias("hub"), F.col("root").alias("hub_root"))
-            pairs = state.join(hubs, "bucket").where("root != hub_root").select(F.least("uid", "hub").alias("a"), F.greatest("uid", "hub").alias("b"))
-        else:
+    ``verify``, which takes pairs (a, b) to (a, b, ok); (node, root) as ``components`` gives.
+
+    Each round compares one member of every bucket that still holds several components, its hub, with
+    its members of other components, so the pairs are no more than the rows of the buckets. The hub
+    is the most central member: that with the most fellow members over all its
+    buckets, as the original is of which the others are edited copies. The second round's hub is the
+    most central one outside the bucket's largest component; later rounds draw ``DRAWN`` members of that
+    component by a hash that differs by bucket, so that a member outside it meets that many of them in
+    each of its buckets. Pairs of members that no round compares are left unlinked unless others
+    link them: to compare all of them would grow with the square of the bucket."""
+    size = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    central = written(buckets.join(size, "bucket").groupBy("uid").agg(F.sum("size").alias("fellows")), f"{name}-central")
+    # one sortable number: fellows first, the uid's hash to part equals
+    rank = F.struct("fellows", F.xxhash64("uid").alias("tie"), "uid", "root")
+    state = written(buckets.join(central, "uid").select("bucket", "uid", F.col("uid").alias("root"), "fellows"), f"{name}-state")
+    links: list[DataFrame] = []
+    roots = None
+    for turn in range(hub_rounds):
+        if turn:
+            state = state.drop("root").join(roots.select(F.col("node").alias("uid"), "root"), "uid", "left").select("bucket", "uid", F.coalesce("root", "uid").alias("root"), "fellows")
             sizes = state.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-            main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m")).select("bucket", F.col("m.root").alias("main"))
-            rest = state.join(main, "bucket").where("root != main").select("bucket", F.col("uid").alias("u"), F.col("root").alias("r"))
-            pairs = state.join(rest, "bucket").where("root != r").select(F.least("uid", "u").alias("a"), F.greatest("uid", "u").alias("b"))
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, f"{name}-pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        good = written(verify(pairs), f"{name}-links")
-        links = good if links is None else links.union(good)
-        roots = components(links, f"{name}-components")
+            main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("bucket", F.col("m.root").alias("main"))
+            state = written(state.join(main, "bucket"), f"{name}-apart")
+            if turn == 1:
+                hubs = state.where("root != main").groupBy("bucket").agg(F.max(rank).alias("hub"))
+            else:
+                drawn = Window.partitionBy("bucket").orderBy(F.xxhash64("uid", "bucket", F.lit(turn)), "uid")
+                hubs = state.where("root = main").withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= DRAWN).select("bucket", F.struct("uid", "root").alias("hub"))
+            state = state.drop("main")
+        else:
+            hubs = state.groupBy("bucket").agg(F.max(rank).alias("hub"))
+        pairs = state.join(hubs, "bucket").where("root != hub.root").select(F.least("uid", "hub.uid").alias("a"), F.greatest("uid", "hub.uid").alias("b"))
+        pairs = written(pairs.distinct(), f"{name}-pairs")
+        if turn and pairs.isEmpty():
+            break
+        # filtered when read again: what the verdict needs twice is then computed once
+        links.append(written(verify(pairs), f"{name}-links").where("ok").select("a", "b"))
+        every = links[0]
+        for more in links[1:]:
+            every = every.union(more)
+        roots = components(every, f"{name}-components")
     return roots

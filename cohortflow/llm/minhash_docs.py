@@ -39,7 +39,7 @@ from cohortflow.llm.word_hashes import MUL, in_parts, mixed, ngram_hashes, words
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
-HUB_ROUNDS = 3
+HUB_ROUNDS = 4
 _C = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 
 
@@ -146,13 +146,14 @@ def elements(docs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose multisets have at least the threshold's similarity."""
+    """(a, b, ok): whether the pairs' multisets have at least the threshold's similarity; pairs whose sizes
+    rule that out are left out."""
     left = pairs.join(sets.select(F.col("uid").alias("b"), F.col("elements").alias("y")), "b")
     both = left.join(sets.select(F.col("uid").alias("a"), F.col("elements").alias("x")), "a")
     common = F.size(F.array_intersect("x", "y"))
     # by size alone, the similarity is at most the smaller by the larger
     fits = F.least(F.size("x"), F.size("y")) >= threshold * F.greatest(F.size("x"), F.size("y"))
-    return both.where(fits & (common >= threshold * (F.size("x") + F.size("y") - common))).select("a", "b")
+    return both.where(fits).select("a", "b", (common >= threshold * (F.size("x") + F.size("y") - common)).alias("ok"))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -179,11 +180,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, class_id (the least doc_id of its near-duplicate class), copy_id
     (the least doc_id of its exact copies), class_size, kept (the first of its class)."""
     found = written(classes(docs, threshold), "doc-classes")
-    by_class = found.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    stays = found.join(by_class, "root").where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("root").agg(F.min("uid").alias("stays"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("first")
+    by_class = found.groupBy("root").agg(first, F.count(F.lit(1)).alias("class_size"))
     by_copy = found.groupBy("copy").agg(F.min("doc_id").alias("copy_id"))
-    return found.join(by_class, "root").join(stays, "root").join(by_copy, "copy").select(
-        "doc_id", "h", "class_id", "copy_id", "class_size", (F.col("uid") == F.col("stays")).alias("kept"))
+    return found.join(by_class, "root").join(by_copy, "copy").select(
+        "doc_id", "h", F.col("first.doc_id").alias("class_id"), "copy_id", "class_size", (F.col("uid") == F.col("first.uid")).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
