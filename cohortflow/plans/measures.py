@@ -106,8 +106,7 @@ def pct_to_target(star, group_by=("study_id",), filters=None, params=C.DEFAULT)
         j = _joined([enr, studies.agg(F.sum("target_enrollment").alias("_target"))], g)
     else:
         # the study targets are not filtered by a non-study grouping: one total for every group
-        total = studies.agg(F.sum("target_enrollment").alias("_target")).withColumn("_one", F.lit(1))
-        j = enr.withColumn("_one", F.lit(1)).join(total, "_one")
+        j = enr.withColumn("_target", studies.agg(F.sum("target_enrollment")).scalar())
     return j.select(*g, safe_div(F.col("enrolled_to_date"), F.col("_target")).alias("pct_to_target"))
 
 
