@@ -10,8 +10,11 @@ that can match:
    hash is the window's anchor. Equal windows have equal anchors.
 2. An anchor that only one document holds can't be part of a match. Counts, least and greatest
    doc_id by anchor (map-side sums first) tell which ones are shared.
-3. Runs of windows with one shared anchor become segments: their words, as text. A segment goes to the
-   shard of its anchor. Where an anchor has more than ``SHARD`` occurrences, its windows are dealt
+3. Runs of windows with one shared anchor become segments: their words, as text. Which anchors are
+   shared is looked up in a bitmap of fixed size (``BITMAP`` bits, 16 MB broadcast) while there are
+   few enough of them for it; where there are more, each document gets the list of its own by a
+   join. The bitmap may let unshared anchors pass, whose segments then meet no other.
+   A segment goes to the shard of its anchor. Where an anchor has more than ``SHARD`` occurrences, its windows are dealt
    one by one over as many shards as that takes, by a hash of the window; equal windows still meet.
 4. Each shard streams its segments in the order of doc_id: matching statistics against the suffix
    automaton of all segments of smaller doc_ids give the maximal spans of at least ``WINDOW`` words
@@ -29,18 +32,24 @@ any name are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import query, table, written
+from cohortflow.llm.common import SQL, query, table, written
+from cohortflow.llm.sieve import parted, sieve
 from cohortflow.llm.word_hashes import Words, in_parts, ngram_hashes, words_of
 
 WINDOW = 13
 GRAM = 5
-SHARD = 20_000
+SHARD = 4_000
+#: Bits of the bitmap; it is used for at most an eighth as many shared anchors, and with at most so many
+#: anchors that have more than one shard (12 bytes each).
+BITMAP = 1 << 27
+MANY_SHARDS = 1 << 20
 
 
 class SuffixAutomaton:
@@ -123,9 +132,8 @@ def anchors(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return begins, place, grams[place]
 
 
-def shared_anchors(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, shared): the anchors of each document that another document holds too, each with
-    the number of shards that its windows are dealt over."""
+def held_anchors(docs: DataFrame) -> DataFrame:
+    """(a, doc_id, h) for each place of a document that is the anchor of a window."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,59 +141,106 @@ def shared_anchors(docs: DataFrame) -> DataFrame:
             for first, texts in in_parts(batch.column(2).to_pylist()):
                 w = words_of(texts)
                 _, place, _ = anchors(w)
+                if not len(place):
+                    continue
                 place = np.unique(place)
                 row = first + np.searchsorted(w.first, place, "right") - 1
-                yield pa.RecordBatch.from_arrays([pa.array(ngram_hashes(w.hash, GRAM)[place].view(np.int64)) if len(place) else pa.array([], pa.int64()), pa.array(ids[row]), pa.array(h[row])], ["a", "doc_id", "h"])
+                yield pa.RecordBatch.from_arrays([pa.array(ngram_hashes(w.hash, GRAM)[place].view(np.int64)), pa.array(ids[row]), pa.array(h[row])], ["a", "doc_id", "h"])
+
+    return docs.mapInArrow(emit, "a long, doc_id long, h long")
+
+
+def shared_anchors(docs: DataFrame) -> DataFrame:
+    """(a, deal): anchors that several doc_ids hold, with the number of shards that their windows are
+    dealt over."""
+    seen = held_anchors(docs).groupBy("a").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n"))
+    return seen.where("low < high").select("a", F.ceil(F.col("n") / SHARD).cast("int").alias("deal"))
+
+
+def bitmap_of(shared: DataFrame) -> bytes:
+    """BITMAP bits, one set for each shared anchor modulo BITMAP."""
+    row = 1 << 15  # bits that bitmap_construct_agg holds
+    bit = F.pmod(F.col("a"), F.lit(BITMAP))
+    parts = shared.select((bit / row).cast("int").alias("r"), (bit % row).alias("bit")).groupBy("r").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    out = bytearray(BITMAP // 8)
+    for p in parts:
+        out[p["r"] * row // 8 : (p["r"] + 1) * row // 8] = p["bits"]
+    return bytes(out)
+
+
+SEGMENT = "a long, deal int, doc_id long, h long, first int, words binary"
+_KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+
+
+def _segments_of(w: Words, ids: list, hs: list, begins: np.ndarray, place: np.ndarray, anchor: np.ndarray, deal: np.ndarray) -> Iterator[tuple]:
+    """Rows of SEGMENT for the windows given, of the texts with these ids."""
+    if not len(begins):
+        return
+    new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (begins[1:] != begins[:-1] + 1)]))
+    last = np.concatenate([new[1:], [len(begins)]]) - 1
+    text = np.searchsorted(w.first, begins[new], "right") - 1
+    raw, at, end = w.raw, w.begin, w.end
+    for x, y, k, a, n in zip(begins[new].tolist(), begins[last].tolist(), text.tolist(), anchor[new].view(np.int64).tolist(), deal[new].tolist(), strict=True):
+        base, stop = int(w.first[k]), y + WINDOW
+        if n == 1:
+            yield a, 0, ids[k], hs[k], x - base, b" ".join(raw[at[x] : end[stop - 1]].split())
+            continue
+        for z, hashed in zip(range(x, y + 1), ngram_hashes(w.hash[x:stop], WINDOW).tolist(), strict=True):
+            yield a, hashed % n, ids[k], hs[k], z - base, b" ".join(raw[at[z] : end[z + WINDOW - 1]].split())
 
-    held = docs.mapInArrow(emit, "a long, doc_id long, h long")
-    shared = held.groupBy("a").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n"))
-    shared = shared.where("low < high").select("a", F.ceil(F.col("n") / SHARD).cast("int").alias("deal"))
-    return held.join(shared, "a").groupBy("doc_id", "h").agg(F.collect_set(F.struct("a", "deal")).alias("shared"))
+
+def _batches(rows: Iterator[tuple], at_once: int = 20_000) -> Iterator[pa.RecordBatch]:
+    while some := list(islice(rows, at_once)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some, strict=True), _KINDS, strict=True)], [x.split()[0] for x in SEGMENT.split(", ")])
 
 
 def segments(docs: DataFrame, shared: DataFrame) -> DataFrame:
     """(a, deal, doc_id, h, first, words): runs of windows with one shared anchor."""
+    spread = shared.where("deal > 1").limit(MANY_SHARDS + 1).collect() if shared.count() <= BITMAP // 8 else None
+    if spread is None or len(spread) > MANY_SHARDS:
+        return _segments_by_lists(docs, shared)
+    spread = sorted((r["a"], r["deal"]) for r in spread)
+    many = np.array([a for a, _ in spread], np.int64).view(np.uint64), np.array([d for _, d in spread], np.int64)
+    order = np.argsort(many[0])
+    known = docs.sparkSession.sparkContext.broadcast((bitmap_of(shared), many[0][order], many[1][order]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, hot, deals = known.value
+        bits = np.frombuffer(bits, np.uint8)
         for batch in batches:
-            ids, h, lists = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
+            ids, hs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for first, texts in in_parts(batch.column(2).to_pylist()):
                 w = words_of(texts)
                 begins, place, anchor = anchors(w)
-                text = np.searchsorted(w.first, begins, "right") - 1
-                rows: list[tuple] = []
-                for k in range(len(texts)):
-                    own = lists[first + k].values
-                    a = own.field(0).to_numpy().view(np.uint64)
-                    order = np.argsort(a)
-                    a, deal = a[order], own.field(1).to_numpy()[order]
-                    lo, hi = np.searchsorted(text, [k, k + 1])
-                    j = np.minimum(np.searchsorted(a, anchor[lo:hi]), len(a) - 1)
-                    yes = np.flatnonzero(a[j] == anchor[lo:hi])
-                    if not len(yes):
-                        continue
-                    spots, b = place[lo:hi][yes], begins[lo:hi][yes]
-                    # a run: consecutive windows with the same anchor place
-                    new = np.flatnonzero(np.concatenate([[True], (spots[1:] != spots[:-1]) | (b[1:] != b[:-1] + 1)]))
-                    last = np.concatenate([new[1:], [len(b)]]) - 1
-                    base = w.first[k]
-                    signed, deals = anchor[lo:hi][yes].view(np.int64), deal[j[yes]]
-                    for x, y in zip(new.tolist(), last.tolist(), strict=True):
-                        u, v = int(b[x]), int(b[y]) + WINDOW
-                        words = b" ".join(w.raw[w.begin[u] : w.end[v - 1]].split())
-                        n = int(deals[x])
-                        if n == 1:
-                            rows.append((int(signed[x]), 0, ids[first + k], h[first + k], u - int(base), words))
-                            continue
-                        for z, hashed in zip(range(u, v - WINDOW + 1), ngram_hashes(w.hash[u:v], WINDOW).tolist(), strict=True):
-                            one = b" ".join(w.raw[w.begin[z] : w.end[z + WINDOW - 1]].split())
-                            rows.append((int(signed[x]), hashed % n, ids[first + k], h[first + k], z - int(base), one))
-                if rows:
-                    a, deal, i, g, at, words = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(deal, pa.int32()), pa.array(i, pa.int64()), pa.array(g, pa.int64()), pa.array(at, pa.int32()), pa.array(words, pa.binary())], ["a", "deal", "doc_id", "h", "first", "words"])
-
-    mine = docs.join(shared, ["doc_id", "h"]).select("doc_id", "h", "text", "shared")
-    return mine.mapInArrow(cut, "a long, deal int, doc_id long, h long, first int, words binary")
+                bit = (anchor.view(np.int64) % BITMAP).astype(np.int64)
+                yes = np.flatnonzero((bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
+                anchor, deal = anchor[yes], np.ones(len(yes), np.int64)
+                if len(hot):
+                    j = np.minimum(np.searchsorted(hot, anchor), len(hot) - 1)
+                    deal = np.where(hot[j] == anchor, deals[j], 1)
+                yield from _batches(_segments_of(w, ids[first:], hs[first:], begins[yes], place[yes], anchor, deal))
+
+    return docs.select("doc_id", "h", "text").mapInArrow(cut, SEGMENT)
+
+
+def _segments_by_lists(docs: DataFrame, shared: DataFrame) -> DataFrame:
+    """The same by a join: each document with the list of its shared anchors."""
+    lists = held_anchors(docs).join(shared, "a").groupBy("doc_id", "h").agg(F.collect_set(F.struct("a", "deal")).alias("shared"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, hs, own = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
+            for k, text in enumerate(batch.column(2).to_pylist()):
+                w = words_of([text.encode()])
+                begins, place, anchor = anchors(w)
+                a = own[k].values.field(0).to_numpy().view(np.uint64)
+                order = np.argsort(a)
+                a, deals = a[order], own[k].values.field(1).to_numpy()[order]
+                j = np.minimum(np.searchsorted(a, anchor), len(a) - 1)
+                yes = np.flatnonzero(a[j] == anchor)
+                yield from _batches(_segments_of(w, [ids[k]], [hs[k]], begins[yes], place[yes], anchor[yes], deals[j[yes]]))
+
+    return docs.join(lists, ["doc_id", "h"]).select("doc_id", "h", "text", "shared").mapInArrow(cut, SEGMENT)
 
 
 class Shard:
@@ -256,10 +311,28 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             cols = list(zip(*out, strict=True)) or [[]] * 3
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], ["doc_id", "n_words", "n_removed", "text"])
 
-    return own.join(spans, ["doc_id", "h"], "left").select("doc_id", "text", "spans").mapInArrow(keep, "doc_id long, n_words long, n_removed long, text string")
+    # documents that lose nothing stay out of the shuffle
+    key = F.xxhash64("doc_id", "h")
+    some, none = parted(own, key, sieve(spans, key))
+    both = some.join(spans, ["doc_id", "h"], "left").select("doc_id", "text", "spans").union(
+        none.select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")))
+    return both.mapInArrow(keep, "doc_id long, n_words long, n_removed long, text string")
 
 
 @query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+SQL["op10_substring_dedup"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+                  list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (SELECT rid, doc_id, b, list_slice(w, b, b + {WINDOW - 1}) AS g
+        FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - {WINDOW - 1} + 1)) AS b FROM d WHERE doc_id IS NOT NULL)),
+first AS (SELECT g, min(doc_id) AS m FROM win GROUP BY g),
+gone AS (SELECT rid, list(DISTINCT p) AS ps
+         FROM (SELECT rid, unnest(range(b, b + {WINDOW})) AS p FROM win JOIN first USING (g) WHERE m < doc_id) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN ps IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (rid)"""

@@ -40,7 +40,7 @@ class SpanHasher:
 
     def hashes(self, buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
         if len(buf) > len(self.up):
-            self.up, self.down = powers(MUL, 2 * len(buf)), powers(INV, 2 * len(buf))
+            self.up, self.down = powers(MUL, len(buf) * 9 // 8), powers(INV, len(buf) * 9 // 8)
         total = np.zeros(len(buf) + 1, np.uint64)
         np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * self.up[: len(buf)], out=total[1:])
         return mixed((total[e] - total[s]) * self.down[s] + (e - s).astype(np.uint64))
@@ -74,7 +74,7 @@ def words_of(texts: list[bytes]) -> Words:
     return Words(raw, s, e, _HASHER[0].hashes(buf, s, e), np.concatenate([[0], np.searchsorted(s, ends)]))
 
 
-def in_parts(texts: list[str | None], at_once: int = 1 << 21) -> Iterator[tuple[int, list[bytes]]]:
+def in_parts(texts: list[str | None], at_once: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """(index of the first, texts as bytes), about ``at_once`` bytes at a time; null is empty."""
     some: list[bytes] = []
     size = first = 0
