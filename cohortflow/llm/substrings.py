@@ -16,6 +16,10 @@ that can match:
    join. The bitmap may let unshared anchors pass, whose segments then meet no other.
    A segment goes to the shard of its anchor. Where an anchor has more than ``SHARD`` occurrences, its windows are dealt
    one by one over as many shards as that takes, by a hash of the window; equal windows still meet.
+   A window that very many documents hold is one key all the same, so rows of such anchors are
+   dealt by a hash of the document as well, in two steps: each part finds the rows that a smaller
+   doc_id of its own covers, and what it leaves, one row of each window at most, meets in the
+   window's shard.
 4. Each shard streams its segments in the order of doc_id: matching statistics against the suffix
    automaton of all segments of smaller doc_ids give the maximal spans of at least ``WINDOW`` words
    that it holds; then the segment joins the automaton, if it isn't in it already.
@@ -168,8 +172,8 @@ def bitmap_of(shared: DataFrame) -> bytes:
     return bytes(out)
 
 
-SEGMENT = "a long, deal int, doc_id long, h long, first int, words binary"
-_KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+SEGMENT = "a long, deal int, part int, doc_id long, h long, first int, words binary"
+_KINDS = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
 
 def _segments_of(w: Words, ids: list, hs: list, begins: np.ndarray, place: np.ndarray, anchor: np.ndarray, deal: np.ndarray) -> Iterator[tuple]:
@@ -183,10 +187,10 @@ def _segments_of(w: Words, ids: list, hs: list, begins: np.ndarray, place: np.nd
     for x, y, k, a, n in zip(begins[new].tolist(), begins[last].tolist(), text.tolist(), anchor[new].view(np.int64).tolist(), deal[new].tolist(), strict=True):
         base, stop = int(w.first[k]), y + WINDOW
         if n == 1:
-            yield a, 0, ids[k], hs[k], x - base, b" ".join(raw[at[x] : end[stop - 1]].split())
+            yield a, 0, -1, ids[k], hs[k], x - base, b" ".join(raw[at[x] : end[stop - 1]].split())
             continue
         for z, hashed in zip(range(x, y + 1), ngram_hashes(w.hash[x:stop], WINDOW).tolist(), strict=True):
-            yield a, hashed % n, ids[k], hs[k], z - base, b" ".join(raw[at[z] : end[z + WINDOW - 1]].split())
+            yield a, hashed % n, ids[k] * 0x9E3779B1 % (1 << 32) % n, ids[k], hs[k], z - base, b" ".join(raw[at[z] : end[z + WINDOW - 1]].split())
 
 
 def _batches(rows: Iterator[tuple], at_once: int = 20_000) -> Iterator[pa.RecordBatch]:
@@ -195,7 +199,8 @@ def _batches(rows: Iterator[tuple], at_once: int = 20_000) -> Iterator[pa.Record
 
 
 def segments(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """(a, deal, doc_id, h, first, words): runs of windows with one shared anchor."""
+    """(a, deal, part, doc_id, h, first, words): runs of windows with one shared anchor; part is -1 where
+    the anchor has one shard."""
     spread = shared.where("deal > 1").limit(MANY_SHARDS + 1).collect() if shared.count() <= BITMAP // 8 else None
     if spread is None or len(spread) > MANY_SHARDS:
         return _segments_by_lists(docs, shared)
@@ -272,21 +277,39 @@ class Shard:
         return matched_spans(self.automaton.matches(words.split(b" ")), WINDOW)
 
 
-def removals(cut: DataFrame) -> DataFrame:
-    """(doc_id, h, begin, end): spans of words to remove."""
+SPAN = "a long, deal int, doc_id long, h long, begin int, end int, words binary"
+_SPAN_KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+
+
+def _streamed(cut: DataFrame, by: list[str]) -> DataFrame:
+    """SPAN rows of each shard's segments, dealt by ``by`` and streamed in the order of doc_id. Where a
+    segment has a part that isn't -1 and nothing covers it, it is passed on with its words."""
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, shard = None, Shard()
         for batch in batches:
             out: list[tuple] = []
-            for a, deal, doc_id, h, first, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (a, deal) != key:
-                    key, shard = (a, deal), Shard()
-                out += [(doc_id, h, first + x, first + y) for x, y in shard.spans(doc_id, words)]
-            cols = list(zip(*out, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["doc_id", "h", "begin", "end"])
-
-    return cut.repartition("a", "deal").sortWithinPartitions("a", "deal", "doc_id").mapInArrow(stream, "doc_id long, h long, begin int, end int")
+            for a, deal, part, doc_id, h, first, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (a, deal, part) != key:
+                    key, shard = (a, deal, part), Shard()
+                found = shard.spans(doc_id, words)
+                out += [(a, deal, doc_id, h, first + x, first + y, None) for x, y in found]
+                if part >= 0 and not found:
+                    out.append((a, deal, doc_id, h, first, first + WINDOW, words))
+            cols = list(zip(*out, strict=True)) or [[]] * len(_SPAN_KINDS)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _SPAN_KINDS, strict=True)], [x.split()[0] for x in SPAN.split(", ")])
+
+    columns = [x.split()[0] for x in SEGMENT.split(", ")]
+    return cut.select(*columns).repartition(*by).sortWithinPartitions(*by, "doc_id").mapInArrow(stream, SPAN)
+
+
+def removals(cut: DataFrame) -> DataFrame:
+    """(doc_id, h, begin, end): spans of words to remove."""
+    first = written(_streamed(cut, ["a", "deal", "part"]), "spans")
+    left = first.where("words is not null").select("a", "deal", F.lit(-1).alias("part"), "doc_id", "h", F.col("begin").alias("first"), "words")
+    more = _streamed(left, ["a", "deal", "part"])
+    columns = ["doc_id", "h", "begin", "end"]
+    return first.where("words is null").select(*columns).union(more.select(*columns))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
