@@ -145,6 +145,25 @@ def test_op6_lines(folder, answers):
     assert all(got[i]["n_lines"] == (0 if t is None else t.count("\n") + 1) for i, t in rows)
 
 
+SHAPES = [(" ", 1, 60), (" ", 2, 30), (" ", 3, 25), (" ", 4, 14), (" ", 5, 12), (" ", 6, 10), ("\t", 10, 7), (" ", 30, 5)]  # separator, words, letters a word
+
+
+def test_op6_alike_lines_of_every_length(spark):
+    """One character changed, in lines of one word, of few, of long words and with tabs: equal to brute force."""
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    rows = [(0, "ABCDEFGH\nABCDEFGHI\nabcdefghi\nabcdefgh\nbcdefghi\nqrstuvwx\npqrstuvwx")]
+    for k in range(400):
+        sep, n, size = SHAPES[k % len(SHAPES)]
+        line = sep.join(word(size) for _ in range(n))
+        at = rng.randrange(len(line))
+        rows += [(2 * k + 1, line), (2 * k + 2, line[:at] + "#" + line[at + 1 :])]
+    got = {r["doc_id"]: r["text"] for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute.kept_lines(rows)
+    assert sum(t == "" for t in want) > 300
+    assert [i for (i, _), t in zip(rows, want, strict=True) if got[i] != t] == []
+
+
 def test_op7_notices(folder, answers):
     got = {r["doc_id"]: r for r in answers("op7_license_scan")}
     for doc_id, text in folder[1]:
