@@ -14,6 +14,7 @@ from cohortflow.llm.common import written
 
 
 DRAWN = 6
+GROUP = 500
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -46,7 +47,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str, hub_rounds: int = 2) -> DataFrame:
+def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str, hub_rounds: int,
+                 sets_of: Callable[[DataFrame], DataFrame] | None = None, threshold: float = 0.8) -> DataFrame:
     """Components of the links among members of the same bucket, from ``buckets`` (bucket, uid) and
     ``verify``, which takes pairs (a, b) to (a, b, ok); (node, root) as ``components`` gives.
 
@@ -56,8 +58,10 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], n
     buckets, as the original is of which the others are edited copies. The second round's hub is the
     most central one outside the bucket's largest component; later rounds draw ``DRAWN`` members of that
     component by a hash that differs by bucket, so that a member outside it meets that many of them in
-    each of its buckets. Pairs of members that no round compares are left unlinked unless others
-    link them: to compare all of them would grow with the square of the bucket."""
+    each of its buckets. The members of buckets that then still hold several components are paired by
+    ``could_be_alike`` over ``sets_of``, which takes (uid, root) to (uid, root, elements): every pair of
+    a bucket is compared, or can't reach the threshold, or is in one component. Without ``sets_of`` all
+    pairs of these buckets are compared."""
     size = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     central = written(buckets.join(size, "bucket").groupBy("uid").agg(F.sum("size").alias("fellows")), f"{name}-central")
     # one sortable number: fellows first, the uid's hash to part equals
@@ -67,10 +71,7 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], n
     roots = None
     for turn in range(hub_rounds):
         if turn:
-            state = state.drop("root").join(roots.select(F.col("node").alias("uid"), "root"), "uid", "left").select("bucket", "uid", F.coalesce("root", "uid").alias("root"), "fellows")
-            sizes = state.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-            main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("bucket", F.col("m.root").alias("main"))
-            state = written(state.join(main, "bucket"), f"{name}-apart")
+            state = written(_apart(state, roots), f"{name}-apart")
             if turn == 1:
                 hubs = state.where("root != main").groupBy("bucket").agg(F.max(rank).alias("hub"))
             else:
@@ -82,11 +83,59 @@ def link_buckets(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], n
         pairs = state.join(hubs, "bucket").where("root != hub.root").select(F.least("uid", "hub.uid").alias("a"), F.greatest("uid", "hub.uid").alias("b"))
         pairs = written(pairs.distinct(), f"{name}-pairs")
         if turn and pairs.isEmpty():
-            break
+            return roots
         # filtered when read again: what the verdict needs twice is then computed once
         links.append(written(verify(pairs), f"{name}-links").where("ok").select("a", "b"))
-        every = links[0]
-        for more in links[1:]:
-            every = every.union(more)
-        roots = components(every, f"{name}-components")
-    return roots
+        roots = components(_all(links), f"{name}-components")
+    state = written(_apart(state, roots).select("bucket", "uid", "root"), f"{name}-apart")
+    if state.isEmpty():
+        return roots
+    if sets_of:
+        rest = written(state.select("uid", "root").distinct(), f"{name}-rest")
+        pairs = could_be_alike(sets_of(rest), threshold, f"{name}-rest")
+    else:
+        mates = state.select("bucket", F.col("uid").alias("b"), F.col("root").alias("r"))
+        pairs = state.join(mates, "bucket").where("uid < b and root != r").select(F.col("uid").alias("a"), "b").distinct()
+    pairs = written(pairs, f"{name}-pairs")
+    links.append(written(verify(pairs), f"{name}-links").where("ok").select("a", "b"))
+    return components(_all(links), f"{name}-components")
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    every = parts[0]
+    for more in parts[1:]:
+        every = every.union(more)
+    return every
+
+
+def _apart(state: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components by ``roots``, with the root of the largest one."""
+    state = state.drop("root").join(roots.select(F.col("node").alias("uid"), "root"), "uid", "left").select("bucket", "uid", F.coalesce("root", "uid").alias("root"), "fellows")
+    sizes = state.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("bucket", F.col("m.root").alias("main"))
+    return state.join(main, "bucket")
+
+
+def could_be_alike(sets: DataFrame, threshold: float, name: str) -> DataFrame:
+    """Pairs (a, b) of ``sets`` (uid, root, elements) with other roots whose similarity may be the
+    threshold or more; none that has it is left out.
+
+    The sets are put in one order, the elements of one component alone first, then the rarest. Two
+    sets with enough in common have their first common element so early in both that the rest of
+    either can hold as many as they need, so the join is over the sets' beginnings, with that bound
+    at each common element. An element of many sets is dealt to pairs of groups of them, no task
+    having more than about 2 x ``GROUP`` of its sets."""
+    each = sets.select("uid", "root", F.size("elements").alias("n"), F.explode("elements").alias("e"))
+    many = each.groupBy("e").agg(F.count(F.lit(1)).alias("df"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("e", "df")
+    common = each.join(many, "e").groupBy("uid", "root", "n").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("s"))
+    own = F.col("n") - F.size("s")  # elements before the common ones
+    early = F.floor(F.col("n") * (1 - threshold) + 1e-6) + 1 - own
+    starts = common.where(early > 0).select("uid", "root", "n", own.alias("own"), F.posexplode(F.slice("s", F.lit(1), early.cast("int"))))
+    groups = F.ceil(F.col("col.df") / GROUP)
+    dealt = starts.select("uid", "root", "n", (F.col("n") - F.col("own") - F.col("pos")).alias("left"), F.col("col.e").alias("e"),
+                          F.pmod(F.xxhash64("uid"), groups).alias("g"), F.explode(F.sequence(F.lit(0).cast("long"), groups - 1)).alias("h"))
+    dealt = written(dealt.select("uid", "root", "n", "left", "e", "g", F.least("g", "h").alias("lo"), F.greatest("g", "h").alias("hi")), f"{name}-starts")
+    x, y = (dealt.select("e", "lo", "hi", *[F.col(c).alias(c + k) for c in ("uid", "root", "n", "left", "g")]) for k in "xy")
+    need = threshold / (1 + threshold) * (F.col("nx") + F.col("ny")) - 1e-6
+    both = x.join(y, ["e", "lo", "hi"]).where((F.col("uidx") < F.col("uidy")) & (F.col("rootx") != F.col("rooty")) & ((F.col("lo") == F.col("hi")) | (F.col("gx") != F.col("gy"))) & (F.least("leftx", "lefty") >= need))
+    return both.select(F.col("uidx").alias("a"), F.col("uidy").alias("b")).distinct()

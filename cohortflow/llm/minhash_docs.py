@@ -13,9 +13,9 @@ Documents with equal multisets form a class of copies, found by a 128-bit digest
 goes on. Signatures are banded (16 bands of 4: two documents with similarity 0.8 share a band with
 probability 0.9998). In each band's bucket one member, the hub, is compared with all others; pairs are
 verified by the exact multiset overlap. Links join components by a distributed union-find. While a
-bucket holds several components, it gets other hubs; after ``HUB_ROUNDS`` of these, each member that
-isn't of its bucket's largest component is compared with the bucket's members of other components,
-so that every pair in a bucket is either compared or already in one component.
+bucket holds several components, it gets other hubs; after ``HUB_ROUNDS`` of these, members of buckets
+that still hold several are joined by the rarest of their shingles, early enough in both to reach the threshold, so
+that every pair in a bucket is compared, or can't reach the threshold, or is already in one component.
 
 Defined cases: texts of one to four words have one shingle, of all words; null texts and texts
 without words have none and are all copies of each other; rows of equal doc_id are documents of their own;
@@ -171,7 +171,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = own.where("text is not null").join(wanted, own["doc_id"].eqNullSafe(wanted["doc_id"]) & (own["h"] == wanted["h"])).select("uid", "text")
     sets = written(elements(texts).dropDuplicates(["uid"]), "sets")
 
-    roots = link_buckets(buckets, lambda pairs: verified(pairs, sets, threshold), "docs", HUB_ROUNDS)
+    roots = link_buckets(buckets, lambda pairs: verified(pairs, sets, threshold), "docs", HUB_ROUNDS,
+                         lambda rest: sets.join(rest, "uid").select("uid", "root", "elements"), threshold)
     found = members.join(roots.select(F.col("node").alias("copy"), "root"), "copy", "left")
     return found.select("doc_id", "h", "uid", "copy", F.coalesce("root", "copy").alias("root"))
 

@@ -164,6 +164,21 @@ def test_op6_alike_lines_of_every_length(spark):
     assert [i for (i, _), t in zip(rows, want, strict=True) if got[i] != t] == []
 
 
+def test_op6_lines_of_one_template(spark):
+    """Many families of two in the buckets of a phrase that all share: equal to brute force."""
+    rng = random.Random(5)
+    phrase = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=300))
+    rows = []
+    for k in range(300):
+        own = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=120))
+        at = [rng.randrange(120) for _ in range(7)]
+        rows += [(2 * k, phrase + own), (2 * k + 1, phrase + "".join("#" if j in at else c for j, c in enumerate(own)))]
+    got = {r["doc_id"]: r["text"] for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute.kept_lines(rows)
+    assert sum(t == "" for t in want) > 200
+    assert [i for (i, _), t in zip(rows, want, strict=True) if got[i] != t] == []
+
+
 def test_op7_notices(folder, answers):
     got = {r["doc_id"]: r for r in answers("op7_license_scan")}
     for doc_id, text in folder[1]:

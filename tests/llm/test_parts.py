@@ -7,6 +7,7 @@ import brute
 import numpy as np
 import pytest
 
+from cohortflow.llm import components as components_module
 from cohortflow.llm import license_scan, packing, personal_data, substrings, tokens, word_hashes
 from cohortflow.llm.automaton import accepted_at, compile_rules, longest_from
 from cohortflow.llm.components import components, link_buckets
@@ -151,6 +152,36 @@ def test_components_and_buckets(spark):
     assert {r["node"]: r["root"] for r in roots.collect()} == {k: k % 2 for k in range(2, 20)}
 
 
+def test_buckets_of_many_families(spark, monkeypatch):
+    """One large family, thirty of two and single members in one bucket: every alike pair is linked."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(components_module, "GROUP", 3)
+    rng = random.Random(4)
+    sets = [{*range(1000, 1040), *rng.sample(range(10**6), 2)} for _ in range(40)]
+    for k in range(30):  # half of each is common to all families
+        own = [*range(20), *range(2000 + 100 * k, 2020 + 100 * k)]
+        sets += [set(own), {*own[1:], 5000 + k}]
+    sets += [{*range(20), *rng.sample(range(10**6), 20)} for _ in range(20)]
+    order = rng.sample(range(len(sets)), len(sets))
+    sets = [sets[k] for k in order]
+    u = brute.Union(len(sets))
+    for a, x in enumerate(sets):
+        for b in range(a):
+            if len(x & sets[b]) >= 0.8 * len(x | sets[b]):
+                u.join(a, b)
+    frame = spark.createDataFrame([(k, sorted(x)) for k, x in enumerate(sets)], "uid long, elements array<long>").cache()
+
+    def verify(pairs):
+        both = pairs.join(frame.select(F.col("uid").alias("a"), F.col("elements").alias("x")), "a").join(frame.select(F.col("uid").alias("b"), F.col("elements").alias("y")), "b")
+        return both.select("a", "b", (F.size(F.array_intersect("x", "y")) >= 0.8 * F.size(F.array_union("x", "y"))).alias("ok"))
+
+    buckets = spark.createDataFrame([(1, k) for k in range(len(sets))], "bucket long, uid long")
+    for more in ((), (lambda rest: frame.join(rest, "uid").select("uid", "root", "elements"), 0.8)):
+        roots = link_buckets(buckets, verify, "many", 2, *more)
+        assert {r["node"]: r["root"] for r in roots.collect()} == {k: u.find(k) for k in range(len(sets)) if u.find(k) != k}
+
+
 def test_sieve_lets_every_key_pass(spark):
     from pyspark.sql import functions as F
 
