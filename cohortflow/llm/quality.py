@@ -40,12 +40,19 @@ class Band:
     from_bytes: int
     low: float
     high: float
+    wide_low: float  # the low limit for texts in scripts of several bytes a character
 
 
-#: Plain prose compresses to ratios of about 1.3 at 256 bytes, 2 at 2 KB and 2.5 to 3 beyond; the
-#: bands leave room on either side.
-BANDS = (Band(256, 1.05, 4.0), Band(1024, 1.2, 5.0), Band(8192, 1.3, 6.0), Band(65536, 1.4, 8.0))
-CHUNK_BAND = Band(CHUNK, 1.25, 5.5)
+#: Low limits stand between noise of letters and digits (ratios up to 1.09 at 256 bytes, 1.18 at 400, 1.29 at
+#: 800, 1.35 at 2 KB, 1.39 beyond) and random lower-case words, denser than prose (at least 1.34, 1.45,
+#: 1.57, 1.65 and 1.62). Plain prose has about 2 at 2 KB and 2.5 to 3 beyond.
+#: Text in scripts of several bytes a character can be as dense as that noise: its limits are lower.
+BANDS = (Band(256, 1.2, 4.0, 1.05), Band(400, 1.32, 4.0, 1.05), Band(800, 1.4, 4.0, 1.05), Band(1024, 1.4, 5.0, 1.2), Band(2048, 1.45, 5.0, 1.2),
+         Band(8192, 1.45, 6.0, 1.3), Band(65536, 1.45, 8.0, 1.4))
+CHUNK_BAND = Band(CHUNK, 1.45, 5.5, 1.25)
+ASCII = bytes(range(128))
+#: Share of bytes beyond ASCII from which a text counts as of such a script.
+WIDE_SHARE = 0.25
 
 
 def repeated_words(words: list, window: int = WINDOW) -> int:
@@ -95,6 +102,12 @@ def band_of(size: int, bands: tuple[Band, ...] = BANDS) -> Band | None:
     return next((x for x in reversed(bands) if size >= x.from_bytes), None)
 
 
+def in_band(b: bytes, ratio: float, band: Band) -> bool:
+    if band.wide_low <= ratio < band.low:
+        return len(b.translate(None, ASCII)) >= WIDE_SHARE * len(b)
+    return band.low <= ratio <= band.high
+
+
 def bands_verdict(b: bytes, compress) -> tuple[float | None, int, int, bool]:
     """The whole text's ratio, full chunks, chunks out of their band, and whether the text passes."""
     band = band_of(len(b))
@@ -104,9 +117,9 @@ def bands_verdict(b: bytes, compress) -> tuple[float | None, int, int, bool]:
     n = len(b) // CHUNK
     out = 0
     for k in range(n):
-        r = CHUNK / len(compress(b[k * CHUNK : (k + 1) * CHUNK]))
-        out += not CHUNK_BAND.low <= r <= CHUNK_BAND.high
-    return ratio, n, out, band.low <= ratio <= band.high and out <= CHUNK_SHARE * n
+        chunk = b[k * CHUNK : (k + 1) * CHUNK]
+        out += not in_band(chunk, CHUNK / len(compress(chunk)), CHUNK_BAND)
+    return ratio, n, out, in_band(b, ratio, band) and out <= CHUNK_SHARE * n
 
 
 def _judge(texts: list[str | None]) -> Iterator[tuple]:

@@ -90,6 +90,31 @@ def test_op1_bands():
     assert quality.bands_verdict(b"tiny", compress) == (None, 0, 0, True)
 
 
+def test_op1_noise_of_letters_and_digits():
+    import base64
+    import string
+
+    import zstandard
+
+    compress, rng = zstandard.ZstdCompressor(level=3).compress, random.Random(6)
+
+    signs, often = [chr(0x4E00 + rng.randrange(0x5000)) for _ in range(2500)], [1 / (k + 8) for k in range(2500)]
+
+    def spaced(letters, n):
+        return " ".join("".join(rng.choices(letters, k=rng.randint(3, 10))) for _ in range(n // 4))[:n].encode()
+
+    for n in (256, 399, 400, 799, 800, 1024, 1500, 2047, 2048, 4096, 8192, 30_000, 65_536):
+        coded = base64.b64encode(rng.randbytes(n)).decode()
+        coded = "\n".join(coded[k : k + 76] for k in range(0, n, 76))[:n].encode()
+        assert not quality.bands_verdict(coded, compress)[3], n
+        noise = spaced(string.ascii_letters + string.digits, n)
+        ratio, chunks, out, good = quality.bands_verdict(noise, compress)
+        assert not good and out == chunks, n
+        assert quality.bands_verdict(spaced(string.ascii_lowercase, n), compress)[3], n
+        wide = "".join(rng.choices(signs, often, k=n // 3)).encode()
+        assert quality.bands_verdict(wide, compress)[3], n
+
+
 def test_op1_long_lists_count_alike():
     rng = random.Random(2)
     words = [str(rng.randint(0, 12)) for _ in range(3000)]
