@@ -107,6 +107,19 @@ def test_patience_alignment():
     assert license_scan.Licenses().find(None) == license_scan.Licenses().find("all the rights") == []
 
 
+def test_licenses_of_one_family_are_told_apart():
+    """Each notice alone is found as itself, also with words put in and changed around it."""
+    known = license_scan.Licenses()
+    gnu = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+    for text, name in ((gnu.format("", 3), "GPL-3.0"), (gnu.format("", 2), "GPL-2.0"), (gnu.format("Affero ", 3), "AGPL-3.0"), (gnu.format("Lesser ", 3), "LGPL-3.0"), (gnu.format("Lesser ", "2.1"), "LGPL-2.1")):
+        assert [f.template.removesuffix("-header").removesuffix("-program") for f in known.find(text)] == [name]
+    for name, text in license_scan.TEMPLATES.items():
+        found = known.find(f"x {text} y")
+        assert [(f.template.removesuffix("-header"), f.coverage) for f in found] == [(name.removesuffix("-header"), 1)], name
+    whole = license_scan.TEMPLATES["BSD-3-Clause"].replace("the copyright holder nor", "Example Ltd nor")
+    assert [f.template for f in known.find(whole)] == ["BSD-3-Clause"]
+
+
 def test_expectation_maximisation_tells_labelers_apart():
     rng = random.Random(7)
     counts: dict = {}
