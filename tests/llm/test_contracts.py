@@ -241,6 +241,18 @@ def test_op10_split_shards(spark, folder, answers, monkeypatch):
     assert sorted(map(str, (r.asDict() for r in again))) == sorted(map(str, answers("op10_substring_dedup")))
 
 
+@pytest.mark.parametrize("limit, value", [("BITMAP", 8), ("MANY_SHARDS", 0)])
+def test_op10_by_lists(spark, folder, answers, monkeypatch, limit, value):
+    """More shared anchors, or more split shards, than the bitmap's way takes: the same rows by the lists."""
+    lists, taken = substrings._segments_by_lists, []
+    monkeypatch.setattr(substrings, "_segments_by_lists", lambda *a, **b: taken.append(1) or lists(*a, **b))
+    monkeypatch.setattr(substrings, "SHARD", 2)
+    monkeypatch.setattr(substrings, limit, value)
+    again = QUERIES["op10_substring_dedup"](spark, folder[0]).collect()
+    assert taken
+    assert sorted(map(str, (r.asDict() for r in again))) == sorted(map(str, answers("op10_substring_dedup")))
+
+
 def test_repeated_rows_and_ids(spark):
     """Null and repeated doc_ids, equal rows: every row is answered, equal rows alike."""
     rows = [*EXTRA, EXTRA[0], (1, "to be or not to be that is the question here and now for all of us"), (1, "to be or not to be that is the question here and now for all of us"),
