@@ -10,7 +10,7 @@ from cohortflow.operators.scd2 import scd2_apply, scd2_initial
 from cohortflow.plans import silver as SV
 from cohortflow.sources import fixtures as FX
 from cohortflow.sources.driver_tables import load_tables
-from conftest import SF_SMALL
+from table_paths import SF_SMALL
 
 
 def plan(df, mode="simple"):

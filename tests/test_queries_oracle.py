@@ -12,7 +12,7 @@ import pytest
 
 import __spark_entry__ as E
 from cohortflow import registry
-from conftest import SF_SMALL
+from table_paths import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
