@@ -63,7 +63,7 @@ def answers(spark, folder):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
 
 
@@ -281,7 +281,8 @@ def _written(spark, docs):
 
 def test_empty_tables(spark, tmp_path):
     empty = f"{tmp_path}/empty"
-    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{empty}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, text string, lang string").write.parquet(f"{empty}/documents.parquet")
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{empty}/conversations.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{empty}/benchmark.parquet")
     for name, fn in QUERIES.items():
         assert fn(spark, empty).count() == 0, name
