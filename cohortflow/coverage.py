@@ -21,7 +21,7 @@ COVERAGE = {
     "M-04": ("operators.watermark.read_mark / read_marks / mark_frame", ["m04_marks_after_run1", "l03_backlog"]),
     "M-05": ("operators.watermark.advance", ["m05_marks_after_run2"]),
     "M-06": ("replay-safety of M-01/M-03/M-05", ["m06_replay_is_noop"]),
-    "M-07": ("operators.versions.VersionedTable", ["m07_versions", "m07_read_as_of"]),
+    "M-07": ("operators.bucketed.BucketedTable (as of a load)", ["m07_versions", "m07_read_as_of"]),
     # 2.3 projections, filters
     "P-01": ("plans.silver.study", ["d01_dim_study"]),
     "P-02": ("plans.silver.site", ["d02_dim_site"]),

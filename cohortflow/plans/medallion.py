@@ -3,8 +3,9 @@
     lake/
       bronze/<source>/_ingest_date=…/       append-only, stamped (streaming sink)
       _checkpoints/<source>/                 stream progress (exactly-once file discovery)
-      silver/dim_patient, silver/funnel_events, silver/_load_watermark
-                                             versioned snapshots (``v<n>-<id>/`` + ``commit_log``)
+      silver/dim_patient, silver/funnel_events
+                                             state by key bucket (``bucket=…/load=…``)
+      silver/_load_watermark/load=…          marks; a load counts once it has them
       gold/<table>/                          overwritten Gold tables
 
 Silver order of writes: the batch's upper marks, then the state tables, then the marks. A crash
@@ -20,21 +21,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..operators import watermark as WM
 from ..operators.dedup import last_per_key
-from ..operators.scd2 import current_view, scd2_apply
-from ..functions.scalar import ts_lit
-from ..operators.upsert import first_wins_upsert
-from ..operators.versions import VersionedTable
+from ..operators.scd2 import current_view
 from ..session import table_exists
 from ..sources.landing import write_parquet
-from ..sources.schemas import DIM_PATIENT_SCHEMA, SILVER_FUNNEL_SCHEMA, WATERMARK_SCHEMA
 from ..streaming.incremental import bronze_schema
 from ..streaming.ingest import ingest_all
 from . import gold as G
 from . import kpi as K
 from . import silver as SV
-from .pipeline import DIM_PATIENT_COLS, PATIENT_KEY
+from .pipeline import DIM_PATIENT_COLS
+from .silver_state import FED_BY, Load, SilverStore
 
 # latest row per business key for re-deliverable reference data
 REFERENCE_KEYS = {
@@ -61,8 +58,8 @@ class Lake:
             return self.spark.createDataFrame([], bronze_schema(source))
         return self.spark.read.schema(bronze_schema(source)).parquet(p)
 
-    def silver(self, name: str) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/silver/{name}")
+    def silver(self, params: C.Params = C.DEFAULT) -> SilverStore:
+        return SilverStore(self.spark, f"{self.root}/silver", params)
 
 
 def ingest_bronze(spark: SparkSession, landing: str, lake: Lake, sources=C.SOURCES) -> None:
@@ -71,48 +68,9 @@ def ingest_bronze(spark: SparkSession, landing: str, lake: Lake, sources=C.SOURC
     ingest_all(spark, specs)
 
 
-def silver_run(spark: SparkSession, lake: Lake, batch_id: str, params: C.Params = C.DEFAULT) -> dict:
-    """One incremental Silver run. Returns the new Silver frames (read back from storage)."""
-    marks_t, dim_t, fun_t = lake.silver("_load_watermark"), lake.silver("dim_patient"), lake.silver("funnel_events")
-    marks = marks_t.current() or spark.createDataFrame([], WATERMARK_SCHEMA)
-    dim = dim_t.current() or spark.createDataFrame([], DIM_PATIENT_SCHEMA)
-    fun = fun_t.current() or spark.createDataFrame([], SILVER_FUNNEL_SCHEMA)
-
-    bp = WM.after_mark(lake.bronze("patients"), "_ingest_ts", WM.read_mark(marks, "dim_patient"))
-    bf = WM.after_mark(lake.bronze("funnel_events"), "_ingest_ts", WM.read_mark(marks, "funnel_events"))
-    upper = _upper_marks(spark, lake, batch_id, bp, bf)
-    new_p, new_f = (upper.filter(F.col("table_name") == n).select("watermark") for n in ("dim_patient", "funnel_events"))
-    batch_ts, until = (r["watermark"] if (r := f.first()) else None for f in (new_p, new_f))
-    if batch_ts is not None:
-        bp = bp.filter(F.col("_ingest_ts") <= ts_lit(batch_ts))
-    if until is not None:
-        bf = bf.filter(F.col("_ingest_ts") <= ts_lit(until))
-    jobs = []
-    if batch_ts is not None:
-        jobs.append((dim_t, scd2_apply(dim, SV.patient(bp), PATIENT_KEY, C.SCD2_ATTRIBUTES, list(params.tracked),
-                                       batch_ts)))
-    if until is not None:
-        jobs.append((fun_t, first_wins_upsert(fun, SV.funnel(bf, params.funnel_key), list(params.funnel_key),
-                                              ["event_date", "study_id", "site_id"])))
-    # the two state tables are independent: written concurrently; the marks only afterwards
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        for f in [pool.submit(t.write, df, batch_id) for t, df in jobs]:
-            f.result()
-    marks = WM.advance(WM.advance(marks, "dim_patient", new_p), "funnel_events", new_f)
-    marks_t.write(marks, batch_id)
-    return {"dim_patient": dim_t.current(), "funnel": fun_t.current(), "marks": marks_t.current()}
-
-
-def _upper_marks(spark: SparkSession, lake: Lake, batch_id: str, bp: DataFrame, bf: DataFrame) -> DataFrame:
-    """How far each source goes in this batch (table_name, watermark), committed under the batch's id
-    before any state is written. A retry finds them and reads the same rows as the attempt before,
-    so the marks never pass rows that landed in between."""
-    t = lake.silver("_batch_upper_marks")
-    if not t.has_batch(batch_id):
-        found = [df.agg(F.max("_ingest_ts").alias("watermark")).select(F.lit(n).alias("table_name"), "watermark")
-                 for n, df in (("dim_patient", bp), ("funnel_events", bf))]
-        t.write(found[0].unionByName(found[1]).filter(F.col("watermark").isNotNull()), batch_id)
-    return t.as_of(t.version_of(batch_id))
+def silver_run(spark: SparkSession, lake: Lake, batch_id: str, params: C.Params = C.DEFAULT) -> Load:
+    """One incremental Silver run: the load's number and the key buckets it wrote."""
+    return lake.silver(params).run({s: lake.bronze(s) for s in FED_BY.values()}, batch_id)
 
 
 def reject_rows(lake: Lake, source: str) -> DataFrame:
@@ -131,13 +89,13 @@ def gold_star(spark: SparkSession, lake: Lake, params: C.Params = C.DEFAULT) ->
     silver = G.Lazy({
         "study": lambda: SV.study(_reference(lake, "studies")),
         "site": lambda: SV.site(_reference(lake, "sites")),
-        "funnel": lambda: lake.silver("funnel_events").current(),
+        "funnel": lambda: lake.silver(params).table("funnel_events"),
         "marketing": lambda: _reference(lake, "marketing_daily"),
         "campaign": lambda: _reference(lake, "campaigns"),
         "site_costs": lambda: _reference(lake, "site_costs"),
         "budget": lambda: _reference(lake, "study_budgets"),
     })
-    dim = lambda: current_view(lake.silver("dim_patient").current(), DIM_PATIENT_COLS)
+    dim = lambda: current_view(lake.silver(params).table("dim_patient"), DIM_PATIENT_COLS)
     return G.build_star(spark, silver, dim, params)
 
 

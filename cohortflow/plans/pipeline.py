@@ -11,9 +11,9 @@ Silver runs after each load and only reads Bronze rows above its high-water mark
 
 With a ``store`` folder (the shared folder of the cluster), the expensive landed shapes are
 written once as Parquet tables (Bronze partitioned by ``_ingest_date``), and every Silver run
-writes its state as a new version of a ``VersionedTable`` and reads it back: lineage is cut per
-load, executor loss only recomputes the current step, and the mark filters prune Bronze
-partitions. Without a store everything stays a lazy plan (used by unit tests).
+merges its rows into the stored state (``SilverStore``) and reads it back: lineage is cut per
+load, executor loss only recomputes the current step, a load writes the key buckets it touches, and
+the mark filters prune Bronze partitions. Without a store everything stays a lazy plan (unit tests).
 """
 
 from __future__ import annotations
@@ -30,20 +30,18 @@ from .. import config as C
 from ..operators import watermark as WM
 from ..operators.scd2 import current_view, empty_like, scd2_apply
 from ..operators.upsert import first_wins_upsert
-from ..operators.versions import VersionedTable
 from ..sources import fixtures as FX
 from ..sources.bronze import stamp
 from ..sources.driver_tables import load_tables
 from ..sources.schemas import DIM_PATIENT_SCHEMA, SILVER_FUNNEL_SCHEMA
 from . import gold as G
 from . import silver as SV
+from .silver_state import FUNNEL_ORDER, PATIENT_KEY, SilverStore
 
 LOAD1_TS = _dt.datetime(2024, 1, 15)
 LOAD2_TS = _dt.datetime(2024, 2, 1)
 SPLIT_DATE = _dt.date(2024, 1, 15)
-PATIENT_KEY = "patient_id"
 DIM_PATIENT_COLS = ["patient_sk", "patient_id", "study_id", "site_id", "age", "sex", "race_ethnicity", "is_rural"]
-FUNNEL_ORDER = ["event_date", "study_id", "site_id"]
 
 # landed shapes worth storing once (joins, windows, JSON parsing); the rest stay lazy views
 STORED_SHAPES = ["funnel_events", "patients", "patients_changed", "marketing_daily", "site_costs"]
@@ -119,7 +117,7 @@ class Run:
     _star: G.Lazy | None = None
     _lock: threading.RLock = field(default_factory=threading.RLock)
     _bronze_cache: dict = field(default_factory=dict)
-    _tables: dict = field(default_factory=dict)
+    _stored: SilverStore | None = None
 
     @property
     def store(self) -> str | None:
@@ -170,10 +168,20 @@ class Run:
         return SilverState(empty_like(self.spark, DIM_PATIENT_SCHEMA), empty_like(self.spark, SILVER_FUNNEL_SCHEMA),
                            WM.empty_marks(self.spark))
 
+    @property
+    def stored(self) -> SilverStore:
+        """The stored Silver state (a run with a store)."""
+        if self._stored is None:
+            self._stored = SilverStore(self.spark, f"{self.store}/silver", self.params)
+        return self._stored
+
     def silver_increment(self, state: SilverState, bronze: dict, batch_id: str) -> SilverState:
         """One Silver run: read Bronze above each mark, apply SCD2 and the first-wins upsert,
         advance both marks to the max ingest time of the rows actually read."""
         p = self.params
+        if self.store:
+            n = self.stored.run(bronze, batch_id).number
+            return SilverState(self.stored.table("dim_patient", n), self.stored.table("funnel_events", n), self.stored.marks.read(n))
         m = WM.read_marks(state.marks, ["dim_patient", "funnel_events"])
         bp = WM.after_mark(bronze["patients"], "_ingest_ts", m["dim_patient"])
         bf = WM.after_mark(bronze["funnel_events"], "_ingest_ts", m["funnel_events"])
@@ -187,18 +195,6 @@ class Run:
                              batch_ts)
         funnel = first_wins_upsert(state.funnel, SV.funnel(bf, p.funnel_key), list(p.funnel_key), FUNNEL_ORDER)
         marks = WM.advance(WM.advance(state.marks, "dim_patient", new_p), "funnel_events", new_f)
-        if self.store:
-            # state first (the two tables are independent: written concurrently), marks last:
-            # a crash in between re-reads the same rows, which SCD2 and the upsert absorb
-            def commit(name, df):
-                vt = self._tables.setdefault(name, VersionedTable(self.spark, f"{self.store}/silver/{name}"))
-                return vt.as_of(vt.write(df, batch_id))
-
-            with ThreadPoolExecutor(max_workers=2) as pool:
-                fd = pool.submit(commit, "dim_patient", dim)
-                ff = pool.submit(commit, "funnel_events", funnel)
-                dim, funnel = fd.result(), ff.result()
-            marks = commit("_load_watermark", marks)
         return SilverState(dim, funnel, marks)
 
     def build_silver(self, loads: int = 2) -> None:
@@ -226,8 +222,7 @@ class Run:
 
     def version(self, table: str, batch_id: str) -> DataFrame:
         """A stored Silver table as the batch left it."""
-        t = self._tables[table]
-        return t.as_of(t.version_of(batch_id))
+        return self.stored.table(table, self.stored.marks.load_of(batch_id))
 
     # ---- Gold ----
     def star(self) -> G.Lazy:
