@@ -21,14 +21,15 @@ A phrase's parts are frequent too, so its cuts are scored by a join of frequent
 themselves, salted for the single words that very many phrases share.
 
 Defined cases: a null text is an empty one, a null language is ``und``; a null doc_id gives no
-pointer; equal rows count each; a text without words counts nothing; very long texts are read whole,
-in one piece of memory each; phrases of equal score and count are ordered by their bytes; an empty
+pointer; equal rows count each; a text without words counts nothing; very long texts are read whole, in
+parts that end at a full stop or line feed where there is one; phrases of equal score and count are ordered by their bytes; an empty
 table gives no row; other columns of any name are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.llm.common import SQL, query, table, written
 from cohortflow.llm.sieve import BITS, sieve
-from cohortflow.llm.word_hashes import INV, MUL, SpanHasher, in_parts, mixed, powers
+from cohortflow.llm.word_hashes import INV, MUL, SpanHasher, mixed, powers
 
 LONGEST = 4
 MINIMUM = 30
@@ -47,7 +48,9 @@ SCALE = 2_000_000
 TOP = 2000
 NO_LANG = "und"
 #: Bytes of text handled at once, fingerprints and phrases held before they are passed on.
-AT_ONCE, PENDING, HELD = 1 << 22, 1 << 22, 300_000
+AT_ONCE, PENDING, HELD = 1 << 21, 1 << 21, 150_000
+#: Rows of an Arrow batch taken out of it at once.
+ROWS = 1000
 #: Parts into which the rows of a shared single word, or of a language, are dealt.
 SALTS = 8
 COUNTS = "fp long, n long"
@@ -119,13 +122,14 @@ class Block:
     def exact_words(self) -> np.ndarray:
         """A number for each word that equal words and no others share."""
         _, first, which = np.unique(self.words & self.mask, return_index=True, return_inverse=True)
-        size, rep = self.end - self.begin, first[which]
+        size, rep = (self.end - self.begin).astype(np.int32), first[which]
         same = size == size[rep]
         which = which.astype(np.int64)
-        k = np.flatnonzero(same)
-        step = np.arange(size[k].sum()) - np.repeat(np.cumsum(size[k]) - size[k], size[k])
-        unlike = self.buf[np.repeat(self.begin[k], size[k]) + step] != self.buf[np.repeat(self.begin[rep[k]], size[k]) + step]
-        same[np.repeat(k, size[k])[unlike]] = False
+        k = np.flatnonzero(same).astype(np.int32)
+        n = size[k]
+        step = np.arange(n.sum(), dtype=np.int32) - np.repeat(np.cumsum(n, dtype=np.int32) - n, n)
+        unlike = self.buf[np.repeat(self.begin[k].astype(np.int32), n) + step] != self.buf[np.repeat(self.begin[rep[k]].astype(np.int32), n) + step]
+        same[np.repeat(k, n)[unlike]] = False
         more: dict[bytes, int] = {}
         for w in np.flatnonzero(~same).tolist():  # words that share a hash with another one
             which[w] = len(first) + more.setdefault(self.raw[self.begin[w] : self.end[w]], len(more))
@@ -143,16 +147,56 @@ def passes(fp: np.ndarray, bits: np.ndarray) -> np.ndarray:
 _HASHER: list[SpanHasher] = []
 
 
-def _blocks(batch: pa.RecordBatch, print_bits: int) -> Iterator[tuple[Block, list[int | None], list[str]]]:
-    """(block, doc_ids, languages) of a batch of (doc_id, lang, text), in ascending doc_id order, nulls last:
-    the first occurrence in a block is the one of least doc_id."""
+def _parted(text: bytes) -> Iterator[bytes]:
+    """A long text in parts of about ``AT_ONCE`` bytes, cut at a full stop or line feed, where no phrase goes on."""
+    at = 0
+    while len(text) - at > AT_ONCE:
+        cut = max(text.rfind(b".", at, at + AT_ONCE), text.rfind(b"\n", at, at + AT_ONCE))
+        if cut < at:
+            break
+        yield text[at : cut + 1]
+        at = cut + 1
+    yield text[at:]
+
+
+@dataclass
+class Rows:
+    """A block, and of each of its texts: doc_id, language, and the words of the document before it."""
+
+    block: Block
+    ids: list[int | None]
+    langs: list[str]
+    before: list[int]
+
+
+def _blocks(batch: pa.RecordBatch, print_bits: int) -> Iterator[Rows]:
+    """The rows (doc_id, lang, text) of a batch in blocks, in ascending doc_id order, nulls last: the first
+    occurrence in a block is the one of least doc_id."""
     if not _HASHER:
         _HASHER.append(SpanHasher())
     batch = batch.take(pc.sort_indices(batch.column(0)))
-    ids, langs = batch.column(0).to_pylist(), [NO_LANG if x is None else x for x in batch.column(1).to_pylist()]
-    for first, texts in in_parts(batch.column(2).to_pylist(), AT_ONCE):
-        these = slice(first, first + len(texts))
-        yield Block(texts, langs[these], _HASHER[0], print_bits), ids[these], langs[these]
+    some: list[tuple[int | None, str, bytes, bool]] = []
+    size = done = 0
+
+    def block() -> Rows:
+        nonlocal done
+        out = Rows(Block([t for _, _, t, _ in some], [x for _, x, _, _ in some], _HASHER[0], print_bits), [i for i, _, _, _ in some], [x for _, x, _, _ in some], [])
+        for words, (_, _, _, more) in zip(np.diff(out.block.first).tolist(), some, strict=True):
+            out.before.append(done if more else 0)
+            done = out.before[-1] + words
+        return out
+
+    for at in range(0, batch.num_rows, ROWS):
+        piece = batch.slice(at, ROWS)
+        for doc, lang, text in zip(*(c.to_pylist() for c in piece.columns), strict=True):
+            for k, part in enumerate(_parted((text or "").encode())):
+                some.append((doc, NO_LANG if lang is None else lang, part, k > 0))
+                size += len(part)
+                if size >= AT_ONCE:
+                    yield block()
+                    some, size = [], 0
+    if some:
+        yield block()
 
 
 def _counted(docs: DataFrame, print_bits: int, runs_of: Callable[[Block], Iterator[np.ndarray]]) -> DataFrame:
@@ -167,8 +211,8 @@ def _counted(docs: DataFrame, print_bits: int, runs_of: Callable[[Block], Iterat
             return pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(n.astype(np.int64))], ["fp", "n"])
 
         for batch in batches:
-            for block, _, _ in _blocks(batch, print_bits):
-                for fp in runs_of(block):
+            for rows in _blocks(batch, print_bits):
+                for fp in runs_of(rows.block):
                     some.append(fp)
                     size += len(fp)
                 if size >= PENDING:
@@ -222,10 +266,10 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "l
                     had[2:] = [doc, word]
 
         for batch in batches:
-            for block, ids, langs in _blocks(batch, print_bits):
-                words = np.diff(block.first)
-                for k, lang in enumerate(langs):
-                    add((lang, 0, ""), 0, int(words[k]), None, None)
+            for rows in _blocks(batch, print_bits):
+                block, langs = rows.block, rows.langs
+                for lang, words in zip(langs, np.diff(block.first).tolist(), strict=True):
+                    add((lang, 0, ""), 0, words, None, None)
                 exact = block.exact_words()
                 for size, start, fp in [*((k, *block.prints(k)) for k in (1, 2)), *block.longer(bits)]:
                     some = passes(fp, bits)
@@ -240,8 +284,9 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "l
                     for i, count in [*zip(at.tolist(), n.tolist(), strict=True), *((i, 1) for i in others.tolist())]:
                         w = int(start[i])
                         d = int(block.doc[w])
-                        doc = ids[d]
-                        add((langs[d], int(fp[i].view(np.int64)), block.text(w, size)), size, count, doc, None if doc is None else w - int(block.first[d]))
+                        doc = rows.ids[d]
+                        word = None if doc is None else rows.before[d] + w - int(block.first[d])
+                        add((langs[d], int(fp[i].view(np.int64)), block.text(w, size)), size, count, doc, word)
                 if len(held) >= HELD:
                     yield out()
                     held.clear()
