@@ -1,10 +1,9 @@
-"""File ingest, streaming exactly-once, schema evolution, versioned state."""
+"""File ingest, streaming exactly-once, schema evolution, runs that stop in between."""
 
 import os
 
 from pyspark.sql import functions as F
 
-from cohortflow.operators.versions import VersionedTable
 from cohortflow.sources import landing as LD
 from cohortflow.sources.bronze import file_ledger
 from cohortflow.streaming import incremental as INC
@@ -37,10 +36,10 @@ def test_stream_two_files_three_runs(spark, tmp_dir):
     ledger = file_ledger(spark, land, b)
     assert ledger.filter("loaded").count() == 2
     # Silver from the Bronze stream; a rerun with nothing new is a no-op
-    state = VersionedTable(spark, f"{tmp_dir}/silver/fe")
-    INC.run_silver_funnel(spark, bronze, state, f"{tmp_dir}/ckpt/silver")
-    INC.run_silver_funnel(spark, bronze, state, f"{tmp_dir}/ckpt/silver")
-    cur = state.current()
+    out = f"{tmp_dir}/silver/fe"
+    INC.run_silver_funnel(spark, bronze, out, f"{tmp_dir}/ckpt/silver")
+    INC.run_silver_funnel(spark, bronze, out, f"{tmp_dir}/ckpt/silver")
+    cur = INC.silver_funnel(spark, out)
     assert sorted((r["patient_id"], str(r["event_date"])) for r in cur.collect()) == [("P1", "2024-01-01"), ("P2", "2024-01-03")]
 
 
@@ -75,19 +74,6 @@ def test_schema_evolution_new_first_column_and_quoted_header(spark, tmp_dir):
         LD.read_evolving(spark, base, "studies")
 
 
-def test_two_writers_get_two_versions(spark, tmp_dir):
-    a, b = (VersionedTable(spark, f"{tmp_dir}/vt") for _ in range(2))
-    one, two = spark.createDataFrame([(1,)], "x int"), spark.createDataFrame([(2,)], "x int")
-    assert a.latest_version() is None and b.latest_version() is None  # both have read the empty log
-    assert a.write(one, "a") == 1 and b.write(two, "b") == 2
-    later = VersionedTable(spark, f"{tmp_dir}/vt")
-    assert later.as_of(1).first()[0] == 1 and later.as_of(2).first()[0] == 2
-    assert later.write(one, "a") == 1  # a replay names its own version
-    import datetime as dt
-    assert later.version_at(dt.datetime(2000, 1, 1)) is None
-    assert later.version_at(dt.datetime(2100, 1, 1)) == 2
-
-
 def test_landing_scan_rejects_moved_columns(spark, tmp_dir):
     base = f"{tmp_dir}/moved"
     _csv(f"{base}/a.csv", "study_id,sponsor,protocol_number", ["S1,Sp,P1"])
@@ -96,24 +82,6 @@ def test_landing_scan_rejects_moved_columns(spark, tmp_dir):
         LD.read_landing(spark, base, "studies").collect()
 
 
-def test_versioned_table_replay_guard(spark, tmp_dir):
-    vt = VersionedTable(spark, f"{tmp_dir}/vt")
-    assert vt.current() is None
-    a = spark.createDataFrame([(1,)], "x int")
-    b = spark.createDataFrame([(1,), (2,)], "x int")
-    assert vt.write(a, "b1") == 1
-    assert vt.write(b, "b2") == 2
-    assert vt.write(b, "b2") == 2  # replay: skipped
-    assert vt.as_of(1).count() == 1 and vt.current().count() == 2
-    assert [(r["load_version"], r["rows"]) for r in vt.versions().collect()] == [(1, 1), (2, 2)]
-    # another reader (a new object, as in another process) sees the same committed versions
-    other = VersionedTable(spark, f"{tmp_dir}/vt")
-    assert other.latest_version() == 2 and other.has_batch("b1") and other.current().count() == 2
-    # an orphaned folder from a crashed attempt is invisible
-    spark.createDataFrame([(9,)], "x int").write.parquet(f"{tmp_dir}/vt/v000003-crashed")
-    assert VersionedTable(spark, f"{tmp_dir}/vt").latest_version() == 2
-
-
 def test_create_if_absent(spark, tmp_dir):
     from cohortflow.sources.schemas import SILVER_FUNNEL_SCHEMA
     df = LD.create_if_absent(spark, f"{tmp_dir}/t", SILVER_FUNNEL_SCHEMA)
@@ -147,7 +115,7 @@ PHDR = "patient_id,study_id,site_id,age,sex,race_ethnicity,is_rural"
 
 
 def _lake_after_two_loads(spark, base, crash_after_state=False, retry_batch="b2"):
-    from cohortflow.operators import versions as V
+    from cohortflow.operators.bucketed import LoadMarks
     from cohortflow.plans import medallion as MD
 
     land, lake = f"{base}/landing", MD.Lake(spark, f"{base}/lake")
@@ -159,20 +127,22 @@ def _lake_after_two_loads(spark, base, crash_after_state=False, retry_batch="b2"
     _csv(f"{land}/funnel_events/load_2/b.csv", HDR, ["P1,S1,X1,lead,2024-01-02", "P1,S1,X2,consented,2024-01-09"])
     MD.ingest_bronze(spark, land, lake, ["patients", "funnel_events"])
     if crash_after_state:
-        orig = V.VersionedTable.write
+        orig = LoadMarks.write
 
-        def failing(self, df, batch_id):
+        def failing(self, marks, load, batch_id):
             if self.path.endswith("_load_watermark"):
                 raise RuntimeError("lost the driver before the marks were written")
-            return orig(self, df, batch_id)
+            return orig(self, marks, load, batch_id)
 
-        V.VersionedTable.write = failing
+        LoadMarks.write = failing
         try:
             MD.silver_run(spark, lake, "b2")
         except RuntimeError:
             pass
         finally:
-            V.VersionedTable.write = orig
+            LoadMarks.write = orig
+        # what the failed load wrote isn't there for readers
+        assert lake.silver().table("dim_patient").count() == 2
         MD.silver_run(spark, lake, retry_batch)
     else:
         MD.silver_run(spark, lake, "b2")
@@ -188,20 +158,20 @@ def test_silver_run_survives_a_crash_between_state_and_marks(spark, tmp_dir):
     for retry in ("b2", "b2-retry"):
         crashed = _lake_after_two_loads(spark, f"{tmp_dir}/crash-{retry}", crash_after_state=True, retry_batch=retry)
         for t in ("funnel_events", "dim_patient"):
-            a = clean.silver(t).current()
-            b = crashed.silver(t).current()
+            a = clean.silver().table(t)
+            b = crashed.silver().table(t)
             cols = [c for c in a.columns if c not in ("effective_from", "effective_to", "patient_sk")]
             assert _same(a.select(cols), b.select(cols)), (retry, t)
         # the late, earlier lead event replaced the stored one; P1 moved site: two versions
-        f = {(r["patient_id"], r["stage"]): str(r["event_date"]) for r in crashed.silver("funnel_events").current().collect()}
+        f = {(r["patient_id"], r["stage"]): str(r["event_date"]) for r in crashed.silver().table("funnel_events").collect()}
         assert f[("P1", "lead")] == "2024-01-02"
-        d = crashed.silver("dim_patient").current()
+        d = crashed.silver().table("dim_patient")
         assert d.filter("patient_id = 'P1'").count() == 2 and d.filter("patient_id = 'P2'").count() == 1
         assert d.filter("is_current").count() == 2
 
 
 def test_retry_does_not_pass_rows_that_landed_after_the_crash(spark, tmp_dir):
-    from cohortflow.operators import versions as V
+    from cohortflow.operators.bucketed import LoadMarks
     from cohortflow.plans import medallion as MD
 
     land, lake = f"{tmp_dir}/landing", MD.Lake(spark, f"{tmp_dir}/lake")
@@ -213,25 +183,25 @@ def test_retry_does_not_pass_rows_that_landed_after_the_crash(spark, tmp_dir):
         MD.ingest_bronze(spark, land, lake, sources)
 
     load(1, "P1", "X1")
-    orig = V.VersionedTable.write
+    orig = LoadMarks.write
 
-    def failing(self, df, batch_id):
+    def failing(self, marks, load, batch_id):
         if self.path.endswith("_load_watermark"):
             raise RuntimeError("lost the driver")
-        return orig(self, df, batch_id)
+        return orig(self, marks, load, batch_id)
 
-    V.VersionedTable.write = failing
+    LoadMarks.write = failing
     try:
         MD.silver_run(spark, lake, "b1")
     except RuntimeError:
         pass
     finally:
-        V.VersionedTable.write = orig
+        LoadMarks.write = orig
     load(2, "P2", "X1")  # lands between the crash and the retry
     MD.silver_run(spark, lake, "b1")
     MD.silver_run(spark, lake, "b2")
     for t in ("funnel_events", "dim_patient"):
-        assert sorted(r[0] for r in lake.silver(t).current().select("patient_id").collect()) == ["P1", "P2"], t
+        assert sorted(r[0] for r in lake.silver().table(t).select("patient_id").collect()) == ["P1", "P2"], t
 
 
 def test_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
