@@ -1,15 +1,21 @@
-"""High-water marks on ingest time: M-04 read, M-05 advance, P-12 filter, S-04 extract."""
+"""High-water marks on ingest time: M-04 read, M-05 advance, P-12 filter, S-04 extract.
+
+A mark on a source's own modified column meets ties: a row that lands later with the very value of the
+mark is lost to a strict ``>``. ``extract_ties`` keeps, with the mark, the keys of the rows seen at it;
+the next extract takes ``>=`` and leaves those out. What is kept is one value's rows, never the table.
+"""
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.scalar import ts_lit
-from ..sources.schemas import WATERMARK_SCHEMA
+from ..sources.schemas import TIE_MARK_SCHEMA, WATERMARK_SCHEMA
 
 
 def empty_marks(spark: SparkSession) -> DataFrame:
@@ -61,3 +67,38 @@ def extract_since(df: DataFrame, col: str, marks: DataFrame, source: str) -> tup
     rows = after_mark(df, col, read_mark(marks, source))
     new = rows.agg(F.max(col).alias("watermark"))
     return rows.orderBy(col), advance(marks, source, new)
+
+
+def empty_tie_marks(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], TIE_MARK_SCHEMA)
+
+
+def row_key(key: Sequence[str]) -> Column:
+    """A row's key as one string; NULLs stay apart from texts."""
+    return F.sha2(F.to_json(F.struct(*key), {"ignoreNullFields": "false"}), 256)
+
+
+def extract_ties(df: DataFrame, col: str, key: Sequence[str], marks: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
+    """S-04 without loss at ties: the rows with ``col`` above the mark, or equal to it and not seen there,
+    ordered by ``col``; and the marks after them, one row (table_name, watermark, row_key) for each row seen
+    at the mark. Rows without a value in ``col`` are never taken, as with a plain mark.
+
+    ``key`` names a row: with the identifier alone a row is taken once at each value, with all columns a
+    further change at the same value is taken too. The mark is a literal, so it reaches the scan; only
+    rows at the mark's value can find a partner in the anti join, whose other side is their keys."""
+    own = marks.filter(F.col("table_name") == source)
+    mark = own.agg(F.max("watermark")).first()[0]
+    kind = df.schema[col].dataType
+    rows = df.filter(F.col(col).isNotNull())
+    if mark is not None:
+        at = ts_lit(mark).cast(kind)
+        seen = own.filter(F.col("watermark") == ts_lit(mark)).select(F.col("watermark").cast(kind).alias("_at"), F.col("row_key").alias("_key"))
+        rows = rows.filter(F.col(col) >= at).withColumn("_row_key", row_key(key))
+        rows = rows.join(seen, (F.col(col) == F.col("_at")) & (F.col("_row_key") == F.col("_key")), "left_anti").drop("_row_key")
+    top = rows.agg(F.max(col)).first()[0]
+    if top is None:
+        return rows.orderBy(col), marks
+    new = rows.filter(F.col(col) == F.lit(top)).select(F.lit(source).alias("table_name"), F.col(col).cast("timestamp").alias("watermark"), row_key(key).alias("row_key"))
+    # keys seen at an older value are no longer needed; at the same value they add up
+    kept = marks.filter((F.col("table_name") != source) | (F.col("watermark") == F.lit(top).cast("timestamp")))
+    return rows.orderBy(col), kept.unionByName(new).distinct()

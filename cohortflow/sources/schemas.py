@@ -57,6 +57,8 @@ def type_name(t: T.DataType) -> str:
 
 WATERMARK_SCHEMA = T.StructType([T.StructField("table_name", S, False), T.StructField("watermark", TS, True)])
 
+TIE_MARK_SCHEMA = T.StructType([*WATERMARK_SCHEMA.fields, T.StructField("row_key", S, False)])
+
 DIM_PATIENT_SCHEMA = T.StructType([
     T.StructField("patient_sk", S), T.StructField("patient_id", S), T.StructField("study_id", S),
     T.StructField("site_id", S), T.StructField("age", I), T.StructField("sex", S),
