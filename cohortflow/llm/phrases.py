@@ -47,14 +47,16 @@ COVERED_PERCENT = 80
 SCALE = 2_000_000
 TOP = 2000
 NO_LANG = "und"
-#: Bytes of text handled at once, fingerprints and phrases held before they are passed on.
-AT_ONCE, PENDING, HELD = 1 << 21, 1 << 21, 150_000
+#: Bytes of text handled at once; fingerprints, and phrases of a block, held before they are passed on.
+AT_ONCE, PENDING, HELD = 1 << 19, 1 << 20, 400_000
 #: Rows of an Arrow batch taken out of it at once.
 ROWS = 1000
 #: Parts into which the rows of a shared single word, or of a language, are dealt.
 SALTS = 8
 COUNTS = "fp long, n long"
-TEXTS = "lang string, fp long, phrase string, size int, n long, first_doc long, first_word long"
+TEXTS = "lang string, fp long, phrase string, size int, n long, first decimal(38,0)"
+#: A pointer is one number, doc_id * WORDS + word: hash aggregates take the least of it.
+WORDS = 1 << 40
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -99,6 +101,7 @@ class Block:
         by_name = dict(zip(names, hasher.hashes(raw, np.concatenate([[0], stops[:-1]]), stops - 1), strict=True))
         self.lang = np.array([by_name[x] for x in langs], np.uint64)
         self.runs = RunHasher(self.words)
+        self.spaced: np.ndarray | None = None
 
     def prints(self, size: int, start: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(first words, fingerprints) of runs of ``size`` words within a piece."""
@@ -135,8 +138,20 @@ class Block:
             which[w] = len(first) + more.setdefault(self.raw[self.begin[w] : self.end[w]], len(more))
         return which
 
-    def text(self, word: int, size: int) -> str:
-        return b" ".join(self.raw[self.begin[k] : self.end[k]] for k in range(word, word + size)).decode()
+    def texts(self, start: np.ndarray, size: int) -> pa.StringArray:
+        """The words from each place on, with single spaces between."""
+        if self.spaced is None:
+            n = (self.end - self.begin + 1).astype(np.int32)
+            at = np.cumsum(n, dtype=np.int64) - n
+            self.spaced = self.buf[np.repeat(self.begin - at, n) + np.arange(n.sum())]
+            self.spaced[at + n - 1] = 32
+            self.place = np.append(at, len(self.spaced))
+        s = self.place[start]
+        n = self.place[start + size] - 1 - s
+        offsets = np.zeros(len(start) + 1, np.int32)
+        np.cumsum(n, out=offsets[1:])
+        data = self.spaced[np.repeat(s - offsets[:-1], n) + np.arange(offsets[-1])]
+        return pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(data))
 
 
 def passes(fp: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -234,6 +249,51 @@ def _bits(frequent: DataFrame) -> np.ndarray:
     return out
 
 
+_KEY = ["lang", "fp", "phrase", "size"]
+
+
+def _found(rows: Rows, bits: np.ndarray) -> list[pa.Table]:
+    """Tables of ``TEXTS``, one for each run length and one of the numbers of words (size 0)."""
+    block, langs = rows.block, pa.array(rows.langs, pa.string())
+    ids, before = pa.array(rows.ids, pa.int64()), np.array(rows.before, np.int64)
+    n_docs = len(rows.langs)
+    no = pa.nulls(n_docs, pa.int64())
+    out = [pa.table([langs, pa.array(np.zeros(n_docs, np.int64)), pa.array([""] * n_docs), pa.array(np.zeros(n_docs, np.int32)), pa.array(np.diff(block.first).astype(np.int64)), no, no],
+                    names=[*_KEY, "n", "first_doc", "first_word"])]
+    exact = block.exact_words()
+    for size, start, fp in [*((k, *block.prints(k)) for k in (1, 2)), *block.longer(bits)]:
+        some = passes(fp, bits)
+        start, fp = start[some], fp[some]
+        _, at, which, n = np.unique(fp, return_index=True, return_inverse=True, return_counts=True)
+        alike = block.lang[block.doc[start]] == block.lang[block.doc[start[at]]][which]
+        for j in range(size):
+            alike &= exact[start + j] == exact[start[at] + j][which]
+        others = np.flatnonzero(~alike)  # occurrences whose text isn't the one that the fingerprint points to
+        places = np.concatenate([at, others])
+        counts = np.concatenate([n - np.bincount(which[others], minlength=len(n)), np.ones(len(others), np.int64)]).astype(np.int64)
+        word = start[places]
+        doc = block.doc[word]
+        docs = ids.take(pa.array(doc))
+        number = pa.array(before[doc] + word - block.first[doc], mask=np.asarray(docs.is_null()))
+        out.append(pa.table([langs.take(pa.array(doc)), pa.array(fp[places].view(np.int64)), block.texts(word, size), pa.array(np.full(len(word), size, np.int32)), pa.array(counts), docs, number],
+                            names=[*_KEY, "n", "first_doc", "first_word"]))
+    return out
+
+
+def _merged(tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+    """Equal phrases of one batch as one row each; its rows are in doc_id order, so the first pointer is the least."""
+    sums = pa.TableGroupBy(pa.concat_tables(tables), _KEY, use_threads=False).aggregate([("n", "sum"), ("first_doc", "first"), ("first_word", "first")])
+    for part in sums.combine_chunks().to_batches():
+        doc, word = part.column("first_doc_first"), part.column("first_word_first")
+        pair = np.empty((part.num_rows, 2), np.int64)  # a decimal128: its low and its high 64 bits
+        number = pc.fill_null(doc, 0).to_numpy(zero_copy_only=False)
+        pair[:, 0] = (number << 40) | pc.fill_null(word, 0).to_numpy(zero_copy_only=False)
+        pair[:, 1] = number >> 24
+        mask = pa.array(np.asarray(doc.is_valid())).buffers()[1]
+        first = pa.Array.from_buffers(pa.decimal128(38, 0), part.num_rows, [mask, pa.py_buffer(pair)])
+        yield pa.RecordBatch.from_arrays([*(part.column(k) for k in _KEY), part.column("n_sum"), first], [*_KEY, "n", "first"])
+
+
 def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", print_bits: int = 64) -> DataFrame:
     """(lang, phrase, size, n, first_doc, first_word) of all phrases of up to four words that occur
     ``MINIMUM`` times in their language or more, and of each language a row of size 0 with its number of
@@ -248,53 +308,22 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "l
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = every.value
-        held: dict[tuple[str, int, str], list] = {}
-
-        def out() -> pa.RecordBatch:
-            lang, fp, phrase = zip(*held, strict=True)
-            size, n, doc, word = zip(*held.values(), strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(lang), pa.array(fp, pa.int64()), pa.array(phrase), pa.array(size, pa.int32()), pa.array(n, pa.int64()), pa.array(doc, pa.int64()), pa.array(word, pa.int64())],
-                                              ["lang", "fp", "phrase", "size", "n", "first_doc", "first_word"])
-
-        def add(key: tuple, size: int, n: int, doc: int | None, word: int | None) -> None:
-            had = held.get(key)
-            if had is None:
-                held[key] = [size, n, doc, word]
-            else:
-                had[1] += n
-                if doc is not None and (had[2] is None or (doc, word) < (had[2], had[3])):
-                    had[2:] = [doc, word]
-
         for batch in batches:
+            some: list[pa.Table] = []
+            size = 0
             for rows in _blocks(batch, print_bits):
-                block, langs = rows.block, rows.langs
-                for lang, words in zip(langs, np.diff(block.first).tolist(), strict=True):
-                    add((lang, 0, ""), 0, words, None, None)
-                exact = block.exact_words()
-                for size, start, fp in [*((k, *block.prints(k)) for k in (1, 2)), *block.longer(bits)]:
-                    some = passes(fp, bits)
-                    start, fp = start[some], fp[some]
-                    _, at, which, n = np.unique(fp, return_index=True, return_inverse=True, return_counts=True)
-                    alike = np.ones(len(fp), bool)
-                    for j in range(size):
-                        alike &= exact[start + j] == exact[start[at] + j][which]
-                    alike &= block.lang[block.doc[start]] == block.lang[block.doc[start[at]]][which]
-                    others = np.flatnonzero(~alike)  # occurrences whose text isn't the one pointed to
-                    n = n - np.bincount(which[others], minlength=len(n))
-                    for i, count in [*zip(at.tolist(), n.tolist(), strict=True), *((i, 1) for i in others.tolist())]:
-                        w = int(start[i])
-                        d = int(block.doc[w])
-                        doc = rows.ids[d]
-                        word = None if doc is None else rows.before[d] + w - int(block.first[d])
-                        add((langs[d], int(fp[i].view(np.int64)), block.text(w, size)), size, count, doc, word)
-                if len(held) >= HELD:
-                    yield out()
-                    held.clear()
-        if held:
-            yield out()
+                some += _found(rows, bits)
+                size += sum(len(t) for t in some[-LONGEST - 1 :])
+                if size >= HELD:
+                    yield from _merged(some)
+                    some, size = [], 0
+            if some:
+                yield from _merged(some)
 
-    sums = own.mapInArrow(run, TEXTS).groupBy("fp", "lang", "phrase", "size").agg(F.sum("n").alias("n"), F.min(F.when(F.col("first_doc").isNotNull(), F.struct("first_doc", "first_word"))).alias("p"))
-    return written(sums.where((F.col("n") >= MINIMUM) | (F.col("size") == 0)).select("lang", "phrase", "size", "n", "p.first_doc", "p.first_word"), "phrases")
+    sums = own.mapInArrow(run, TEXTS).groupBy("fp", "lang", "phrase", "size").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
+    word = F.pmod("first", F.lit(WORDS).cast("decimal(13,0)"))
+    found = sums.where((F.col("n") >= MINIMUM) | (F.col("size") == 0)).withColumn("word", word)
+    return written(found.select("lang", "phrase", "size", "n", F.expr(f"(first - word) DIV CAST({WORDS} AS DECIMAL(13, 0))").alias("first_doc"), F.col("word").cast("long").alias("first_word")), "phrases")
 
 
 def _salt(key: Column) -> Column:

@@ -144,9 +144,10 @@ def test_long_texts_in_parts(spark):
     rng = random.Random(9)
     text = "".join(rng.choice(["alpha beta", "gamma", "delta of the"]) + rng.choice([" ", " ", ". ", "\n", "!"]) for _ in range(400_000))
     assert len(text) > phrases.AT_ONCE and len(list(phrases._parted(text.encode()))) > 1
-    frequent = phrases.frequent_phrases(spark.createDataFrame([(1, "en", text), (0, "en", "alpha beta gamma delta")], "doc_id long, lang string, text string"))
+    frequent = phrases.frequent_phrases(spark.createDataFrame([(1, "en", text), (-7, "en", "alpha beta gamma delta")], "doc_id long, lang string, text string"))
     assert sorted(tuple(r)[:8] for r in phrases.collocations(frequent).collect()) == collocations([("en", text), ("en", "alpha beta gamma delta")])
     assert len(list(phrases._parted(b"x" * (phrases.AT_ONCE * 2)))) == 1
+    assert {r.first_doc for r in frequent.collect() if r.phrase == "alpha beta"} == {-7}
     late = [r for r in frequent.collect() if r.first_word and r.first_doc == 1]
     words = [x for piece in re.split(r"[.,;:!?\x0A-\x0D]", text) for x in piece.split()]
     assert late and all(" ".join(words[r.first_word : r.first_word + r.size]) == r.phrase for r in late)
