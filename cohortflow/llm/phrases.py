@@ -2,16 +2,15 @@
 
 Prefix polynomials (modulo 2**64, numpy) over the bytes give every word a hash, and prefix
 polynomials over those give every run of words its fingerprint in two operations, whatever its
-length. Three scans, none of which holds more than ``PENDING`` fingerprints or ``HELD`` phrases:
+length. Four scans, none of which holds more than ``PENDING`` fingerprints or ``HELD`` phrases:
 
-1. fingerprints of words and word pairs, counted in the task and then by a shuffle of (fingerprint,
-   count) alone;
-2. the same for three and four words, where each pair in them is among the frequent ones: no phrase
-   is more frequent than its parts;
-3. what reached the minimum is counted anew with its text and the pointer to its first occurrence:
-   (document, word number). In the task each occurrence is compared, word by word, with the one that
-   its fingerprint points to; the shuffle groups by fingerprint and text. So two phrases of one
-   fingerprint stay two, and only frequent phrases ever become text.
+1. fingerprints of words, counted in the task and then by a shuffle of (fingerprint, count) alone;
+2. the same for pairs of frequent words, since no phrase is more frequent than its parts;
+3. the same for runs of three and four words all of whose pairs are frequent;
+4. what reached the minimum is counted anew. In the task each occurrence is compared, word by word, with
+   the first one of its fingerprint, and one row a phrase goes on with its text, its count and the
+   pointer to a document; the shuffle groups by text. So two phrases of one fingerprint stay two, and
+   only frequent phrases ever become text.
 
 Between the scans goes a sieve of fixed size (``sieve.BITS`` bits, whatever the data) of the frequent
 fingerprints. It only keeps rows out of the shuffles; the counts of the last scan decide. As the data
@@ -28,7 +27,7 @@ table gives no row; other columns of any name are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -54,9 +53,9 @@ ROWS = 1000
 #: Parts into which the rows of a shared single word, or of a language, are dealt.
 SALTS = 8
 COUNTS = "fp long, n long"
-TEXTS = "lang string, fp long, phrase string, size int, n long, first decimal(38,0)"
-#: A pointer is one number, doc_id * WORDS + word: hash aggregates take the least of it.
-WORDS = 1 << 40
+TEXTS = "phrase string, n long, first_doc long"
+#: Between a phrase, which never holds it, and its language.
+AFTER_PHRASE = "\n"
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -112,15 +111,25 @@ class Block:
             start = np.flatnonzero(self.piece[:n] == self.piece[size - 1 :])
         return start, mixed(self.runs.of(start, size) + self.lang[self.doc[start]] * np.uint64(MUL)) & self.mask
 
-    def longer(self, bits: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(size, first words, fingerprints) of runs of three words and more all of whose pairs pass the sieve."""
-        start, fp = self.prints(2)
-        ok = np.zeros(len(self.begin) + 1, bool)
-        ok[start[passes(fp, bits)]] = True
-        at = np.flatnonzero(ok)
-        for size in range(3, LONGEST + 1):
-            at = at[ok[np.minimum(at + size - 2, len(ok) - 1)]]
-            yield size, *self.prints(size, at)
+    def candidates(self, sizes: Iterable[int], bits: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(size, first words, fingerprints) of the runs whose parts pass the sieve: of a pair its words, of
+        longer runs their pairs."""
+        for size in sizes:
+            if size > 1:
+                parts = np.zeros(len(self.begin) + 1, bool)
+                start, fp = self.prints(1 if size == 2 else 2)
+                parts[start[passes(fp, bits)]] = True
+            if size == 1:
+                yield 1, *self.prints(1)
+            elif size == 2:
+                start, fp = self.prints(2)
+                both = parts[start] & parts[start + 1]
+                yield 2, start[both], fp[both]
+            else:
+                at = np.flatnonzero(parts)
+                for k in range(1, size - 1):
+                    at = at[parts[np.minimum(at + k, len(parts) - 1)]]
+                yield size, *self.prints(size, at)
 
     def exact_words(self) -> np.ndarray:
         """A number for each word that equal words and no others share."""
@@ -176,42 +185,35 @@ def _parted(text: bytes) -> Iterator[bytes]:
 
 @dataclass
 class Rows:
-    """A block, and of each of its texts: doc_id, language, and the words of the document before it."""
+    """A block, and the doc_id and language of each of its texts."""
 
     block: Block
     ids: list[int | None]
     langs: list[str]
-    before: list[int]
 
 
 def _blocks(batch: pa.RecordBatch, print_bits: int) -> Iterator[Rows]:
     """The rows (doc_id, lang, text) of a batch in blocks, in ascending doc_id order, nulls last: the first
-    occurrence in a block is the one of least doc_id."""
+    occurrence in a block is one of the least doc_id."""
     if not _HASHER:
         _HASHER.append(SpanHasher())
     batch = batch.take(pc.sort_indices(batch.column(0)))
-    some: list[tuple[int | None, str, bytes, bool]] = []
-    size = done = 0
-
-    def block() -> Rows:
-        nonlocal done
-        out = Rows(Block([t for _, _, t, _ in some], [x for _, x, _, _ in some], _HASHER[0], print_bits), [i for i, _, _, _ in some], [x for _, x, _, _ in some], [])
-        for words, (_, _, _, more) in zip(np.diff(out.block.first).tolist(), some, strict=True):
-            out.before.append(done if more else 0)
-            done = out.before[-1] + words
-        return out
-
+    ids: list[int | None] = []
+    langs: list[str] = []
+    texts: list[bytes] = []
+    size = 0
     for at in range(0, batch.num_rows, ROWS):
-        piece = batch.slice(at, ROWS)
-        for doc, lang, text in zip(*(c.to_pylist() for c in piece.columns), strict=True):
-            for k, part in enumerate(_parted((text or "").encode())):
-                some.append((doc, NO_LANG if lang is None else lang, part, k > 0))
+        for doc, lang, text in zip(*(c.to_pylist() for c in batch.slice(at, ROWS).columns), strict=True):
+            for part in _parted((text or "").encode()):
+                ids.append(doc)
+                langs.append(NO_LANG if lang is None else lang)
+                texts.append(part)
                 size += len(part)
                 if size >= AT_ONCE:
-                    yield block()
-                    some, size = [], 0
-    if some:
-        yield block()
+                    yield Rows(Block(texts, langs, _HASHER[0], print_bits), ids, langs)
+                    ids, langs, texts, size = [], [], [], 0
+    if texts:
+        yield Rows(Block(texts, langs, _HASHER[0], print_bits), ids, langs)
 
 
 def _counted(docs: DataFrame, print_bits: int, runs_of: Callable[[Block], Iterator[np.ndarray]]) -> DataFrame:
@@ -249,19 +251,14 @@ def _bits(frequent: DataFrame) -> np.ndarray:
     return out
 
 
-_KEY = ["lang", "fp", "phrase", "size"]
-
-
 def _found(rows: Rows, bits: np.ndarray) -> list[pa.Table]:
-    """Tables of ``TEXTS``, one for each run length and one of the numbers of words (size 0)."""
-    block, langs = rows.block, pa.array(rows.langs, pa.string())
-    ids, before = pa.array(rows.ids, pa.int64()), np.array(rows.before, np.int64)
-    n_docs = len(rows.langs)
-    no = pa.nulls(n_docs, pa.int64())
-    out = [pa.table([langs, pa.array(np.zeros(n_docs, np.int64)), pa.array([""] * n_docs), pa.array(np.zeros(n_docs, np.int32)), pa.array(np.diff(block.first).astype(np.int64)), no, no],
-                    names=[*_KEY, "n", "first_doc", "first_word"])]
+    """Tables of ``TEXTS``, one for each run length, and one of the numbers of words (no phrase)."""
+    block, langs = rows.block, pa.array([AFTER_PHRASE + x for x in rows.langs], pa.string())
+    ids = pa.array(rows.ids, pa.int64())
+    names = ["phrase", "n", "first_doc"]
+    out = [pa.table([langs, pa.array(np.diff(block.first).astype(np.int64)), ids], names=names)]
     exact = block.exact_words()
-    for size, start, fp in [*((k, *block.prints(k)) for k in (1, 2)), *block.longer(bits)]:
+    for size, start, fp in block.candidates(range(1, LONGEST + 1), bits):
         some = passes(fp, bits)
         start, fp = start[some], fp[some]
         _, at, which, n = np.unique(fp, return_index=True, return_inverse=True, return_counts=True)
@@ -272,39 +269,32 @@ def _found(rows: Rows, bits: np.ndarray) -> list[pa.Table]:
         places = np.concatenate([at, others])
         counts = np.concatenate([n - np.bincount(which[others], minlength=len(n)), np.ones(len(others), np.int64)]).astype(np.int64)
         word = start[places]
-        doc = block.doc[word]
-        docs = ids.take(pa.array(doc))
-        number = pa.array(before[doc] + word - block.first[doc], mask=np.asarray(docs.is_null()))
-        out.append(pa.table([langs.take(pa.array(doc)), pa.array(fp[places].view(np.int64)), block.texts(word, size), pa.array(np.full(len(word), size, np.int32)), pa.array(counts), docs, number],
-                            names=[*_KEY, "n", "first_doc", "first_word"]))
+        doc = pa.array(block.doc[word])
+        out.append(pa.table([pc.binary_join_element_wise(block.texts(word, size), langs.take(doc), ""), pa.array(counts), ids.take(doc)], names=names))
     return out
 
 
 def _merged(tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-    """Equal phrases of one batch as one row each; its rows are in doc_id order, so the first pointer is the least."""
-    sums = pa.TableGroupBy(pa.concat_tables(tables), _KEY, use_threads=False).aggregate([("n", "sum"), ("first_doc", "first"), ("first_word", "first")])
-    for part in sums.combine_chunks().to_batches():
-        doc, word = part.column("first_doc_first"), part.column("first_word_first")
-        pair = np.empty((part.num_rows, 2), np.int64)  # a decimal128: its low and its high 64 bits
-        number = pc.fill_null(doc, 0).to_numpy(zero_copy_only=False)
-        pair[:, 0] = (number << 40) | pc.fill_null(word, 0).to_numpy(zero_copy_only=False)
-        pair[:, 1] = number >> 24
-        mask = pa.array(np.asarray(doc.is_valid())).buffers()[1]
-        first = pa.Array.from_buffers(pa.decimal128(38, 0), part.num_rows, [mask, pa.py_buffer(pair)])
-        yield pa.RecordBatch.from_arrays([*(part.column(k) for k in _KEY), part.column("n_sum"), first], [*_KEY, "n", "first"])
+    """Equal phrases as one row each."""
+    sums = pa.TableGroupBy(pa.concat_tables(tables), "phrase", use_threads=False).aggregate([("n", "sum"), ("first_doc", "min")])
+    yield from sums.select(["phrase", "n_sum", "first_doc_min"]).rename_columns(["phrase", "n", "first_doc"]).combine_chunks().to_batches()
 
 
 def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", print_bits: int = 64) -> DataFrame:
-    """(lang, phrase, size, n, first_doc, first_word) of all phrases of up to four words that occur
-    ``MINIMUM`` times in their language or more, and of each language a row of size 0 with its number of
-    words. Written below the shared folder. Fewer ``print_bits`` make fingerprints collide (for tests); no
-    result depends on them."""
+    """(lang, phrase, size, n, first_doc) of all phrases of up to four words that occur ``MINIMUM`` times in
+    their language or more, and of each language a row of size 0 with its number of words. Written below
+    the shared folder. Fewer ``print_bits`` make fingerprints collide (for tests); no result depends on them."""
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    short = _bits(_counted(own, print_bits, lambda b: (b.prints(k)[1] for k in (1, 2))))
-    pairs = spark.sparkContext.broadcast(short)
-    long = _bits(_counted(own, print_bits, lambda b: (fp for _, _, fp in b.longer(pairs.value))))
-    every = spark.sparkContext.broadcast(short | long)
+
+    def and_these(known: np.ndarray, sizes: tuple[int, ...]) -> np.ndarray:
+        """The sieve with the frequent fingerprints of these run lengths as well."""
+        sent = spark.sparkContext.broadcast(known)
+        return known | _bits(_counted(own, print_bits, lambda b: (fp for _, _, fp in b.candidates(sizes, sent.value))))
+
+    bits = and_these(np.zeros(BITS // 8, np.uint8), (1,))
+    bits = and_these(bits, (2,))
+    every = spark.sparkContext.broadcast(and_these(bits, tuple(range(3, LONGEST + 1))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = every.value
@@ -320,10 +310,10 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "l
             if some:
                 yield from _merged(some)
 
-    sums = own.mapInArrow(run, TEXTS).groupBy("fp", "lang", "phrase", "size").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
-    word = F.pmod("first", F.lit(WORDS).cast("decimal(13,0)"))
-    found = sums.where((F.col("n") >= MINIMUM) | (F.col("size") == 0)).withColumn("word", word)
-    return written(found.select("lang", "phrase", "size", "n", F.expr(f"(first - word) DIV CAST({WORDS} AS DECIMAL(13, 0))").alias("first_doc"), F.col("word").cast("long").alias("first_word")), "phrases")
+    sums = own.mapInArrow(run, TEXTS).groupBy("phrase").agg(F.sum("n").alias("n"), F.min("first_doc").alias("first_doc"))
+    both = F.split("phrase", AFTER_PHRASE, 2)
+    found = sums.select(both[1].alias("lang"), both[0].alias("phrase"), "n", "first_doc").withColumn("size", F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))))
+    return written(found.where((F.col("n") >= MINIMUM) | (F.col("size") == 0)), "phrases")
 
 
 def _salt(key: Column) -> Column:
@@ -331,9 +321,9 @@ def _salt(key: Column) -> Column:
 
 
 def collocations(frequent: DataFrame, top: int = TOP) -> DataFrame:
-    """(lang, rank, phrase, a, l, r, n, score, first_doc, first_word): the best ``top`` phrases of each language."""
+    """(lang, rank, phrase, a, l, r, n, score, first_doc): the best ``top`` phrases of each language."""
     phrases = frequent.where(F.col("size") > 0)
-    found = phrases.where(F.col("size") > 1).select("lang", "phrase", "size", F.col("n").alias("a"), "first_doc", "first_word", F.split("phrase", " ").alias("w"))
+    found = phrases.where(F.col("size") > 1).select("lang", "phrase", "size", F.col("n").alias("a"), "first_doc", F.split("phrase", " ").alias("w"))
 
     cuts = found.select("lang", "phrase", "a", "size", "w", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
     parts = cuts.select("lang", "phrase", "a", "k", F.explode(F.array(
@@ -352,18 +342,18 @@ def collocations(frequent: DataFrame, top: int = TOP) -> DataFrame:
         F.sequence(F.lit(1), F.col("size") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " "))))
     within = found.where(F.col("size") > 2).select("lang", F.explode(inner).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     kept = (found.join(within, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (100 * F.col("longer") < COVERED_PERCENT * F.col("a")))
-            .join(scored, ["lang", "phrase"]).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", "first_doc", "first_word"))
+            .join(scored, ["lang", "phrase"]).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", "first_doc"))
 
     best = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     first = kept.withColumn("salt", _salt(F.col("phrase"))).withColumn("place", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*best))).where(F.col("place") <= top)
     ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)).cast("long")).where(F.col("rank") <= top)
     words = frequent.where(F.col("size") == 0).select("lang", "n")
-    return ranked.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "first_doc", "first_word")
+    return ranked.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "first_doc")
 
 
 @query
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return collocations(frequent_phrases(table(spark, sf_dir, "documents"))).drop("first_doc", "first_word")
+    return collocations(frequent_phrases(table(spark, sf_dir, "documents"))).drop("first_doc")
 
 
 SQL["op13_phrase_collocations"] = f"""
