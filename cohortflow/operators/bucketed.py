@@ -4,7 +4,8 @@ A table is plain Parquet under ``<path>/bucket=<b>/load=<n>``, ``b`` being a has
 fixed number of buckets. A load reads and writes the buckets that its keys touch and no others, so its
 cost follows the batch, not the table. The rows of a bucket are those of its greatest load: which
 partitions to read comes from the partition values alone, and "as of load n" is the same with greater
-loads left out. Nothing in a committed partition is ever changed.
+loads left out. Nothing in a committed partition is ever changed. A marker row (``_marker``) stands in
+every partition, so that a bucket which a load leaves empty is known to be empty.
 
 ``LoadMarks`` holds the high-water marks, one partition a load, written after the load's state. A load
 counts from then on: readers take the state up to the last load with marks. A load that stopped before
@@ -45,7 +46,8 @@ def _files(spark: SparkSession, schema: T.StructType, path: str) -> list[str]:
 class BucketedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str], buckets: int):
         self.spark, self.path, self.schema, self.key, self.buckets = spark, path.rstrip("/"), schema, list(key), buckets
-        self._stored = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("load", T.IntegerType())])
+        self._with_marker = T.StructType([*schema.fields, T.StructField("_marker", T.BooleanType())])
+        self._stored = T.StructType([*self._with_marker.fields, T.StructField("bucket", T.IntegerType()), T.StructField("load", T.IntegerType())])
 
     def bucket(self) -> Column:
         """The bucket of a row with the key's columns."""
@@ -67,7 +69,7 @@ class BucketedTable:
         paths = [f"{self.path}/bucket={b}/load={n}" for b, n in sorted(latest.items()) if only is None or b in set(only)]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        return self.spark.read.schema(self._with_marker).parquet(*paths).filter(F.col("_marker").isNull()).drop("_marker")
 
     def lookup(self, value: object, upto: int | None = None) -> DataFrame:
         """The rows of one key (a table of one key column): one bucket is read."""
@@ -80,25 +82,27 @@ class BucketedTable:
         return sorted(r[0] for r in batch.select(self.bucket().alias("b")).distinct().collect())
 
     def merge(self, batch: DataFrame, apply: Callable[[DataFrame, DataFrame], DataFrame], load: int) -> list[int]:
-        """Replace the touched buckets by ``apply(their stored rows, batch)`` as load ``load``; the touched
-        buckets. Each of them must keep a row (state that only grows does)."""
+        """Replace the touched buckets by ``apply(their stored rows, batch)`` as load ``load``; the touched buckets."""
         touched = self.touched(batch)
-        if touched:
-            self._write(apply(self.read(load - 1, touched), batch), load)
+        self.replace(touched, apply(self.read(load - 1, touched), batch), load)
         return touched
 
-    def _write(self, rows: DataFrame, load: int) -> None:
-        rows = rows.select(*self.schema.names).withColumn("bucket", self.bucket()).withColumn("load", F.lit(load))
+    def replace(self, touched: Sequence[int], rows: DataFrame, load: int) -> None:
+        """Write ``rows``, all of these buckets, as what they hold from load ``load`` on."""
+        if not touched:
+            return
+        markers = self.spark.createDataFrame([(b,) for b in touched], "bucket int").withColumn("_marker", F.lit(True))
+        rows = rows.select(*self.schema.names).withColumn("bucket", self.bucket()).unionByName(markers, allowMissingColumns=True).withColumn("load", F.lit(load))
         (rows.repartition("bucket").sortWithinPartitions("bucket", *self.key).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").option(f"parquet.bloom.filter.enabled#{self.key[0]}", "true")
          .partitionBy("bucket", "load").parquet(self.path))
 
     def rows_by_load(self) -> DataFrame:
-        """(load, rows): the number of rows in the table as of each load that wrote any, from the row counts of
-        the partitions: a bucket's load adds its rows and takes away those of the bucket's load before."""
+        """(load, rows): the number of rows in the table as of each load that wrote any, from the row counts of the
+        partitions: a bucket's load adds its rows and takes away those of the bucket's load before."""
         if not self.latest():
             return self.spark.createDataFrame([], "load int, rows long")
-        parts = self.spark.read.schema(self._stored).parquet(self.path).groupBy("bucket", "load").agg(F.count("*").alias("n"))
+        parts = self.spark.read.schema(self._stored).parquet(self.path).groupBy("bucket", "load").agg(F.count_if(F.col("_marker").isNull()).alias("n"))
         before = F.coalesce(F.lag("n").over(Window.partitionBy("bucket").orderBy("load")), F.lit(0))
         by_load = parts.select("load", (F.col("n") - before).alias("n")).groupBy("load").agg(F.sum("n").alias("n"))
         # one row a load meets here

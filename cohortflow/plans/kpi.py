@@ -2,7 +2,8 @@
 
 Every mart aggregates the fact first and joins dimensions to the aggregate (one row per
 study or site), so no join ever sees raw fact rows except the bounded site lookup, and every
-window runs over aggregated rows.
+window runs over aggregated rows. What they aggregate are the additive states of ``cells.states_of``:
+the fact's rows, or the kept-up cells of a published star, with equal results.
 """
 
 from __future__ import annotations
@@ -13,19 +14,18 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.scalar import (date_lit, days_between, pct, round_half_even, safe_div, trunc_int, week_start,
                                 zero_floor)
-from ..operators.aggregates import avg_if, count_if, share_of_partition, sum_by
+from ..operators.aggregates import share_of_partition, sum_by
+from .cells import first_enrolled, states_of, total
 from .gold import bounded
 
 
 def speed_study(star: dict) -> DataFrame:
     """K-01: first enrolment, days to first patient, enrolled, average cycle times per study."""
-    f = star["fact_patient_enrollment"]
-    agg = f.groupBy("study_id").agg(
-        F.min("enrolled_date").alias("first_enrollment_date"),
-        count_if(F.col("is_enrolled")).alias("enrolled_to_date"),
-        avg_if(F.col("days_lead_to_enrolled"), F.col("is_enrolled")).alias("avg_days_lead_to_enrolled"),
-        avg_if(F.col("days_screened_to_randomized"), F.col("screened_date").isNotNull()).alias(
-            "avg_days_screened_to_randomized"),
+    agg = states_of(star).groupBy("study_id").agg(
+        first_enrolled().alias("first_enrollment_date"),
+        total("enrolled").alias("enrolled_to_date"),
+        F.round(safe_div(F.sum("lead_days"), F.sum("lead_days_n")), 1).alias("avg_days_lead_to_enrolled"),
+        F.round(safe_div(F.sum("screen_days"), F.sum("screen_days_n")), 1).alias("avg_days_screened_to_randomized"),
     )
     s = star["dim_study"].select("study_id", "therapeutic_area", "phase", "start_date")
     j = s.join(agg, "study_id", "left")
@@ -39,15 +39,14 @@ def speed_study(star: dict) -> DataFrame:
 
 def speed_site_weekly(star: dict) -> DataFrame:
     """K-02: enrolments per site × study × week (Monday)."""
-    f = star["fact_patient_enrollment"].filter("is_enrolled")
+    f = states_of(star).filter("enrolled > 0")
     return f.groupBy("site_id", "study_id", week_start("enrolled_date").alias("week_start")).agg(
-        F.count(F.lit(1)).alias("enrolled_in_week"))
+        total("enrolled").alias("enrolled_in_week"))
 
 
 def diversity(star: dict) -> DataFrame:
     """K-03: enrolled per study × race × sex and its share of the study (window on the aggregate)."""
-    f = star["fact_patient_enrollment"]
-    g = f.groupBy("study_id", "race_ethnicity", "sex").agg(count_if(F.col("is_enrolled")).alias("enrolled"))
+    g = states_of(star).groupBy("study_id", "race_ethnicity", "sex").agg(total("enrolled").alias("enrolled"))
     return share_of_partition(g, "enrolled", ["study_id"], "pct_of_study_enrolled")
 
 
@@ -56,7 +55,7 @@ def reach(star: dict) -> DataFrame:
 
     The fact is reduced to one row per site before the (bounded) site join, so the distinct
     site count is a plain count of those rows."""
-    per_site = star["fact_patient_enrollment"].groupBy("site_id").agg(count_if(F.col("is_enrolled")).alias("enrolled"))
+    per_site = states_of(star).groupBy("site_id").agg(total("enrolled").alias("enrolled"))
     st = bounded(star["dim_site"], "site_id", "site_type", "region")
     j = per_site.join(st, "site_id")
     return j.groupBy("site_type", "region").agg(
@@ -65,14 +64,7 @@ def reach(star: dict) -> DataFrame:
 
 def conversion(star: dict) -> DataFrame:
     """K-05: funnel counts, pass rate, screen-fail rate and lead-to-enrolled rate per study."""
-    f = star["fact_patient_enrollment"]
-    g = f.groupBy("study_id").agg(
-        F.count(F.lit(1)).alias("leads"),
-        count_if(F.col("consented_date").isNotNull()).alias("consented"),
-        count_if(F.col("screened_date").isNotNull()).alias("screened"),
-        count_if(F.col("randomized_date").isNotNull()).alias("randomized"),
-        count_if(F.col("is_enrolled")).alias("enrolled"),
-    )
+    g = states_of(star).groupBy("study_id").agg(*[total(c).alias(c) for c in ("leads", "consented", "screened", "randomized", "enrolled")])
     return g.select(
         "*",
         pct(F.col("randomized"), F.col("screened")).alias("pass_rate_pct"),
@@ -90,11 +82,8 @@ def forecast(star: dict, params: C.Params = C.DEFAULT) -> DataFrame:
     weeks = params.velocity_weeks
     as_of = date_lit(params.as_of)
     since = F.date_sub(as_of, 7 * weeks)
-    f = star["fact_patient_enrollment"].filter("is_enrolled")
-    agg = f.groupBy("study_id").agg(
-        F.count(F.lit(1)).alias("_enrolled"),
-        count_if(F.col("enrolled_date") >= since).alias("_recent"),
-    )
+    agg = states_of(star).filter("enrolled > 0").groupBy("study_id").agg(
+        total("enrolled").alias("_enrolled"), total("enrolled", F.col("enrolled_date") >= since).alias("_recent"))
     s = star["dim_study"]
     j = s.join(agg, "study_id", "left")
     enrolled = F.coalesce(F.col("_enrolled"), F.lit(0).cast("bigint"))
@@ -124,8 +113,7 @@ def forecast(star: dict, params: C.Params = C.DEFAULT) -> DataFrame:
 
 def decentralized_share(star: dict) -> DataFrame:
     """K-08: percent of a study's enrolments at community or mobile sites."""
-    per = (star["fact_patient_enrollment"].groupBy("study_id", "site_id")
-           .agg(count_if(F.col("is_enrolled")).alias("enrolled")))
+    per = states_of(star).groupBy("study_id", "site_id").agg(total("enrolled").alias("enrolled"))
     st = bounded(star["dim_site"], "site_id", "is_decentralized")
     j = per.join(st, "site_id")
     g = j.groupBy("study_id").agg(
@@ -138,12 +126,12 @@ def cost_per_enrolled(star: dict) -> DataFrame:
     """K-09: (site operating cost + marketing spend) / enrolled, rounded to whole dollars.
 
     Costs and spend are summed per study before they meet the enrolment counts (A-06)."""
-    enr = star["fact_patient_enrollment"].groupBy("study_id").agg(count_if(F.col("is_enrolled")).alias("_enr"))
+    enr = states_of(star).groupBy("study_id").agg(total("enrolled").alias("_enr"))
     sc = sum_by(star["fact_site_financials"], ["study_id"], "operating_cost_usd", "_op")
     mk = sum_by(star["fact_marketing_daily"], ["study_id"], "spend_usd", "_mk")
     j = enr.join(sc, "study_id", "left").join(mk, "study_id", "left")
-    total = F.coalesce(F.col("_op"), F.lit(0.0)) + F.coalesce(F.col("_mk"), F.lit(0.0))
-    return j.select("study_id", F.round(safe_div(total, F.col("_enr")), 0).alias("cost_per_enrolled_usd"))
+    cost = F.coalesce(F.col("_op"), F.lit(0.0)) + F.coalesce(F.col("_mk"), F.lit(0.0))
+    return j.select("study_id", F.round(safe_div(cost, F.col("_enr")), 0).alias("cost_per_enrolled_usd"))
 
 
 def overview(star: dict, params: C.Params = C.DEFAULT) -> DataFrame:

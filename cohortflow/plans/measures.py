@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.scalar import date_lit, days_between, safe_div
-from ..operators.aggregates import count_if
+from .cells import total, with_states
 from .gold import bounded
 from .kpi import forecast
 
@@ -42,9 +42,18 @@ def _filter(star: dict, df: DataFrame, filters: dict | None) -> DataFrame:
     return df
 
 
-def _fact(star: dict, group_by: Sequence[str], filters: dict | None, need_site: bool = False) -> DataFrame:
-    f = star["fact_patient_enrollment"]
+def _fact(star: dict, group_by: Sequence[str], filters: dict | None, need_site: bool = False, also: Sequence[str] = ()) -> DataFrame:
+    """Rows with the additive states: of the smallest roll-up level that holds the grouping, the filters
+    and the columns ``also`` needed, else of the fact."""
     cols = set(group_by) | set(filters or {})
+    f = None
+    if "rollup" in star:
+        own = set(star["fact_patient_enrollment"].columns)
+        needed = {"site_id" if c in SITE_ATTRS else "study_id" if c in STUDY_ATTRS else c for c in cols if c in own or c in SITE_ATTRS or c in STUDY_ATTRS}
+        level = star["rollup"].choose(needed | set(also) | ({"site_id"} if need_site else set()))
+        f = None if level is None else star["rollup"].level(level)
+    if f is None:
+        f = with_states(star["fact_patient_enrollment"]).withColumn("first_enrolled", F.col("enrolled_date"))
     if need_site or cols & set(SITE_ATTRS):
         f = f.join(bounded(star["dim_site"], "site_id", *SITE_ATTRS), "site_id", "left")
     if cols & set(STUDY_ATTRS):
@@ -58,15 +67,15 @@ def _agg(df: DataFrame, group_by: Sequence[str], *cols: Column) -> DataFrame:
 
 def enrolled_to_date(star, group_by=("study_id",), filters=None, params=C.DEFAULT) -> DataFrame:
     """X-05."""
-    return _agg(_fact(star, group_by, filters), group_by, count_if(F.col("is_enrolled")).alias("enrolled_to_date"))
+    return _agg(_fact(star, group_by, filters), group_by, total("enrolled").alias("enrolled_to_date"))
 
 
 def avg_days_to_first_patient(star, group_by=("study_id",), filters=None, params=C.DEFAULT) -> DataFrame:
     """X-01: mean over the studies in context of (first enrolment − study start)."""
     g = list(group_by)
     per = g + ([] if "study_id" in g else ["study_id"])
-    f = _fact(star, group_by, filters)
-    first = f.groupBy(*per).agg(F.min("enrolled_date").alias("_first"))
+    f = _fact(star, group_by, filters, also=["study_id"])
+    first = f.groupBy(*per).agg(F.min("first_enrolled").alias("_first"))
     s = bounded(star["dim_study"], "study_id", "start_date")
     d = first.join(s, "study_id").withColumn("_days", days_between("start_date", "_first"))
     return _agg(d, g, F.avg("_days").alias("avg_days_to_first_patient"))
@@ -74,24 +83,24 @@ def avg_days_to_first_patient(star, group_by=("study_id",), filters=None, params
 
 def avg_lead_to_enrolled_days(star, group_by=("study_id",), filters=None, params=C.DEFAULT) -> DataFrame:
     """X-02."""
-    return _agg(_fact(star, group_by, filters), group_by, F.avg("days_lead_to_enrolled").alias("avg_lead_to_enrolled_days"))
+    return _agg(_fact(star, group_by, filters), group_by, safe_div(F.sum("lead_days"), F.sum("lead_days_n")).alias("avg_lead_to_enrolled_days"))
 
 
 def _recent(params: C.Params) -> Column:
     end = date_lit(params.as_of)
     start = F.date_sub(end, 7 * params.velocity_weeks)
-    return F.col("is_enrolled") & (F.col("enrolled_date") > start) & (F.col("enrolled_date") <= end)
+    return (F.col("enrolled_date") > start) & (F.col("enrolled_date") <= end)
 
 
 def enrolled_recent(star, group_by=("study_id",), filters=None, params=C.DEFAULT) -> DataFrame:
     """X-03: enrolments in the window of N weeks ending at the context's last date (inclusive)."""
-    return _agg(_fact(star, group_by, filters), group_by, count_if(_recent(params)).alias("enrolled_recent"))
+    return _agg(_fact(star, group_by, filters, also=["enrolled_date"]), group_by, total("enrolled", _recent(params)).alias("enrolled_recent"))
 
 
 def weekly_velocity(star, group_by=("study_id",), filters=None, params=C.DEFAULT) -> DataFrame:
     """X-04: X-03 / N."""
-    return _agg(_fact(star, group_by, filters), group_by,
-                (count_if(_recent(params)).cast("double") / F.lit(float(params.velocity_weeks))).alias("weekly_velocity"))
+    return _agg(_fact(star, group_by, filters, also=["enrolled_date"]), group_by,
+                (total("enrolled", _recent(params)).cast("double") / F.lit(float(params.velocity_weeks))).alias("weekly_velocity"))
 
 
 def pct_to_target(star, group_by=("study_id",), filters=None, params=C.DEFAULT) -> DataFrame:
@@ -112,8 +121,7 @@ def pct_to_target(star, group_by=("study_id",), filters=None, params=C.DEFAULT)
 
 def screen_fail_rate(star, group_by=("study_id",), filters=None, params=C.DEFAULT) -> DataFrame:
     """X-07: (screened − randomized) / screened."""
-    scr = count_if(F.col("screened_date").isNotNull())
-    rnd = count_if(F.col("randomized_date").isNotNull())
+    scr, rnd = total("screened"), total("randomized")
     return _agg(_fact(star, group_by, filters), group_by, safe_div(scr - rnd, scr).alias("screen_fail_rate"))
 
 
@@ -140,15 +148,14 @@ def studies_at_risk(star, group_by=("study_id",), filters=None, params=C.DEFAULT
 def pct_decentralized(star, group_by=("study_id",), filters=None, params=C.DEFAULT) -> DataFrame:
     """X-10: enrolled at community/mobile sites / enrolled."""
     f = _fact(star, group_by, filters, need_site=True)
-    dec = count_if(F.col("is_enrolled") & F.col("is_decentralized"))
-    return _agg(f, group_by, safe_div(dec, count_if(F.col("is_enrolled"))).alias("pct_decentralized"))
+    return _agg(f, group_by, safe_div(total("enrolled", F.col("is_decentralized")), total("enrolled")).alias("pct_decentralized"))
 
 
 def pct_underrepresented(star, group_by=("study_id",), filters=None, params=C.DEFAULT) -> DataFrame:
     """X-11: enrolled whose race is not the majority value / enrolled (a NULL race counts as not)."""
-    f = _fact(star, group_by, filters)
-    under = count_if(F.col("is_enrolled") & ~F.coalesce(F.col("race_ethnicity") == C.MAJORITY_RACE, F.lit(False)))
-    return _agg(f, group_by, safe_div(under, count_if(F.col("is_enrolled"))).alias("pct_underrepresented"))
+    f = _fact(star, group_by, filters, also=["race_ethnicity"])
+    under = total("enrolled", ~F.coalesce(F.col("race_ethnicity") == C.MAJORITY_RACE, F.lit(False)))
+    return _agg(f, group_by, safe_div(under, total("enrolled")).alias("pct_underrepresented"))
 
 
 def _money(star, table, col, out, group_by, filters):

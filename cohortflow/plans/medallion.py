@@ -6,7 +6,9 @@
       silver/dim_patient, silver/funnel_events
                                              state by key bucket (``bucket=…/load=…``)
       silver/_load_watermark/load=…          marks; a load counts once it has them
-      gold/<table>/                          overwritten Gold tables
+      gold/fact_patient_enrollment, gold/cells, gold/kpi_… by study
+                                             by key bucket, kept up by changes
+      gold/<table>/                          dimensions and small marts, overwritten
 
 Silver order of writes: the batch's upper marks, then the state tables, then the marks. A crash
 in between makes the retry read the same Bronze rows again, up to the upper marks, and both SCD2 and the
@@ -28,8 +30,9 @@ from ..sources.landing import write_parquet
 from ..streaming.incremental import bronze_schema
 from ..streaming.ingest import ingest_all
 from . import gold as G
-from . import kpi as K
 from . import silver as SV
+from .cells import Rollup
+from .gold_state import GoldStore
 from .pipeline import DIM_PATIENT_COLS
 from .silver_state import FED_BY, Load, SilverStore
 
@@ -99,53 +102,42 @@ def gold_star(spark: SparkSession, lake: Lake, params: C.Params = C.DEFAULT) ->
     return G.build_star(spark, silver, dim, params)
 
 
-GOLD_MARTS = {
-    "kpi_speed_study": K.speed_study,
-    "kpi_speed_site_weekly": K.speed_site_weekly,
-    "kpi_accessibility_diversity": K.diversity,
-    "kpi_accessibility_reach": K.reach,
-    "kpi_predictability_conversion": K.conversion,
-}
+DIMENSIONS = ["dim_study", "dim_site", "dim_patient", "dim_campaign", "dim_date", "fact_marketing_daily", "fact_site_financials", "study_budgets"]
 
 
-def publish_gold(spark: SparkSession, lake: Lake, params: C.Params = C.DEFAULT) -> dict:
-    """Write the Gold star and marts (fact first; marts read the written fact, cutting lineage)."""
-    star = gold_star(spark, lake, params)
-    out = {}
+def gold_store(spark: SparkSession, lake: Lake, dims: dict, params: C.Params = C.DEFAULT) -> GoldStore:
+    return GoldStore(spark, f"{lake.root}/gold", lake.silver(params), dims, params)
 
-    def publish(name, df):
-        write_parquet(df, f"{lake.root}/gold/{name}")
-        return name, spark.read.parquet(f"{lake.root}/gold/{name}")
 
-    tables = ["dim_study", "dim_site", "dim_patient", "dim_campaign", "dim_date", "fact_patient_enrollment",
-              "fact_marketing_daily", "fact_site_financials"]
-    frames = {n: star[n] for n in tables}  # plans are built on this thread; the writes run concurrently
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        out.update(dict(pool.map(lambda n: publish(n, frames[n]), tables)))
-    written = G.Lazy({k: (lambda k=k: out[k]) for k in out} | {"study_budgets": lambda: star["study_budgets"]})
-    marts = dict(GOLD_MARTS)
-    marts["kpi_predictability_forecast"] = lambda s: K.forecast(s, params)
-    marts["kpi_overview"] = lambda s: K.overview(s, params)
-    mart_frames = {n: fn(written) for n, fn in marts.items()}
+def publish_gold(spark: SparkSession, lake: Lake, params: C.Params = C.DEFAULT) -> dict:
+    """Bring the fact, the cells and the marts up to Silver's last load, then write the dimensions whole
+    (they come from reference data). What was written: see ``GoldStore.publish``."""
+    star = gold_star(spark, lake, params)
+    dims = G.Lazy({n: (lambda n=n: star[n]) for n in DIMENSIONS})
+    out = gold_store(spark, lake, dims, params).publish()
+    frames = {n: star[n] for n in DIMENSIONS}  # plans are built on this thread; the writes run concurrently
     with ThreadPoolExecutor(max_workers=4) as pool:
-        out.update(dict(pool.map(lambda n: publish(n, mart_frames[n]), list(mart_frames))))
+        list(pool.map(lambda n: write_parquet(frames[n], f"{lake.root}/gold/{n}"), DIMENSIONS))
     return out
 
 
-def run(spark: SparkSession, landing: str, lake_root: str, batch_id: str, params: C.Params = C.DEFAULT) -> dict:
-    """``make run``: Bronze ingest, one Silver run, Gold publish."""
+def run(spark: SparkSession, landing: str, lake_root: str, batch_id: str, params: C.Params = C.DEFAULT) -> G.Lazy:
+    """``make run``: Bronze ingest, one Silver run, Gold publish; the published tables."""
     lake = Lake(spark, lake_root)
     ingest_bronze(spark, landing, lake)
     silver_run(spark, lake, batch_id, params)
-    return publish_gold(spark, lake, params)
+    publish_gold(spark, lake, params)
+    return published(spark, lake_root, params)
 
 
-GOLD_TABLES = ["dim_study", "dim_site", "dim_patient", "dim_campaign", "dim_date", "fact_patient_enrollment",
-               "fact_marketing_daily", "fact_site_financials", *GOLD_MARTS, "kpi_predictability_forecast",
-               "kpi_overview"]
+WHOLE = [*DIMENSIONS, "kpi_accessibility_reach", "kpi_predictability_forecast", "kpi_overview"]
 
 
-def published(spark: SparkSession, lake_root: str) -> G.Lazy:
-    """Serving read: the published Gold tables of a lake (dashboards and measures read these)."""
-    root = lake_root.rstrip("/")
-    return G.Lazy({n: (lambda n=n: spark.read.parquet(f"{root}/gold/{n}")) for n in GOLD_TABLES})
+def published(spark: SparkSession, lake_root: str, params: C.Params = C.DEFAULT) -> G.Lazy:
+    """Serving read: the published Gold tables of a lake (dashboards and measures read these). KPIs are
+    answered from its cells, measures from its roll-up where a level holds them."""
+    lake = Lake(spark, lake_root)
+    root = f"{lake.root}/gold"
+    dims = G.Lazy({n: (lambda n=n: spark.read.parquet(f"{root}/{n}")) for n in WHOLE})
+    store = gold_store(spark, lake, G.Lazy({n: (lambda n=n: dims[n]) for n in DIMENSIONS}), params)
+    return G.Lazy({**{n: (lambda n=n: dims[n]) for n in WHOLE}, **store.tables(), "rollup": lambda: Rollup(spark, f"{root}/rollup")})
