@@ -46,6 +46,8 @@ COVERED_PERCENT = 80
 SCALE = 2_000_000
 TOP = 2000
 NO_LANG = "und"
+#: Bits of a fingerprint: fewer make smaller shuffles and let more rows pass the sieve, which has fewer still.
+PRINT_BITS = 40
 #: Bytes of text handled at once; fingerprints, and phrases of a block, held before they are passed on.
 AT_ONCE, PENDING, HELD = 1 << 19, 1 << 20, 400_000
 #: Rows of an Arrow batch taken out of it at once.
@@ -80,7 +82,7 @@ class RunHasher:
 class Block:
     """Words of some documents: where they are, which piece they stand in, their fingerprints by run length."""
 
-    def __init__(self, texts: list[bytes], langs: list[str], hasher: SpanHasher, print_bits: int = 64):
+    def __init__(self, texts: list[bytes], langs: list[str], hasher: SpanHasher, print_bits: int):
         self.mask = np.uint64((1 << print_bits) - 1)
         buf = _LOWER[np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)]
         self.raw = buf.tobytes()
@@ -280,10 +282,10 @@ def _merged(tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
     yield from sums.select(["phrase", "n_sum", "first_doc_min"]).rename_columns(["phrase", "n", "first_doc"]).combine_chunks().to_batches()
 
 
-def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", print_bits: int = 64) -> DataFrame:
+def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", print_bits: int = PRINT_BITS) -> DataFrame:
     """(lang, phrase, size, n, first_doc) of all phrases of up to four words that occur ``MINIMUM`` times in
     their language or more, and of each language a row of size 0 with its number of words. Written below
-    the shared folder. Fewer ``print_bits`` make fingerprints collide (for tests); no result depends on them."""
+    the shared folder. Fewer ``print_bits`` let more fingerprints collide; no result depends on them."""
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 

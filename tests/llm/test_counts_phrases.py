@@ -101,7 +101,7 @@ def talk():
     return rows
 
 
-@pytest.mark.parametrize("print_bits", [64, 6])
+@pytest.mark.parametrize("print_bits", [phrases.PRINT_BITS, 6])
 def test_op13_equals_brute_force(spark, talk, print_bits):
     """With fingerprints of six bits nearly all phrases collide, and the result is the same."""
     docs = spark.createDataFrame([(k, *r, 1, "x") for k, r in enumerate(talk)], "doc_id long, lang string, text string, n int, phrase string").repartition(4)
