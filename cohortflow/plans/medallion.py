@@ -27,6 +27,8 @@ from ..operators.dedup import last_per_key
 from ..operators.scd2 import current_view
 from ..session import table_exists
 from ..sources.landing import write_parquet
+from ..sources.quarantine import COLUMNS as QUARANTINE
+from ..sources.quarantine import rejects, wellformed
 from ..streaming.incremental import bronze_schema
 from ..streaming.ingest import ingest_all
 from . import gold as G
@@ -56,10 +58,17 @@ class Lake:
         return f"{self.root}/bronze/{source}"
 
     def bronze(self, source: str) -> DataFrame:
+        """The well-formed rows of a source."""
         p = self.bronze_path(source)
         if not table_exists(self.spark, p):
             return self.spark.createDataFrame([], bronze_schema(source))
-        return self.spark.read.schema(bronze_schema(source)).parquet(p)
+        return wellformed(self.spark.read.schema(bronze_schema(source)).parquet(p))
+
+    def rejects(self, source: str) -> DataFrame:
+        """What of ``source`` is in quarantine: malformed records and failed casts, with file and reason."""
+        if not table_exists(self.spark, self.bronze_path(source)):
+            return self.spark.createDataFrame([], ", ".join(f"{c} string" for c in QUARANTINE))
+        return rejects(self.spark.read.schema(bronze_schema(source)).parquet(self.bronze_path(source)), source)
 
     def silver(self, params: C.Params = C.DEFAULT) -> SilverStore:
         return SilverStore(self.spark, f"{self.root}/silver", params)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import csv
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,37 +43,57 @@ def header_names(header: str) -> list[str]:
     return [c.strip() for c in next(csv.reader([header.lstrip("\ufeff")]))]
 
 
-def read_evolving(spark: SparkSession, path: str, source: str, key: str | None = None) -> DataFrame:
-    """S-05: additive schema evolution. Files are grouped by their header; each group is read
-    with its own header-named text schema, and the groups are unioned by name (missing
-    columns become NULL). Declared columns come first, new columns after them. Names match
-    whatever their case, order or quoting; a file whose header lacks the key column raises.
-
-    Only the distinct headers reach the driver; a group's files are those whose header it is, read
-    by a join of the file name with the header table."""
-    declared = [n for n, _ in TYPED[source]]
-    key = key or declared[0]
+def evolved_columns(kinds: Sequence[str], declared: Sequence[str], key: str, what: str) -> tuple[list[str], list[dict[str, int]]]:
+    """(all columns, and of each header its columns' positions): declared columns first, new ones after them
+    in the order of the headers. Names match whatever their case; a header without the key raises."""
     by_lower = {n.lower(): n for n in declared}
-    found = headers(spark, path)
-    kinds = [r["header"] for r in found.select("header").distinct().collect()]  # one row a schema version
-    parts = []
-    for header in sorted(kinds):
+    places = []
+    for header in kinds:
         names = [by_lower.get(n.lower(), n) for n in header_names(header)]
         if key not in names:
-            raise ValueError(f"{path}: a file's header lacks {key}: {header}")
-        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-        rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option(
-            "recursiveFileLookup", "true").csv(path).withColumn("_file", F.col("_metadata.file_path"))
-        own = found.filter(F.col("header") == header).select(F.col("file").alias("_file"))
-        parts.append(rows.join(own, "_file", "left_semi").drop("_file"))
-    if not parts:
+            raise ValueError(f"{what}: a file's header lacks {key}: {header}")
+        places.append({n: k for k, n in enumerate(names)})
+    return [*declared, *dict.fromkeys(n for at in places for n in at if n not in declared)], places
+
+
+def by_position(rows: DataFrame, columns: Sequence[str], places: Sequence[dict[str, int]], keep: Sequence[str] = ()) -> DataFrame:
+    """Pick the named columns of rows (c0, c1, …, version), ``version`` being the number of their header."""
+    picked = []
+    for c in columns:
+        value = F.lit(None).cast("string")
+        for v, at in enumerate(places):
+            if c in at:
+                value = F.when(F.col("version") == v, F.col(f"c{at[c]}")).otherwise(value)
+        picked.append(value.alias(c))
+    return rows.select(*picked, *keep)
+
+
+def positional_schema(places: Sequence[dict[str, int]]) -> T.StructType:
+    return T.StructType([T.StructField(f"c{k}", T.StringType(), True) for k in range(max(max(at.values()) for at in places) + 1)])
+
+
+def read_evolving(spark: SparkSession, path: str, source: str, key: str | None = None, multi_line: bool = False) -> DataFrame:
+    """S-05: additive schema evolution in one scan. The files are parsed by position, however many header
+    versions there are; each row's file names its header, and columns are picked by the positions that the
+    header gives them (missing columns are NULL). Declared columns come first, new columns after them. Names
+    match whatever their case, order or quoting; a file whose header lacks the key column raises.
+
+    The headers come from a scan of their own, which takes lines alone and keeps one a file; only the
+    distinct ones reach the driver. A record is one line unless ``multi_line`` says that quoted
+    fields may hold line feeds (files are then not split)."""
+    declared = [n for n, _ in TYPED[source]]
+    found = headers(spark, path)
+    kinds = sorted(r["header"] for r in found.select("header").distinct().collect())  # one row a schema version
+    if not kinds:
         return spark.createDataFrame([], landing_schema(source))
-    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    extra = [c for c in out.columns if c not in declared]
-    for c in declared:
-        if c not in out.columns:
-            out = out.withColumn(c, F.lit(None).cast("string"))
-    return out.select(*declared, *extra)
+    columns, places = evolved_columns(kinds, declared, key or declared[0], path)
+    rows = (spark.read.schema(positional_schema(places)).option("header", True).option("enforceSchema", True).option("multiLine", multi_line)
+            .option("recursiveFileLookup", "true").csv(path))
+    if len(kinds) == 1:
+        return by_position(rows.withColumn("version", F.lit(0)), columns, places)
+    version = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("header")).cast("int") - 1
+    rows = rows.withColumn("file", F.col("_metadata.file_path")).join(found.select("file", version.alias("version")), "file")
+    return by_position(rows, columns, places)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -35,6 +35,8 @@ TYPED: dict[str, list[tuple[str, T.DataType]]] = {
 
 INGEST_TS = "_ingest_ts"
 SOURCE_FILE = "_source_file"
+#: Text of a malformed record; its columns are not used.
+CORRUPT = "_corrupt_record"
 BRONZE_META = [(INGEST_TS, TS), (SOURCE_FILE, S)]
 
 

@@ -24,7 +24,8 @@ from ..functions.scalar import ts_lit
 from ..operators.dedup import first_per_key
 from ..plans import silver as SV
 from ..sources.landing import create_if_absent
-from ..sources.schemas import BRONZE_META, SILVER_FUNNEL_SCHEMA, landing_schema
+from ..sources.quarantine import wellformed
+from ..sources.schemas import BRONZE_META, CORRUPT, SILVER_FUNNEL_SCHEMA, landing_schema
 
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -38,7 +39,7 @@ def bronze_schema(source: str) -> T.StructType:
     s = landing_schema(source)
     for n, t in BRONZE_META:
         s = s.add(n, t, True)
-    return s.add("_ingest_date", T.DateType(), True)
+    return s.add(CORRUPT, T.StringType(), True).add("_ingest_date", T.DateType(), True)
 
 
 def first_events(rows: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -73,7 +74,7 @@ def run_silver_funnel(spark: SparkSession, bronze_path: str, changes_path: str,
         reader = spark.readStream.schema(bronze_schema("funnel_events"))
         if max_bytes:
             reader = reader.option("maxBytesPerTrigger", max_bytes)
-        rows = SV.typed_projection(reader.parquet(bronze_path), "funnel_events", keep=["_ingest_ts"])
+        rows = SV.typed_projection(wellformed(reader.parquet(bronze_path)), "funnel_events", keep=["_ingest_ts"])
         q = (first_events(rows, key).writeStream.outputMode("update").foreachBatch(write_changed)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).queryName("silver_funnel").start())
         q.awaitTermination()

@@ -9,24 +9,23 @@ is there and stops, like a scheduled batch job.
 from __future__ import annotations
 
 import datetime as _dt
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.bronze import stamp_from_metadata
-from ..sources.landing import header_names
-from ..sources.schemas import INGEST_TS, SOURCE_FILE, TYPED, landing_schema
+from ..sources.landing import by_position, evolved_columns, positional_schema
+from ..sources.quarantine import checked_schema
+from ..sources.schemas import CORRUPT, INGEST_TS, SOURCE_FILE, TYPED
 
 
 def start_ingest(spark: SparkSession, source: str, landing_glob: str, bronze_path: str, checkpoint: str,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     """One run is one batch with one ingest time, so that a load isn't split over several; a caller who
     would rather have several may bound the files of each."""
-    reader = (spark.readStream.schema(landing_schema(source)).option("header", True)
-              .option("enforceSchema", False))
+    reader = (spark.readStream.schema(checked_schema(source)).option("header", True)
+              .option("enforceSchema", False).option("columnNameOfCorruptRecord", CORRUPT))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = stamp_from_metadata(reader.csv(landing_glob))
@@ -59,32 +58,29 @@ def ingest_evolving(spark: SparkSession, source: str, landing_glob: str, bronze_
                     key: str | None = None) -> None:
     """S-05 in the ingest: as ``ingest``, but a file may bring further columns, anywhere in its header.
 
-    The stream hands over lines with their file; each file's first line is its header, and the lines
-    of files with one header are parsed by a schema named after it. Bronze gets the columns that a
+    The stream hands over lines with their file; each file's first line is its header. All lines are
+    parsed once, by position, and columns picked by the positions that their file's header gives. A record
+    is one line: a quoted field can't hold a line feed here. Bronze gets the columns that a
     batch has (read it with ``read_evolved``). A file without the key column stops the run before
     anything of its batch is written. Each batch is one folder, overwritten if the batch is replayed."""
     declared = [n for n, _ in TYPED[source]]
-    key = key or declared[0]
-    by_lower = {n.lower(): n for n in declared}
 
     def parse(batch: DataFrame, batch_id: int) -> None:
-        lines = batch.withColumn("n", F.monotonically_increasing_id())
+        # numbered and written once: the number tells the header line in both uses of the lines
+        numbered = f"{checkpoint.rstrip('/')}-lines"
+        batch.withColumn("n", F.monotonically_increasing_id()).write.mode("overwrite").parquet(numbered)
+        lines = spark.read.parquet(numbered)
         first = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"), F.min("n").alias("at"))
-        lines = lines.join(first, "file").filter("n != at")
-        parts = []
-        for header in sorted(r["header"] for r in first.select("header").distinct().collect()):  # one a schema version
-            names = [by_lower.get(n.lower(), n) for n in header_names(header)]
-            if key not in names:
-                raise ValueError(f"{source}: a file's header lacks {key}: {header}")
-            schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-            parts.append(lines.filter(F.col("header") == header).select(
-                F.from_csv("value", schema.simpleString()[len("struct<"):-1].replace(":", " ")).alias("r"), "file").select("r.*", "file"))
-        if not parts:
+        kinds = sorted(r["header"] for r in first.select("header").distinct().collect())  # one a schema version
+        if not kinds:
             return
-        out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        missing = [F.lit(None).cast("string").alias(c) for c in declared if c not in out.columns]
+        columns, places = evolved_columns(kinds, declared, key or declared[0], source)
+        version = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("header")).cast("int") - 1
+        rows = lines.join(first.select("file", "at", version.alias("version")), "file").filter("n != at")
+        fields = ", ".join(f"{f.name} string" for f in positional_schema(places))
+        parsed = rows.select(F.from_csv("value", fields).alias("r"), "file", "version").select("r.*", "file", "version")
         stamp = F.lit(_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp")
-        (out.select("*", *missing).withColumn(INGEST_TS, stamp).withColumnRenamed("file", SOURCE_FILE)
+        (by_position(parsed, columns, places, ["file"]).withColumn(INGEST_TS, stamp).withColumnRenamed("file", SOURCE_FILE)
             .write.mode("overwrite").parquet(f"{bronze_path}/_ingest_batch={batch_id}"))
 
     stream = spark.readStream.text(landing_glob).select(
