@@ -87,13 +87,16 @@ class BucketedTable:
         self.replace(touched, apply(self.read(load - 1, touched), batch), load)
         return touched
 
-    def replace(self, touched: Sequence[int], rows: DataFrame, load: int) -> None:
-        """Write ``rows``, all of these buckets, as what they hold from load ``load`` on."""
+    def replace(self, touched: Sequence[int], rows: DataFrame, load: int, watch: Callable[[DataFrame], DataFrame] | None = None) -> None:
+        """Write ``rows``, all of these buckets, as what they hold from load ``load`` on. ``watch`` may observe
+        them on the way: it gets the rows dealt by bucket, markers (``_marker``) among them."""
         if not touched:
             return
         markers = self.spark.createDataFrame([(b,) for b in touched], "bucket int").withColumn("_marker", F.lit(True))
         rows = rows.select(*self.schema.names).withColumn("bucket", self.bucket()).unionByName(markers, allowMissingColumns=True).withColumn("load", F.lit(load))
-        (rows.repartition("bucket").sortWithinPartitions("bucket", *self.key).write.mode("overwrite")
+        dealt = rows.repartition("bucket")
+        dealt = dealt if watch is None else watch(dealt).select(*dealt.columns)
+        (dealt.sortWithinPartitions("bucket", *self.key).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").option(f"parquet.bloom.filter.enabled#{self.key[0]}", "true")
          .partitionBy("bucket", "load").parquet(self.path))
 

@@ -9,7 +9,8 @@ can change here. Publishing a load
 3. adds these changes to the cells of those studies, and writes their rows of the marts by study;
 4. derives the marts that have a row a study or site type (reach, forecast, overview) and the roll-up of
    the cells, none of which reads the fact;
-5. writes its marks, from which on the load counts.
+5. writes its marks, from which on the load counts. The data-quality checks are metrics of these writes
+   (``observed``); a violated one ends the publication here, and readers keep the load before.
 
 Loads that were never published are caught up in one go. A publication that stopped is run again under
 the same number and replaces what it wrote.
@@ -27,6 +28,7 @@ from ..operators.bucketed import BucketedTable, LoadMarks
 from . import cells as CE
 from . import gold as G
 from . import kpi as K
+from .observed import Checks
 from .silver_state import PATIENT_KEY, SilverStore
 
 #: Marts with rows by study, each a function of the star.
@@ -66,7 +68,9 @@ class GoldStore:
         if load <= last:
             return {"load": last, "buckets": [], "studies": []}
         touched = sorted({b for t in self.silver.tables.values() for b, n in t.latest(load).items() if n > last})
-        self.fact.replace(touched, self.fact_of(load, touched), load)
+        checks = Checks()
+        self.fact.replace(touched, self.fact_of(load, touched), load, checks.fact(self.dims["dim_study"], self.dims["dim_site"]))
+        checks.stop_at_violations()
         change = f"{self.root}/_cell_changes/load={load}"  # read three times; one row a changed cell
         CE.changes(self.fact.read(last, touched), self.fact.read(load, touched)).write.mode("overwrite").parquet(change)
         changes = self.spark.read.schema(CE.CELL_SCHEMA).parquet(change)
@@ -75,9 +79,16 @@ class GoldStore:
         buckets = self.cells.touched(studies)
         star = self._star(self.fact.read(load), self.cells.read(load, buckets))
         star["dim_study"] = self.dims["dim_study"].filter(self.cells.bucket().isin(buckets))
+        watch = {"kpi_predictability_conversion": checks.conversion, "kpi_accessibility_diversity": checks.diversity}
         for name, f in BY_STUDY.items():
-            self.marts[name].replace(buckets, f(star), load)
-        self._whole(load)
+            self.marts[name].replace(buckets, f(star), load, watch.get(name))
+        checks.stop_at_violations()
+        self._whole(load, checks)
+        for name in ("dim_study", "dim_site", "dim_patient"):
+            checks.add(f"nonempty:{name}", int(self.dims[name].isEmpty()))
+        checks.add("nonempty:fact_patient_enrollment", int(self.cells.read(load).isEmpty()))
+        checks.stop_at_violations()
+        checks.frame(self.spark).write.mode("overwrite").parquet(f"{self.root}/_checks/load={load}")
         marks = self.dims["dim_study"].select(F.lit("studies").alias("table_name"), F.lit(None).cast("timestamp").alias("watermark")).limit(0)
         self.marks.write(marks, load, f"gold-{load}")
         return {"load": load, "buckets": touched, "studies": buckets}
@@ -91,14 +102,21 @@ class GoldStore:
             now = now.exceptAll(before).unionByName(before.exceptAll(now))
         return changes.select("study_id").unionByName(now.select("study_id")).distinct()
 
-    def _whole(self, load: int) -> None:
-        """Tables that are small or depend on the reference data and the date, written whole: from the cells."""
+    def _whole(self, load: int, checks: Checks) -> None:
+        """Tables that are small or depend on the reference data and the date, written whole: from the cells,
+        to a folder of this load, so that those of the load before stay until it counts."""
         star = self._star(self.fact.read(load), self.cells.read(load))
         p = self.params
         frames = {"kpi_accessibility_reach": K.reach(star), "kpi_predictability_forecast": K.forecast(star, p), "kpi_overview": K.overview(star, p)}
+        watch = {"kpi_predictability_forecast": checks.forecast, "kpi_overview": checks.overview}
         for name, df in frames.items():
-            df.write.mode("overwrite").parquet(f"{self.root}/{name}")
-        CE.rollup(star["cells"]).write.mode("overwrite").partitionBy("level").parquet(f"{self.root}/rollup")
+            watch.get(name, lambda x: x)(df).write.mode("overwrite").parquet(self.whole(name, load))
+        checks.stop_at_violations()
+        CE.rollup(star["cells"]).write.mode("overwrite").partitionBy("level").parquet(self.whole("rollup", load))
+
+    def whole(self, name: str, load: int | None = None) -> str:
+        """Where a table written whole lies as of a load, the last one if none is given."""
+        return f"{self.root}/{name}/load={self.marks.last() if load is None else load}"
 
     def tables(self) -> dict[str, Callable[[], DataFrame]]:
         """Readers of what is published by key bucket, as of the last load."""

@@ -35,6 +35,7 @@ from . import gold as G
 from . import silver as SV
 from .cells import Rollup
 from .gold_state import GoldStore
+from .observed import PublicationError  # noqa: F401 - what publish_gold raises
 from .pipeline import DIM_PATIENT_COLS
 from .silver_state import FED_BY, Load, SilverStore
 
@@ -139,7 +140,7 @@ def run(spark: SparkSession, landing: str, lake_root: str, batch_id: str, params
     return published(spark, lake_root, params)
 
 
-WHOLE = [*DIMENSIONS, "kpi_accessibility_reach", "kpi_predictability_forecast", "kpi_overview"]
+WHOLE = ["kpi_accessibility_reach", "kpi_predictability_forecast", "kpi_overview"]
 
 
 def published(spark: SparkSession, lake_root: str, params: C.Params = C.DEFAULT) -> G.Lazy:
@@ -147,6 +148,7 @@ def published(spark: SparkSession, lake_root: str, params: C.Params = C.DEFAULT)
     answered from its cells, measures from its roll-up where a level holds them."""
     lake = Lake(spark, lake_root)
     root = f"{lake.root}/gold"
-    dims = G.Lazy({n: (lambda n=n: spark.read.parquet(f"{root}/{n}")) for n in WHOLE})
-    store = gold_store(spark, lake, G.Lazy({n: (lambda n=n: dims[n]) for n in DIMENSIONS}), params)
-    return G.Lazy({**{n: (lambda n=n: dims[n]) for n in WHOLE}, **store.tables(), "rollup": lambda: Rollup(spark, f"{root}/rollup")})
+    dims = G.Lazy({n: (lambda n=n: spark.read.parquet(f"{root}/{n}")) for n in DIMENSIONS})
+    store = gold_store(spark, lake, dims, params)
+    return G.Lazy({**{n: (lambda n=n: dims[n]) for n in DIMENSIONS}, **{n: (lambda n=n: spark.read.parquet(store.whole(n))) for n in WHOLE}, **store.tables(),
+                   "rollup": lambda: Rollup(spark, store.whole("rollup")), "checks": lambda: spark.read.parquet(store.whole("_checks"))})

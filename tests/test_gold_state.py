@@ -163,3 +163,39 @@ def test_the_smallest_level_answers(spark, lake):
     assert "PartitionFilters: [isnotnull(level" in plan
     by_age = X.measure("x05_enrolled_to_date")(tables, ["age"])
     assert "/gold/fact_patient_enrollment" in scanned(by_age) and by_age.count() == 8
+
+
+def test_violating_load_leaves_the_old_gold(spark, tmp_path):
+    base = str(tmp_path)
+    land(base, 1, {"studies": ["ST1,PR,Sp,Onc,Phase I,50,400,2024-01-01"], "sites": ["X0,Site,fixed,West,CA,2024-01-01,PI"], "patients": ["P1,ST1,X0,30,Male,White,true", "P2,ST1,X0,30,Male,White,true"],
+                   "funnel_events": [*events("P1", "ST1", "X0", 5, 1), *events("P2", "ST1", "X0", 3, 1)]})
+    tables = MD.run(spark, f"{base}/landing", f"{base}/lake", "b1")
+    assert {r["check"]: r["violations"] for r in tables["checks"].collect() if r["violations"]} == {}
+    before = {n: sorted(map(str, tables[n].collect())) for n in ("fact_patient_enrollment", "kpi_overview", "kpi_predictability_conversion", "kpi_predictability_forecast")}
+    # an enrolment without consent, at a site that no dimension has
+    land(base, 2, {"patients": ["P3,ST1,X9,30,Male,White,true"], "funnel_events": ["P3,ST1,X9,lead,2024-01-01", "P3,ST1,X9,enrolled,2024-01-09"]})
+    with pytest.raises(MD.PublicationError, match="fact_site_fk: 1, enrolled_implies_consent: 1"):
+        MD.run(spark, f"{base}/landing", f"{base}/lake", "b2")
+    now = MD.published(spark, f"{base}/lake")
+    assert {n: sorted(map(str, now[n].collect())) for n in before} == before
+    # the site arrives, and an earlier consent: the next run publishes both loads
+    land(base, 3, {"sites": ["X9,Site,fixed,West,CA,2024-01-01,PI"], "funnel_events": ["P3,ST1,X9,consented,2024-01-02"]})
+    now = MD.run(spark, f"{base}/landing", f"{base}/lake", "b3")
+    assert now["fact_patient_enrollment"].count() == 3 and now["kpi_predictability_conversion"].first()["enrolled"] == 2
+    assert same(now["fact_patient_enrollment"], full_star(spark, base)["fact_patient_enrollment"])
+
+
+def test_a_second_row_of_a_key_is_observed(spark, tmp_path):
+    from cohortflow.plans.observed import Checks, PublicationError
+
+    base = str(tmp_path)
+    land(base, 1, {"studies": ["ST1,PR,Sp,Onc,Phase I,50,400,2024-01-01"], "sites": ["X0,Site,fixed,West,CA,2024-01-01,PI"], "patients": ["P1,ST1,X0,30,Male,White,true"],
+                   "funnel_events": events("P1", "ST1", "X0", 5, 1)})
+    MD.run(spark, f"{base}/landing", f"{base}/lake", "b1")
+    star = full_star(spark, base)
+    store = MD.gold_store(spark, MD.Lake(spark, f"{base}/lake"), star)
+    twice = star["fact_patient_enrollment"].unionByName(star["fact_patient_enrollment"])
+    checks = Checks()
+    store.fact.replace(store.fact.touched(twice), twice, 2, checks.fact(star["dim_study"], star["dim_site"]))
+    with pytest.raises(PublicationError, match="fact_key_unique: 1"):
+        checks.stop_at_violations()
