@@ -47,7 +47,7 @@ SCALE = 2_000_000
 TOP = 2000
 NO_LANG = "und"
 #: Bits of a fingerprint: fewer make smaller shuffles and let more rows pass the sieve, which has fewer still.
-PRINT_BITS = 40
+PRINT_BITS = 32
 #: Bytes of text handled at once; fingerprints, and phrases of a block, held before they are passed on.
 AT_ONCE, PENDING, HELD = 1 << 19, 1 << 20, 400_000
 #: Rows of an Arrow batch taken out of it at once.
@@ -277,9 +277,9 @@ def _found(rows: Rows, bits: np.ndarray) -> list[pa.Table]:
 
 
 def _merged(tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-    """Equal phrases as one row each."""
+    """Equal phrases as one row each, sorted: neighbours with a common beginning make the shuffle smaller."""
     sums = pa.TableGroupBy(pa.concat_tables(tables), "phrase", use_threads=False).aggregate([("n", "sum"), ("first_doc", "min")])
-    yield from sums.select(["phrase", "n_sum", "first_doc_min"]).rename_columns(["phrase", "n", "first_doc"]).combine_chunks().to_batches()
+    yield from sums.select(["phrase", "n_sum", "first_doc_min"]).rename_columns(["phrase", "n", "first_doc"]).sort_by("phrase").combine_chunks().to_batches()
 
 
 def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", print_bits: int = PRINT_BITS) -> DataFrame:
