@@ -97,7 +97,7 @@ class BucketedTable:
         dealt = rows.repartition("bucket")
         dealt = dealt if watch is None else watch(dealt).select(*dealt.columns)
         (dealt.sortWithinPartitions("bucket", *self.key).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").option(f"parquet.bloom.filter.enabled#{self.key[0]}", "true")
+         .option("partitionOverwriteMode", "dynamic").option(f"parquet.bloom.filter.enabled#{self.key[0]}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
          .partitionBy("bucket", "load").parquet(self.path))
 
     def rows_by_load(self) -> DataFrame:

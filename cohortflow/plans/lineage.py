@@ -63,9 +63,17 @@ def _of_patient(run: Run, patient_id: str | None):
     return lambda df: df.join(key, "patient_id", "left_semi")
 
 
+def _silver_of(run: Run, table: str, entry: str, patient_id: str | None) -> DataFrame:
+    """A patient's rows of a Silver table: of the stored state one key bucket is read."""
+    if patient_id is not None and run.store:
+        run.silver  # noqa: B018 - the loads are written
+        return run.stored.tables[table].lookup(patient_id, run.stored.marks.last())
+    return _of_patient(run, patient_id)(run.silver[entry])
+
+
 def version_history(run: Run, patient_id: str | None = None) -> DataFrame:
     """L-04: every version of the chosen key (the traced one if none is)."""
-    d = _of_patient(run, patient_id)(run.silver["dim_patient"])
+    d = _silver_of(run, "dim_patient", "dim_patient", patient_id)
     return d.select("patient_id", "patient_sk", "site_id", "age", "sex", "race_ethnicity", "is_rural",
                     "effective_from", "effective_to", "is_current").orderBy("effective_from")
 
@@ -101,8 +109,8 @@ def trace_patient(run: Run, patient_id: str | None = None) -> DataFrame:
     parts = [
         _long(sel(star["fact_patient_enrollment"]), 1, "gold.fact_patient_enrollment"),
         _long(sel(star["dim_patient"]), 2, "gold.dim_patient"),
-        _long(sel(run.silver["dim_patient"]), 3, "silver.dim_patient"),
-        _long(sel(run.silver["funnel"]), 4, "silver.funnel_events"),
+        _long(_silver_of(run, "dim_patient", "dim_patient", patient_id), 3, "silver.dim_patient"),
+        _long(_silver_of(run, "funnel_events", "funnel", patient_id), 4, "silver.funnel_events"),
         _long(sel(run.bronze["funnel_events"]), 5, "bronze.funnel_events"),
         _long(sel(run.bronze["patients"]), 6, "bronze.patients"),
     ]
