@@ -2,10 +2,10 @@
 
 COVERAGE = {
     # 2.1 scans, sources, sinks
-    "S-01": ("sources.landing.read_landing", ["s01_csv_scan"]),
+    "S-01": ("sources.landing.read_landing, sources.quarantine.read_checked", ["s01_csv_scan"]),
     "S-02": ("streaming.ingest.ingest / ingest_all", ["s02_stream_ingest", "t01_runs_per_load", "e2e_medallion_overview"]),
     "S-03": ("sources.bronze.stamp / stamp_from_metadata", ["s03_ingest_stamp", "s02_stream_ingest"]),
-    "S-04": ("operators.watermark.extract_since", ["s04_extract_since", "s04_marks"]),
+    "S-04": ("operators.watermark.extract_since / extract_ties", ["s04_extract_since", "s04_marks"]),
     "S-05": ("sources.landing.read_evolving, streaming.ingest.ingest_evolving", ["s05_schema_evolution", "s05_stream_evolution"]),
     "S-06": ("sources.driver_tables.load_tables", ["s06_scan_invoices"]),
     "S-07": ("sources.landing.write_parquet", ["s07_parquet_sink"]),
@@ -15,12 +15,12 @@ COVERAGE = {
     "S-11": ("sources.landing.create_if_absent, operators.scd2.empty_like", ["s11_create_if_absent"]),
     "S-12": ("sources.bronze.file_ledger", ["s12_file_ledger"]),
     # 2.2 table mutation
-    "M-01": ("operators.scd2.scd2_apply", ["m01_scd2_history", "e2e_medallion_scd2"]),
+    "M-01": ("operators.scd2.scd2_apply, merged by key bucket (operators.bucketed)", ["m01_scd2_history", "e2e_medallion_scd2"]),
     "M-02": ("operators.scd2.surrogate_key", ["m02_surrogate_keys"]),
-    "M-03": ("operators.upsert.first_wins_upsert", ["m03_upsert_funnel", "t03_stream_silver"]),
+    "M-03": ("operators.upsert.first_wins_upsert, merged by key bucket", ["m03_upsert_funnel", "t03_stream_silver"]),
     "M-04": ("operators.watermark.read_mark / read_marks / mark_frame", ["m04_marks_after_run1", "l03_backlog"]),
     "M-05": ("operators.watermark.advance", ["m05_marks_after_run2"]),
-    "M-06": ("replay-safety of M-01/M-03/M-05", ["m06_replay_is_noop"]),
+    "M-06": ("a load replaces its own partitions, a batch with marks is left out (plans.silver_state)", ["m06_replay_is_noop"]),
     "M-07": ("operators.bucketed.BucketedTable (as of a load)", ["m07_versions", "m07_read_as_of"]),
     # 2.3 projections, filters
     "P-01": ("plans.silver.study", ["d01_dim_study"]),
@@ -51,7 +51,7 @@ COVERAGE = {
     "A-02": ("operators.pivot.representative", ["d06_fact_patient_enrollment"]),
     "A-03": ("operators.aggregates.count_if", ["k05_conversion"]),
     "A-04": ("operators.aggregates.avg_if", ["k01_speed_study"]),
-    "A-05": ("distinct sites per group", ["k04_reach"]),
+    "A-05": ("distinct sites per group; plans.distinct (bitmap states)", ["k04_reach"]),
     "A-06": ("operators.aggregates.sum_by", ["k09_cost_per_enrolled"]),
     "A-07": ("min date and day difference", ["k01_speed_study"]),
     "A-08": ("functions.scalar.safe_div / pct", ["k05_conversion", "x07_screen_fail_rate"]),
@@ -64,7 +64,7 @@ COVERAGE = {
     "O-01": ("orderBy on extracts and lineage reports", ["s04_extract_since", "l08_forecast_slack"]),
     "O-02": ("unionByName of labelled counts", ["l01_layer_counts"]),
     # 2.8 scalar functions
-    "F-01": ("functions.scalar.typed (try_cast) + plans.silver.rejects", ["f01_typed_rejects"]),
+    "F-01": ("functions.scalar.typed (try_cast), sources.quarantine.rejects", ["f01_typed_rejects"]),
     "F-02": ("date_add", ["d01_dim_study"]),
     "F-03": ("functions.scalar.days_between", ["d06_fact_patient_enrollment", "l08_forecast_slack"]),
     "F-04": ("functions.scalar.week_start", ["k02_speed_site_weekly"]),
@@ -82,7 +82,7 @@ COVERAGE = {
     "T-03": ("streaming.incremental.run_silver_funnel", ["t03_stream_silver"]),
     # 2.10 governance
     "U-01": ("operators.governance.mask_column", ["u01_mask_column"]),
-    "U-02": ("operators.governance.row_filter", ["u02_row_filter"]),
+    "U-02": ("operators.governance.row_filter / by_site", ["u02_row_filter"]),
     "U-03": ("operators.governance.secured", ["u03_secured_view", "u04_admin_view"]),
     # 2.11 marts
     "D-01": ("plans.gold.build_star", ["d01_dim_study"]),
@@ -90,7 +90,7 @@ COVERAGE = {
     "D-03": ("plans.gold.build_star", ["d03_dim_patient"]),
     "D-04": ("plans.gold.build_star", ["d04_dim_campaign"]),
     "D-05": ("functions.calendar.date_dim", ["d05_dim_date"]),
-    "D-06": ("plans.gold.fact_patient_enrollment", ["d06_fact_patient_enrollment"]),
+    "D-06": ("plans.gold.fact_patient_enrollment; kept up by plans.gold_state", ["d06_fact_patient_enrollment"]),
     "D-07": ("plans.gold.build_star", ["d07_fact_marketing_daily"]),
     "D-08": ("plans.gold.build_star", ["d08_fact_site_financials"]),
     "K-01": ("plans.kpi.speed_study", ["k01_speed_study"]),
@@ -157,3 +157,15 @@ COVERAGE["L-06"][1].append("l06_trace_chosen")
 for _id, _key in (("B-01", "b01_header_cards_picked"), ("B-02", "b02_weekly_trend_picked"), ("B-03", "b03_enrolled_by_race_picked"),
                   ("P-11", "b01_header_cards_picked")):
     COVERAGE[_id][1].append(_key)
+
+# kept-up state, quarantine, roll-up and bitmap states, observed checks
+for _key, _ids in {
+    "f01_quarantine": ("S-01", "F-01"), "f01_loaded_beside": ("F-01",), "s04_tie_extract": ("S-04", "M-04"), "s04_tie_marks": ("M-05",), "t03_changed_keys": ("T-03",),
+    "a05_distinct_by_site_type": ("A-05", "K-04"), "a05_distinct_enrolled_by_week": ("A-05",), "x08_x09_distinct_studies": ("X-08", "X-09"), "u02_row_filter_pruned": ("U-02",),
+    "e2e_fact_patient_enrollment": ("D-06",), "d06_cells": ("D-06",), "e2e_kpi_speed_study": ("K-01",), "e2e_kpi_speed_site_weekly": ("K-02",), "e2e_kpi_accessibility_diversity": ("K-03",),
+    "e2e_kpi_accessibility_reach": ("K-04",), "e2e_kpi_predictability_conversion": ("K-05",), "e2e_kpi_predictability_forecast": ("K-06",),
+    "xnav_avg_lead_to_enrolled_days_by_total": ("X-02",), "xnav_enrolled_recent_by_region": ("X-03",), "xnav_enrolled_to_date_by_race_ethnicity_sex": ("X-05",),
+    "xnav_enrolled_to_date_by_age": ("X-05",), "xnav_screen_fail_rate_by_site_id": ("X-07",), "e2e_checks": tuple(f"Q-0{k}" for k in range(1, 9)), "m07_versions": ("M-06",),
+}.items():
+    for _id in _ids:
+        COVERAGE[_id][1].append(_key)
