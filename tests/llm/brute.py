@@ -143,14 +143,14 @@ def kept_lines(docs, threshold=0.8):
     index = collections.defaultdict(list)
     sets = {}
     for k, (_, line) in enumerate(rows):
-        if len(line) < 5:
+        if not line:
             continue
         if line in first:
             u.join(k, first[line])
         else:
             first[line] = k
             uniq.append(k)
-            sets[k] = frozenset(line[j : j + 5] for j in range(len(line) - 4))
+            sets[k] = frozenset(line[j : j + 5] for j in range(max(1, len(line) - 4)))
     common = collections.Counter(g for k in uniq for g in sets[k])
     for k in uniq:
         own = sorted(sets[k], key=lambda g: (common[g], g))
@@ -163,7 +163,7 @@ def kept_lines(docs, threshold=0.8):
             index[g].append(k)
     out = [None if text is None else [] for _, text in docs]
     for k, (i, line) in enumerate(rows):
-        if len(line) < 5 or u.find(k) == k:
+        if not line or u.find(k) == k:
             out[i].append(line)
     return [None if x is None else "\n".join(x) for x in out]
 
