@@ -52,6 +52,15 @@ def after_mark(df: DataFrame, col: str, mark: _dt.datetime | Column) -> DataFram
     return out
 
 
+def until(df: DataFrame, col: str, last: _dt.datetime | Column) -> DataFrame:
+    """Rows up to an ingest time; on Bronze the implied ``_ingest_date <= date(last)`` prunes the later partitions."""
+    t = last if isinstance(last, Column) else ts_lit(last)
+    out = df.filter(F.col(col) <= t)
+    if col == "_ingest_ts" and "_ingest_date" in df.columns:
+        out = out.filter(F.col("_ingest_date") <= F.to_date(t))
+    return out
+
+
 def advance(marks: DataFrame, table_name: str, new_mark: DataFrame) -> DataFrame:
     """M-05: upsert ``table_name -> max(old, new)``. ``new_mark`` is a one-row frame with column
     ``watermark`` computed from the rows actually read (NULL when none arrived: mark unchanged)."""

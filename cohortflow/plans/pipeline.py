@@ -45,6 +45,8 @@ DIM_PATIENT_COLS = ["patient_sk", "patient_id", "study_id", "site_id", "age", "s
 
 # landed shapes worth storing once (joins, windows, JSON parsing); the rest stay lazy views
 STORED_SHAPES = ["funnel_events", "patients", "patients_changed", "marketing_daily", "site_costs"]
+# those derived from the events' study slots, which are parsed and stored once for all of them
+FROM_SLOTS = ["funnel_events", "patients", "patients_changed"]
 
 
 def source_file(source: str, load: int) -> str:
@@ -63,14 +65,26 @@ class Landed:
         self.store = store.rstrip("/") if store else None
         self._frames: dict = {}
         self._lock = threading.RLock()
+        self._slots_lock = threading.Lock()
         self._prefetched = False
 
+    def _store_slots(self) -> None:
+        """The events' slots as a stored table; the first of the concurrent jobs that need it writes it."""
+        with self._slots_lock:
+            if "event_slots" not in self.tables:
+                path = f"{self.store}/landed/event_slots"
+                slots = FX.event_slots(self.tables)
+                slots.write.mode("overwrite").parquet(path)
+                self.tables["event_slots"] = self.spark.read.schema(slots.schema).parquet(path)
+
     def _build(self, name: str) -> DataFrame:
         if name == "patients_changed":
             return FX.patients_changed(self.tables)
         return FX.source(self.tables, name)
 
     def _land(self, name: str) -> DataFrame:
+        if self.store and name in FROM_SLOTS:
+            self._store_slots()
         df = self._build(name)
         if self.store and name in STORED_SHAPES:
             path = f"{self.store}/landed/{name}"
@@ -204,7 +218,7 @@ class Run:
         for i in range(loads):
             cutoff = [LOAD1_TS, LOAD2_TS][i]
             # Bronze as it stood after load i
-            seen = {k: self.bronze[k].filter(F.col("_ingest_ts") <= F.lit(cutoff)) for k in ("patients", "funnel_events")}
+            seen = {k: WM.until(self.bronze[k], "_ingest_ts", cutoff) for k in ("patients", "funnel_events")}
             state = self.silver_increment(state, seen, f"load_{i + 1}")
             self._states.append(state)
         b = self.bronze

@@ -10,6 +10,9 @@ Scale notes
   to 7. ``row_number() <= 7`` is planned by Spark as a *partial* per-partition group limit
   before the shuffle (WindowGroupLimit), so a hot group ships at most 7 rows per map task
   instead of all its rows; the ranks are joined back on the unique event id.
+* patients, their re-extract and the funnel all need an event's study slot, which lies in JSON.
+  ``event_slots`` has it parsed; a caller that stores that table among the others (``Landed``) has
+  the events read and parsed once for the three.
 """
 
 from __future__ import annotations
@@ -96,10 +99,19 @@ def _customer_attrs(t, moved: bool = False) -> DataFrame:
     )
 
 
+def event_slots(t) -> DataFrame:
+    """(event_id, ts, user_id, k) of every event."""
+    e = t["events"]
+    return e.select("event_id", "ts", "user_id", _k(e).alias("k"))
+
+
+def _slots(t) -> DataFrame:
+    return t["event_slots"] if "event_slots" in t else event_slots(t)
+
+
 def patients(t) -> DataFrame:
     """One row per distinct (user, k) of events, with the customer's attributes."""
-    e = t["events"]
-    uk = e.select("user_id", _k(e).alias("k")).distinct()
+    uk = _slots(t).select("user_id", "k").distinct()
     j = uk.join(_customer_attrs(t), "user_id")
     return j.select(
         patient_id_of(F.col("user_id"), F.col("k")).alias("patient_id"),
@@ -111,7 +123,7 @@ def patients(t) -> DataFrame:
 def funnel_events(t) -> DataFrame:
     """One funnel event per driver event: the n-th event of a (user, k) group reaches stage
     ``min(n, 1 + (3·user + 5·k) mod 7)``; later events repeat that stage (duplicates)."""
-    e = t["events"].select("event_id", "ts", "user_id", _k(t["events"]).alias("k"))
+    e = _slots(t)
     w = Window.partitionBy("user_id", "k").orderBy("ts", "event_id")
     first7 = (e.withColumn("n", F.row_number().over(w))
                .filter(F.col("n") <= len(C.FUNNEL_STAGES))
@@ -260,8 +272,7 @@ def patients_changed(t) -> DataFrame:
     """Second patient extract for the SCD2 scenario: a full re-extract of every patient in which
     customers whose key ends in 0 have moved to the next site (nation + 1). Other rows repeat
     unchanged and must not open versions."""
-    e = t["events"]
-    uk = e.select("user_id", _k(e).alias("k")).distinct()
+    uk = _slots(t).select("user_id", "k").distinct()
     j = uk.join(_customer_attrs(t, moved=True), "user_id")
     return j.select(
         patient_id_of(F.col("user_id"), F.col("k")).alias("patient_id"),
