@@ -4,7 +4,8 @@ Prefix polynomials (modulo 2**64, numpy) over the bytes give every word a hash,
 polynomials over those give every run of words its fingerprint in two operations, whatever its
 length. Four scans, none of which holds more than ``PENDING`` fingerprints or ``HELD`` phrases:
 
-1. fingerprints of words, counted in the task and then by a shuffle of (fingerprint, count) alone;
+1. fingerprints of words, counted in the task and then by a shuffle of fingerprints and counts alone, sorted
+   and by difference to the one before, a row for each of ``2**SLOT_BITS`` ranges of fingerprints;
 2. the same for pairs of frequent words, since no phrase is more frequent than its parts;
 3. the same for runs of three and four words all of whose pairs are frequent;
 4. what reached the minimum is counted anew. In the task each occurrence is compared, word by word, with
@@ -54,7 +55,12 @@ AT_ONCE, PENDING, HELD = 1 << 19, 1 << 20, 400_000
 ROWS = 1000
 #: Parts into which the rows of a shared single word, or of a language, are dealt.
 SALTS = 8
-COUNTS = "fp long, n long"
+#: Leading bits of a fingerprint that say to which group of the shuffle it goes.
+SLOT_BITS = 11
+#: Sorted fingerprints of a slot: the low 16 bits and the rest of their differences, the low 8 bits and the rest of
+#: their counts. Apart, as the rest is nearly always zero and takes no room in a compressed shuffle.
+PACKED = {"low": np.uint16, "high": np.uint16, "n": np.uint8, "more": np.uint32}
+COUNTS = "slot int, " + ", ".join(f"{c} binary" for c in PACKED)
 TEXTS = "phrase string, n long, first_doc long"
 #: Between a phrase, which never holds it, and its language.
 AFTER_PHRASE = "\n"
@@ -218,16 +224,45 @@ def _blocks(batch: pa.RecordBatch, print_bits: int) -> Iterator[Rows]:
         yield Rows(Block(texts, langs, _HASHER[0], print_bits), ids, langs)
 
 
+def _rest_bits(print_bits: int) -> int:
+    """Bits of a fingerprint below its slot."""
+    return min(max(print_bits - SLOT_BITS, 0), 32)
+
+
+def _packed(fp: np.ndarray, n: np.ndarray, rest_bits: int) -> pa.RecordBatch:
+    """Rows of ``COUNTS`` of sorted distinct fingerprints and their counts."""
+    slot = fp >> np.uint64(rest_bits)
+    at = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+    step = np.diff(fp, prepend=fp[:1])
+    step[at] = fp[at] & np.uint64((1 << rest_bits) - 1)
+    parts = {"low": step & np.uint64(0xFFFF), "high": step >> np.uint64(16), "n": n & 0xFF, "more": n >> 8}
+    edges = np.append(at, len(fp))
+    columns = [pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((edges * np.dtype(t).itemsize).astype(np.int32)), pa.py_buffer(parts[c].astype(t))])
+               for c, t in PACKED.items()]
+    return pa.RecordBatch.from_arrays([pa.array(slot[at].astype(np.int32)), *columns], ["slot", *PACKED])
+
+
+def _unpacked(rows: pa.Table, rest_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprints, counts) of rows of one slot, those of different rows side by side."""
+    got = {c: [np.frombuffer(x, t) for x in rows.column(c).to_pylist()] for c, t in PACKED.items()}
+    sizes = [len(x) for x in got["low"]]
+    flat = {c: np.concatenate(x).astype(np.uint64) for c, x in got.items()}
+    total = np.cumsum(flat["low"] | (flat["high"] << np.uint64(16)))
+    before = np.concatenate([np.zeros(1, np.uint64), total])[np.cumsum([0, *sizes[:-1]])]
+    fp = total - np.repeat(before, sizes) + (np.uint64(rows.column("slot")[0].as_py()) << np.uint64(rest_bits))
+    return fp, (flat["n"] | (flat["more"] << np.uint64(8))).astype(np.int64)
+
+
 def _counted(docs: DataFrame, print_bits: int, runs_of: Callable[[Block], Iterator[np.ndarray]]) -> DataFrame:
     """Frequent fingerprints of the runs that ``runs_of(block)`` gives."""
+    rest_bits = _rest_bits(print_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some: list[np.ndarray] = []
         size = 0
 
         def out() -> pa.RecordBatch:
-            fp, n = np.unique(np.concatenate(some), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(n.astype(np.int64))], ["fp", "n"])
+            return _packed(*np.unique(np.concatenate(some), return_counts=True), rest_bits)
 
         for batch in batches:
             for rows in _blocks(batch, print_bits):
@@ -240,8 +275,14 @@ def _counted(docs: DataFrame, print_bits: int, runs_of: Callable[[Block], Iterat
         if size:
             yield out()
 
-    sums = docs.mapInArrow(run, COUNTS).groupBy("fp").agg(F.sum("n").alias("n"))
-    return sums.where(F.col("n") >= MINIMUM).select("fp")
+    def often(rows: pa.Table) -> pa.Table:
+        fp, n = _unpacked(rows, rest_bits)
+        fp, which = np.unique(fp, return_inverse=True)
+        total = np.zeros(len(fp), np.int64)
+        np.add.at(total, which, n)
+        return pa.table({"fp": fp[total >= MINIMUM].view(np.int64)})
+
+    return docs.mapInArrow(run, COUNTS).groupBy("slot").applyInArrow(often, "fp long")
 
 
 def _bits(frequent: DataFrame) -> np.ndarray:
